@@ -15,6 +15,7 @@ with the same result, and walking the slots in order walks the rows in order.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
@@ -113,7 +114,7 @@ def fit_slots(
     nulls, n = row.pop("_nulls", 0) or 0, row.pop("_n", 0) or 0
 
     # A value found at two quantiles holds more than one share: close its slot.
-    heavy = {c for c in raw if raw.count(c) > 1} if len(set(raw)) < len(raw) else set()
+    heavy = {cut for cut, times in Counter(raw).items() if times > 1}
     cuts = sorted(set(raw) | {math.nextafter(c, math.inf) for c in heavy})
     tied = [cuts.index(c) + 1 for c in sorted(heavy)]
     if nulls * pieces > n:

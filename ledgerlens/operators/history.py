@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..session import checkpointed
 from .skew import fit_slots, fits_broadcast, flag_hot, hot_keys
 
 SLOT = ["_slot", "_sub"]
@@ -55,10 +56,12 @@ def _attach_carry(df: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame
     does not compute it twice.
     """
     on = [*keys, *SLOT]
-    renamed = carry.select(
-        *[F.col(k).alias(f"_c_{k}") for k in on],
-        *[c for c in carry.columns if c not in on],
-    ).checkpoint()
+    renamed = checkpointed(
+        carry.select(
+            *[F.col(k).alias(f"_c_{k}") for k in on],
+            *[c for c in carry.columns if c not in on],
+        )
+    )
     if fits_broadcast(renamed):
         renamed = F.broadcast(renamed)
     same = [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in on]

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .skew import fit_slots
+from ..session import checkpointed
+from .skew import fit_slots, fits_broadcast
 
 
 def kth_values(
@@ -53,8 +54,12 @@ def kth_values(
         .filter((F.col("at") >= F.col("_before")) & (F.col("at") < F.col("_before") + F.col("_n")))
         .select(*by, "_slot", "name", "total", (F.col("at") - F.col("_before")).alias("_offset"))
     )
+    # Few rows, but counted before they are broadcast; stored so as to compute them once.
+    targets = checkpointed(targets)
+    if fits_broadcast(targets):
+        targets = F.broadcast(targets)
     opened = (
-        placed.join(targets.select(*by, "_slot").distinct(), [*by, "_slot"], "left_semi")
+        placed.join(targets.select(*by, "_slot"), [*by, "_slot"], "left_semi")
         .groupBy(*by, "_slot", value)
         .agg(F.count("*").alias("_times"))
     )

@@ -179,7 +179,8 @@ def class_histogram(
 
     ``above`` and ``below`` leave out values outside the open interval first.
     """
-    rows = labeled(df, label).select(F.col(label).alias("label"), F.col(value).cast("double").alias("x"))
+    classes = df.filter(F.col(label).isin(0, 1))
+    rows = classes.select(F.col(label).alias("label"), F.col(value).cast("double").alias("x"))
     if above is not None:
         rows = rows.filter(F.col("x") > above)
     if below is not None:
@@ -188,7 +189,7 @@ def class_histogram(
     ranges = rows.groupBy("label").agg(
         F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("total")
     )
-    # A label has a handful of values, so the ranges are a few rows.
+    # The filter leaves two classes, so the ranges are two rows at most.
     width = (F.col("hi") - F.col("lo")) / bins
     place = F.when(F.col("hi") == F.col("lo"), 0).otherwise(F.floor((F.col("x") - F.col("lo")) / width))
     counts = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "ledgerlens", **conf: str) -> SparkSession:
@@ -35,10 +35,17 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="ledgerlens-")
+    if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once, store it in the shared folder and cut its lineage."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -73,13 +73,15 @@ def thresholds(df: DataFrame, score: str = "score", label: str = "is_fraud") ->
         F.count("*").alias("_m"),
         F.sum("pos").alias("_pos"),
         F.sum("neg").alias("_neg"),
-        F.max(F.struct("score", "pos", "neg")).alias("_first"),
+        F.max_by("pos", "score").alias("_first_pos"),
+        F.max_by("neg", "score").alias("_first_neg"),
     )
     in_order = Window.orderBy(*SLOT)
     carry = per_slot.select(
         *SLOT,
         F.sum("_m").over(Window.partitionBy()).alias("places"),
-        F.lead("_first").over(in_order).alias("_next"),
+        F.lead("_first_pos").over(in_order).alias("_next_pos"),
+        F.lead("_first_neg").over(in_order).alias("_next_neg"),
         *[
             c.alias(n)
             for n, c in _so_far({"_m0": F.col("_m"), "_p0": F.col("_pos"), "_q0": F.col("_neg")}).items()
@@ -94,13 +96,13 @@ def thresholds(df: DataFrame, score: str = "score", label: str = "is_fraud") ->
                 "tp": F.sum("pos").over(down_to) + F.col("_p0"),
                 "fp": F.sum("neg").over(down_to) + F.col("_q0"),
                 "place": F.row_number().over(in_slot).cast("long") + F.col("_m0"),
-                "next_pos": F.coalesce(F.lead("pos").over(in_slot), F.col("_next.pos")),
-                "next_neg": F.coalesce(F.lead("neg").over(in_slot), F.col("_next.neg")),
+                "next_pos": F.coalesce(F.lead("pos").over(in_slot), F.col("_next_pos")),
+                "next_neg": F.coalesce(F.lead("neg").over(in_slot), F.col("_next_neg")),
                 "n": F.lit(slots.totals["n"]).cast("long"),
                 "n_pos": F.lit(slots.totals["n_pos"] or 0).cast("long"),
             }
         )
-        .drop("_next", "_m0", "_p0", "_q0")
+        .drop("_next_pos", "_next_neg", "_m0", "_p0", "_q0")
     )
 
 

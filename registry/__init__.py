@@ -1,0 +1 @@
+"""Queries over the driver's tables, and the SQL each of them is checked against."""

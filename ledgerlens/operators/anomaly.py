@@ -109,12 +109,7 @@ def fit_isolation_forest(
     size = min(rows_per_tree, fit_rows, fit.count())
     depth = math.ceil(math.log2(max(size, 2)))
 
-    def usual_path(rows):
-        if rows <= 1:
-            return 0.0
-        if rows == 2:
-            return 1.0
-        return 2.0 * (np.log(rows - 1.0) + np.euler_gamma) - 2.0 * (rows - 1.0) / rows
+    usual_path = [expected_path(rows) for rows in range(size + 1)]
 
     def grow(sample: pd.DataFrame) -> pd.DataFrame:
         tree = int(sample["tree"].iloc[0])
@@ -130,7 +125,7 @@ def fit_isolation_forest(
             low, high = here.min(axis=0), here.max(axis=0)
             spread = np.flatnonzero(high > low)
             if level >= depth or len(here) <= 1 or len(spread) == 0:
-                nodes.append([tree, node, -1, 0.0, -1, -1, level + usual_path(len(here))])
+                nodes.append([tree, node, -1, 0.0, -1, -1, level + usual_path[len(here)]])
                 continue
             feature = int(chance.choice(spread))
             cut = float(chance.uniform(low[feature], high[feature]))

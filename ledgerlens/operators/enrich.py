@@ -43,12 +43,14 @@ def join_dimension(
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """Left join on ``key`` (unique in ``dimension``).
+    """Left join on ``key``, of which ``dimension`` contributes one row per value.
 
     A dimension counted to be short is broadcast. Otherwise the rows of hot keys
     are dealt to salts, and only the few matching dimension rows are repeated.
     """
-    if fits_broadcast(dimension.select(key), broadcast_rows):
+    short = fits_broadcast(dimension.select(key), broadcast_rows)
+    dimension = one_row_per_key(dimension, key)
+    if short:
         return fact.join(F.broadcast(dimension), key, "left")
     hot = hot_keys(fact, [key], hot_rows)
     if hot is None:
@@ -73,27 +75,21 @@ def transaction_facts(transactions: DataFrame) -> DataFrame:
 
 def card_facts(cards: DataFrame) -> DataFrame:
     """Card attributes; card number, expiry and CVV never leave the raw table."""
-    return one_row_per_key(
-        cards.select(
-            F.col("id").alias("card_id"), "card_brand", "card_type", "has_chip", "num_cards_issued",
-            C.money(F.col("credit_limit")).alias("credit_limit"),
-            C.lenient_date(F.col("acct_open_date")).alias("acct_open_date"),
-            "year_pin_last_changed", "card_on_dark_web",
-        ),
-        "card_id",
+    return cards.select(
+        F.col("id").alias("card_id"), "card_brand", "card_type", "has_chip", "num_cards_issued",
+        C.money(F.col("credit_limit")).alias("credit_limit"),
+        C.lenient_date(F.col("acct_open_date")).alias("acct_open_date"),
+        "year_pin_last_changed", "card_on_dark_web",
     )
 
 
 def user_facts(users: DataFrame) -> DataFrame:
-    return one_row_per_key(
-        users.select(
-            F.col("id").alias("client_id"), "current_age", "gender", "latitude", "longitude",
-            C.money(F.col("per_capita_income")).alias("per_capita_income"),
-            C.money(F.col("yearly_income")).alias("yearly_income"),
-            C.money(F.col("total_debt")).alias("total_debt"),
-            "credit_score", "num_credit_cards",
-        ),
-        "client_id",
+    return users.select(
+        F.col("id").alias("client_id"), "current_age", "gender", "latitude", "longitude",
+        C.money(F.col("per_capita_income")).alias("per_capita_income"),
+        C.money(F.col("yearly_income")).alias("yearly_income"),
+        C.money(F.col("total_debt")).alias("total_debt"),
+        "credit_score", "num_credit_cards",
     )
 
 
@@ -114,7 +110,7 @@ def attach_dimensions(facts: DataFrame, raw: RawTables, dims: Iterable[str], **s
         dimension, key = {
             "cards": (card_facts(raw.cards), "card_id"),
             "users": (user_facts(raw.users), "client_id"),
-            "mcc": (one_row_per_key(raw.mcc, "mcc"), "mcc"),
+            "mcc": (raw.mcc, "mcc"),
         }[name]
         facts = join_dimension(facts, dimension, key, "transaction_id", **sizes)
     return facts

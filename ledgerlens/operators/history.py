@@ -12,12 +12,14 @@ before the slot is added from a table with one row per key and slot.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..session import checkpointed
-from .skew import fit_slots, fits_broadcast, flag_hot, hot_keys
+from .skew import Slots, fit_slots, fits_broadcast, flag_hot, hot_keys, hot_row_limit
 
 SLOT = ["_slot", "_sub"]
 
@@ -35,18 +37,41 @@ def _before(partition: list[str], ts: str, tie: str):
     )
 
 
-def split_hot(
-    df: DataFrame, keys: list[str], ts: str, tie: str, hot_rows: int | None = None
-) -> DataFrame | None:
-    """Add the time slots of hot keys (slot 0 for all others); None if no key is hot."""
+@dataclass(frozen=True)
+class Split:
+    """Hot values of ``keys`` and the cuts of their time order.
+
+    ``source`` holds the rows as they were before any window was added, so that
+    planning and carrying read no more than the key, the order and the amount.
+    """
+
+    source: DataFrame
+    keys: list[str]
+    ts: str
+    tie: str
+    hot: DataFrame
+    slots: Slots
+
+    def place(self, df: DataFrame) -> DataFrame:
+        """Add ``_hot`` and the time slot; rows of other keys are in slot 0."""
+        placed = self.slots.assign(
+            flag_hot(df, self.keys, self.hot), C.epoch_seconds(F.col(self.ts)), F.col(self.tie)
+        )
+        return placed.withColumns({name: F.when(F.col("_hot"), F.col(name)).otherwise(0) for name in SLOT})
+
+    def hot_rows(self) -> DataFrame:
+        return self.place(self.source).filter("_hot")
+
+
+def plan_split(
+    df: DataFrame, keys: list[str], ts: str, tie: str, hot_rows: float | None = None
+) -> Split | None:
+    """How to cut the hot values of ``keys``; None if there are none."""
     hot = hot_keys(df, keys, hot_rows)
     if hot is None:
         return None
-    when = C.epoch_seconds(F.col(ts))
-    flagged = flag_hot(df, keys, hot)
-    slots = fit_slots(flagged.filter("_hot"), when, F.col(tie))
-    placed = slots.assign(flagged, when, F.col(tie))
-    return placed.withColumns({name: F.when(F.col("_hot"), F.col(name)).otherwise(0) for name in SLOT})
+    rows = flag_hot(df, keys, hot).filter("_hot")
+    return Split(df, keys, ts, tie, hot, fit_slots(rows, C.epoch_seconds(F.col(ts)), F.col(tie)))
 
 
 def _attach_carry(df: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
@@ -74,14 +99,17 @@ def with_prior_count(
     name: str,
     ts: str = "ts",
     tie: str = "transaction_id",
-    hot_rows: int | None = None,
+    hot_rows: float | None = None,
 ) -> DataFrame:
     """Number of earlier rows with the same ``keys``."""
-    split = split_hot(df, keys, ts, tie, hot_rows)
+    return _prior_count(df, keys, name, ts, tie, plan_split(df, keys, ts, tie, hot_rows))
+
+
+def _prior_count(df: DataFrame, keys: list[str], name: str, ts: str, tie: str, split: Split | None) -> DataFrame:
     if split is None:
         return df.withColumn(name, F.count("*").over(_before(keys, ts, tie)))
-    local = split.withColumn(name, F.count("*").over(_before([*keys, *SLOT], ts, tie)))
-    per_slot = split.filter("_hot").groupBy(*keys, *SLOT).agg(F.count("*").alias("_n"))
+    local = split.place(df).withColumn(name, F.count("*").over(_before([*keys, *SLOT], ts, tie)))
+    per_slot = split.hot_rows().groupBy(*keys, *SLOT).agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy(*SLOT).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_slot.select(*keys, *SLOT, F.sum("_n").over(earlier).alias("_carry_n"))
     return (
@@ -97,14 +125,19 @@ def with_card_history(
     ts: str = "ts",
     tie: str = "transaction_id",
     amount: str = "amount",
-    hot_rows: int | None = None,
+    hot_rows: float | None = None,
 ) -> DataFrame:
     """Prior count, mean, population deviation and maximum of the amount, and the previous time.
 
     Mean, deviation and maximum are NULL on the first row of a card.
     """
-    split = split_hot(df, [key], ts, tie, hot_rows)
-    rows = df if split is None else split
+    return _card_history(df, key, ts, tie, amount, plan_split(df, [key], ts, tie, hot_rows))
+
+
+def _card_history(
+    df: DataFrame, key: str, ts: str, tie: str, amount: str, split: Split | None
+) -> DataFrame:
+    rows = df if split is None else split.place(df)
     partition = [key] if split is None else [key, *SLOT]
     before = _before(partition, ts, tie)
     in_order = Window.partitionBy(*partition).orderBy(*_order(ts, tie))
@@ -120,32 +153,28 @@ def with_card_history(
 
     extra = {"_min": F.min(amount).over(before), "_known": F.count(amount).over(before)}
     local = rows.withColumns({**windows, **extra})
-    joined = _attach_carry(local, _card_carry(split, key, ts, amount), [key])
+    joined = _attach_carry(local, _card_carry(split.hot_rows(), key, ts, amount), [key])
     return _add_carry(joined).drop("_hot", *SLOT, "_min", "_known", *[f"_carry_{c}" for c in _CARRIED])
 
 
 _CARRIED = ["n", "known", "avg", "m2", "max", "min", "prev"]
 
 
-def _card_carry(split: DataFrame, key: str, ts: str, amount: str) -> DataFrame:
+def _card_carry(hot_rows: DataFrame, key: str, ts: str, amount: str) -> DataFrame:
     """Per hot card and slot: the statistics of everything before the slot.
 
     Squared deviations are combined around the mean of the card, which keeps the
     sums small, and not around zero.
     """
-    per_slot = (
-        split.filter("_hot")
-        .groupBy(key, *SLOT)
-        .agg(
-            F.count("*").alias("n"),
-            F.count(amount).alias("known"),
-            F.avg(amount).alias("avg"),
-            F.var_pop(amount).alias("var"),
-            F.max(amount).alias("max"),
-            F.min(amount).alias("min"),
-            F.max(ts).alias("last"),
-            F.count_if(F.col(ts).isNull()).alias("timeless"),
-        )
+    per_slot = hot_rows.groupBy(key, *SLOT).agg(
+        F.count("*").alias("n"),
+        F.count(amount).alias("known"),
+        F.avg(amount).alias("avg"),
+        F.var_pop(amount).alias("var"),
+        F.max(amount).alias("max"),
+        F.min(amount).alias("min"),
+        F.max(ts).alias("last"),
+        F.count_if(F.col(ts).isNull()).alias("timeless"),
     )
     whole = Window.partitionBy(key)
     in_order = whole.orderBy(*SLOT)
@@ -212,9 +241,22 @@ def with_history(
     ts: str = "ts",
     tie: str = "transaction_id",
     amount: str = "amount",
-    hot_rows: int | None = None,
+    hot_rows: float | None = None,
 ) -> DataFrame:
     """All prior-behaviour columns, in the window order that shuffles least."""
-    df = with_prior_count(df, [merchant], "merchant_prior_count", ts, tie, hot_rows)
-    df = with_card_history(df, card, ts, tie, amount, hot_rows)
-    return with_prior_count(df, [card, merchant], "card_merchant_prior_count", ts, tie, hot_rows)
+    if hot_rows is None:
+        hot_rows = hot_row_limit(df)
+    merchants = plan_split(df, [merchant], ts, tie, hot_rows)
+    cards = plan_split(df, [card], ts, tie, hot_rows)
+    pairs = None
+    if merchants and cards:
+        # A pair can only be hot where both of its sides are.
+        both = flag_hot(flag_hot(df, [merchant], merchants.hot).filter("_hot").drop("_hot"), [card], cards.hot)
+        hot_pairs = hot_keys(both.filter("_hot"), [card, merchant], hot_rows)
+        if hot_pairs is not None:
+            rows = flag_hot(df, [card, merchant], hot_pairs).filter("_hot")
+            slots = fit_slots(rows, C.epoch_seconds(F.col(ts)), F.col(tie))
+            pairs = Split(df, [card, merchant], ts, tie, hot_pairs, slots)
+    rows = _prior_count(df, [merchant], "merchant_prior_count", ts, tie, merchants)
+    rows = _card_history(rows, card, ts, tie, amount, cards)
+    return _prior_count(rows, [card, merchant], "card_merchant_prior_count", ts, tie, pairs)

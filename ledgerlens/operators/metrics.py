@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .ranking import evenly_spaced, rank_scores, renumber, thresholds
+from .ranking import Ranked, evenly_spaced, rank_scores, renumber, thresholds
 
 
 @dataclass(frozen=True)
@@ -18,7 +18,7 @@ class Costs:
     false_negative: float = 200.0
     false_positive: float = 5.0
 
-    def of(self, flagged: Column, tp: Column, n_pos: Column) -> Column:
+    def of(self, flagged: Column, tp: Column, n_pos: int) -> Column:
         return (n_pos - tp) * F.lit(self.false_negative) + (flagged - tp) * F.lit(self.false_positive)
 
 
@@ -51,20 +51,26 @@ def _real(column: Column) -> Column:
     return column.cast("double")
 
 
-def _average_precision(pos: Column, tp: Column, fp: Column, n_pos: Column) -> Column:
+def _share(count: Column, total: int) -> Column:
+    """``count / total`` as a double, NULL of nothing."""
+    return _real(count) / F.lit(float(total)) if total else F.lit(None).cast("double")
+
+
+def _average_precision(n_pos: int) -> Column:
     """Precision at each threshold, weighted by the recall gained there (no interpolation)."""
-    return F.sum(pos / _real(n_pos) * (tp / _real(tp + fp)))
+    precision = F.col("tp") / _real(F.col("tp") + F.col("fp"))
+    return F.sum(_share(F.col("pos"), n_pos) * precision)
 
 
-def _roc_auc(pos: Column, neg: Column, tp: Column, n_pos: Column, n_neg: Column) -> Column:
+def _roc_auc(n_pos: int, n_neg: int) -> Column:
     """P(positive above negative) + half of P(tie)."""
-    wins = F.sum(_real(neg) * (_real(tp - pos) + _real(pos) / 2))
-    return C.safe_ratio(wins, _real(F.max(n_pos) * F.max(n_neg)))
+    above = _real(F.col("tp") - F.col("pos")) + _real(F.col("pos")) / 2
+    return _share(F.sum(_real(F.col("neg")) * above), n_pos * n_neg)
 
 
-def _recall_at(target: float, fp: Column, tp: Column, n_pos: Column, n_neg: Column) -> Column:
+def _recall_at(target: float, n_pos: int, n_neg: int) -> Column:
     """Recall on the ROC polyline at a false-positive rate, interpolated between its points."""
-    fpr, tpr = fp / _real(n_neg), tp / _real(n_pos)
+    fpr, tpr = _share(F.col("fp"), n_neg), _share(F.col("tp"), n_pos)
     at = F.lit(float(target))
     low = F.max(F.when(fpr <= at, F.struct(fpr.alias("x"), tpr.alias("y"))))
     high = F.min(F.when(fpr > at, F.struct(fpr.alias("x"), tpr.alias("y"))))
@@ -73,14 +79,13 @@ def _recall_at(target: float, fp: Column, tp: Column, n_pos: Column, n_neg: Colu
 
 
 def average_precision(df: DataFrame, score: str = "score", label: str = "is_fraud") -> DataFrame:
-    t = thresholds(df, score, label)
-    pos, tp, fp, n_pos = (F.col(c) for c in ("pos", "tp", "fp", "n_pos"))
-    return t.agg(_average_precision(pos, tp, fp, n_pos).alias("average_precision"))
+    points = thresholds(df, score, label)
+    return points.rows.agg(_average_precision(points.n_pos).alias("average_precision"))
 
 
 def roc_auc(df: DataFrame, score: str = "score", label: str = "is_fraud") -> DataFrame:
-    t = thresholds(df, score, label).withColumn("n_neg", F.col("n") - F.col("n_pos"))
-    return t.agg(_roc_auc(*(F.col(c) for c in ("pos", "neg", "tp", "n_pos", "n_neg"))).alias("roc_auc"))
+    points = thresholds(df, score, label)
+    return points.rows.agg(_roc_auc(points.n_pos, points.n_neg).alias("roc_auc"))
 
 
 def recall_at_fpr(
@@ -90,17 +95,18 @@ def recall_at_fpr(
     label: str = "is_fraud",
 ) -> DataFrame:
     """One column per target."""
-    t = thresholds(df, score, label).withColumn("n_neg", F.col("n") - F.col("n_pos"))
-    place = [F.col(c) for c in ("fp", "tp", "n_pos", "n_neg")]
-    return t.agg(*[_recall_at(target, *place).alias(recall_key(target)) for target in targets])
+    points = thresholds(df, score, label)
+    return points.rows.agg(
+        *[_recall_at(t, points.n_pos, points.n_neg).alias(recall_key(t)) for t in targets]
+    )
 
 
-def _top_k(n: Column, fraction: float) -> Column:
-    return F.greatest(F.lit(1), F.floor(_real(n) * F.lit(fraction)))
+def top_k(n: int, fraction: float) -> int:
+    return max(1, int(n * fraction))
 
 
-def _precision_at(fraction: float, label: Column, flagged: Column, n: Column) -> Column:
-    return F.avg(F.when(flagged <= _top_k(n, fraction), label))
+def _precision_at(fraction: float, n: int) -> Column:
+    return F.avg(F.when(F.col("flagged") <= top_k(n, fraction), F.col("label")))
 
 
 def precision_at_k(
@@ -112,13 +118,12 @@ def precision_at_k(
 ) -> DataFrame:
     """One column per fraction: share of positives among the top ``max(1, n * fraction)`` rows."""
     ranked = rank_scores(df, score, label, tie)
-    place = [F.col(c) for c in ("label", "flagged", "n")]
-    return ranked.agg(*[_precision_at(f, *place).alias(precision_key(f)) for f in fractions])
+    return ranked.rows.agg(*[_precision_at(f, ranked.n).alias(precision_key(f)) for f in fractions])
 
 
-def _cheapest(costs: Costs) -> Column:
+def _cheapest(costs: Costs, n_pos: int) -> Column:
     """The first rank with the lowest cost; flagging nothing is not a choice."""
-    cost = costs.of(F.col("flagged"), F.col("tp"), F.col("n_pos"))
+    cost = costs.of(F.col("flagged"), F.col("tp"), n_pos)
     return F.min(F.struct(cost.alias("cost"), F.col("flagged"), F.col("score")))
 
 
@@ -130,15 +135,18 @@ def cost_threshold(
     tie: str = "transaction_id",
 ) -> DataFrame:
     ranked = rank_scores(df, score, label, tie)
-    best = ranked.agg(_cheapest(costs).alias("best"), F.max("n").alias("n"))
-    return best.select(
+    return ranked.rows.agg(_cheapest(costs, ranked.n_pos).alias("best")).select(
         F.col("best.score").alias("threshold"),
         F.col("best.cost").alias("total_cost"),
         "best.flagged",
-        (F.col("best.cost") / F.col("n")).alias("cost_per_txn"),
+        _share(F.col("best.cost"), ranked.n).alias("cost_per_txn"),
     )
 
 
+def _keyed(columns: dict[str, Column]) -> Column:
+    return F.create_map(*[part for key, column in columns.items() for part in (F.lit(key), column)])
+
+
 def evaluate(
     df: DataFrame,
     settings: Evaluation = Evaluation(),
@@ -151,46 +159,24 @@ def evaluate(
     Rows are ranked once; both halves read the same shuffle.
     """
     ranked = rank_scores(df, score, label, tie)
-    by_rank = ranked.agg(
-        _cheapest(settings.costs).alias("best"),
-        F.create_map(
-            *[
-                part
-                for f in settings.top_fractions
-                for part in (
-                    F.lit(precision_key(f)),
-                    _precision_at(f, F.col("label"), F.col("flagged"), F.col("n")),
-                )
-            ]
-        ).alias("precision_at_k"),
-        F.max("n").alias("n"),
-        F.max("n_pos").alias("n_pos"),
+    n, n_pos, n_neg = ranked.n, ranked.n_pos, ranked.n_neg
+    by_rank = ranked.rows.agg(
+        _cheapest(settings.costs, n_pos).alias("best"),
+        _keyed({precision_key(f): _precision_at(f, n) for f in settings.top_fractions}).alias("precision_at_k"),
     )
     points = (
-        ranked.groupBy("score")
+        ranked.rows.groupBy("score")
         .agg(
             F.sum("label").alias("pos"),
-            F.count("*").alias("_rows"),
+            F.count_if(F.col("label") == 0).alias("neg"),
             F.max("tp").alias("tp"),
-            F.max("flagged").alias("flagged"),
-            F.max("n").alias("n"),
-            F.max("n_pos").alias("n_pos"),
+            F.max(F.col("flagged") - F.col("tp")).alias("fp"),
         )
-        .withColumn("neg", F.col("_rows") - F.col("pos"))
-        .withColumn("fp", F.col("flagged") - F.col("tp"))
-        .withColumn("n_neg", F.col("n") - F.col("n_pos"))
-    )
-    pos, neg, tp, fp, n_pos, n_neg = (F.col(c) for c in ("pos", "neg", "tp", "fp", "n_pos", "n_neg"))
+    )
     by_threshold = points.agg(
-        _average_precision(pos, tp, fp, n_pos).alias("pr_auc"),
-        _roc_auc(pos, neg, tp, n_pos, n_neg).alias("roc_auc"),
-        F.create_map(
-            *[
-                part
-                for target in settings.fpr_targets
-                for part in (F.lit(recall_key(target)), _recall_at(target, fp, tp, n_pos, n_neg))
-            ]
-        ).alias("recall_at_fpr"),
+        _average_precision(n_pos).alias("pr_auc"),
+        _roc_auc(n_pos, n_neg).alias("roc_auc"),
+        _keyed({recall_key(t): _recall_at(t, n_pos, n_neg) for t in settings.fpr_targets}).alias("recall_at_fpr"),
     )
     both = by_rank.unionByName(by_threshold, allowMissingColumns=True)
     one = both.agg(*[F.any_value(c, True).alias(c) for c in both.columns])
@@ -201,9 +187,9 @@ def evaluate(
         "precision_at_k",
         F.col("best.score").alias("best_threshold"),
         F.col("best.cost").alias("total_cost"),
-        (F.col("best.cost") / F.col("n")).alias("cost_per_txn"),
-        "n",
-        "n_pos",
+        _share(F.col("best.cost"), n).alias("cost_per_txn"),
+        F.lit(n).cast("long").alias("n"),
+        F.lit(n_pos).cast("long").alias("n_pos"),
     )
 
 
@@ -219,12 +205,12 @@ def pr_curve(
     df: DataFrame, score: str = "score", label: str = "is_fraud", points: int = CURVE_POINTS
 ) -> DataFrame:
     """Precision and recall by ascending threshold, ending in (recall 0, precision 1)."""
-    t = thresholds(df, score, label)
+    steps = thresholds(df, score, label)
     index = F.col("places") - F.col("place")
-    kept = t.filter(evenly_spaced(index, F.col("places") + 1, points))
+    kept = steps.rows.filter(evenly_spaced(index, F.col("places") + 1, points))
     curve = kept.select(
         F.col("score").alias("threshold"),
-        C.safe_ratio(_real(F.col("tp")), _real(F.col("n_pos"))).alias("recall"),
+        _share(F.col("tp"), steps.n_pos).alias("recall"),
         (F.col("tp") / _real(F.col("tp") + F.col("fp"))).alias("precision"),
     )
     end = df.sparkSession.range(1).select(
@@ -237,14 +223,14 @@ def roc_curve(
     df: DataFrame, score: str = "score", label: str = "is_fraud", points: int = CURVE_POINTS
 ) -> DataFrame:
     """ROC points from (0, 0), without those on a straight line between their neighbours."""
-    t = thresholds(df, score, label)
+    steps = thresholds(df, score, label)
     bends = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
-    corners = t.filter((F.col("place") == 1) | (F.col("place") == F.col("places")) | bends)
+    corners = steps.rows.filter((F.col("place") == 1) | (F.col("place") == F.col("places")) | bends)
     kept = renumber(corners).filter(evenly_spaced(F.col("place"), F.col("places") + 1, points))
     curve = kept.select(
         F.col("score").alias("threshold"),
-        C.safe_ratio(_real(F.col("fp")), _real(F.col("n") - F.col("n_pos"))).alias("fpr"),
-        C.safe_ratio(_real(F.col("tp")), _real(F.col("n_pos"))).alias("tpr"),
+        _share(F.col("fp"), steps.n_neg).alias("fpr"),
+        _share(F.col("tp"), steps.n_pos).alias("tpr"),
     )
     start = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
@@ -267,14 +253,14 @@ def cost_curve(
         return rows.select(
             F.lit(point).alias("point"),
             "flagged",
-            (F.col("flagged") / F.col("n")).alias("flagged_frac"),
+            _share(F.col("flagged"), ranked.n).alias("flagged_frac"),
             F.col("score").alias("threshold"),
-            (cost / F.col("n")).alias("cost_per_txn"),
+            _share(cost, ranked.n).alias("cost_per_txn"),
         )
 
-    thinned = ranked.filter(evenly_spaced(F.col("flagged") - 1, F.col("n"), points))
-    curve = shaped(thinned, "curve", costs.of(F.col("flagged"), F.col("tp"), F.col("n_pos")))
-    best = ranked.agg(_cheapest(costs).alias("best"), F.max("n").alias("n")).select("best.*", "n")
+    thinned = ranked.rows.filter(evenly_spaced(F.col("flagged") - 1, F.lit(ranked.n), points))
+    curve = shaped(thinned, "curve", costs.of(F.col("flagged"), F.col("tp"), ranked.n_pos))
+    best = ranked.rows.agg(_cheapest(costs, ranked.n_pos).alias("best")).select("best.*")
     return curve.unionByName(shaped(best, "optimal", F.col("cost"))).orderBy("point", "flagged")
 
 
@@ -290,16 +276,13 @@ def decile_lift(
     The first ``n % parts`` deciles hold one row more than the others.
     """
     ranked = rank_scores(df, score, label, tie)
-    size, rest, at = F.floor(F.col("n") / parts), F.col("n") % parts, F.col("flagged")
-    long_rows = rest * (size + 1)
+    size, rest = divmod(ranked.n, parts)
+    at, long_rows = F.col("flagged"), rest * (size + 1)
     decile = F.when(at <= long_rows, F.ceil(at / (size + 1))).otherwise(
-        rest + F.ceil((at - long_rows) / F.nullif(size, F.lit(0)))
+        rest + F.ceil((at - long_rows) / max(size, 1))
     )
-    counts = ranked.groupBy(decile.cast("int").alias("decile")).agg(
-        F.count("*").alias("n"),
-        F.sum("label").alias("frauds"),
-        F.max(_real(F.col("n_pos"))).alias("_pos"),
-        F.max(_real(F.col("n"))).alias("_n"),
+    counts = ranked.rows.groupBy(decile.cast("int").alias("decile")).agg(
+        F.count("*").alias("n"), F.sum("label").alias("frauds")
     )
     so_far = Window.orderBy("decile").rowsBetween(Window.unboundedPreceding, 0)  # ten rows
     rate = F.col("frauds") / F.col("n")
@@ -308,11 +291,16 @@ def decile_lift(
         "n",
         "frauds",
         rate.alias("fraud_rate"),
-        C.safe_ratio(rate, F.col("_pos") / F.col("_n")).alias("lift"),
-        C.safe_ratio(F.sum("frauds").over(so_far), F.col("_pos")).alias("cumulative_recall"),
+        _lift(rate, ranked).alias("lift"),
+        _share(F.sum("frauds").over(so_far), ranked.n_pos).alias("cumulative_recall"),
     ).orderBy("decile")
 
 
+def _lift(rate: Column, ranked: Ranked) -> Column:
+    """How many times the base rate."""
+    return C.safe_ratio(rate, F.lit(ranked.n_pos / max(ranked.n, 1)))
+
+
 def confusion_matrix(
     df: DataFrame, threshold: float | Column, score: str = "score", label: str = "is_fraud"
 ) -> DataFrame:
@@ -345,35 +333,29 @@ def budget_scan(
 ) -> DataFrame:
     """Recall, precision and lift for evenly spaced review budgets.
 
-    All budgets are counted in the same aggregation, one sum each.
+    Only the rows at the budget ranks are kept; they know how many frauds lie above.
     """
-    low, high = span
-    step = (high - low) / (budgets - 1)
-    fractions = [low + i * step for i in range(budgets - 1)] + [high]
     ranked = rank_scores(df, score, label, tie)
-    caught = [
-        F.sum(F.when(F.col("flagged") <= _top_k(F.col("n"), f), F.col("label")))
-        for f in fractions
-    ]
-    totals = ranked.agg(
-        F.max("n").alias("n"),
-        F.max("n_pos").alias("n_pos"),
-        F.array(
-            *[
-                F.struct(F.lit(i + 1).alias("step"), F.lit(f).alias("fraction"), hits.alias("tp"))
-                for i, (f, hits) in enumerate(zip(fractions, caught))
-            ]
-        ).alias("scan"),
+    low, high = span
+    gap = (high - low) / (budgets - 1)
+    fractions = [low + i * gap for i in range(budgets - 1)] + [high]
+    sizes = [top_k(ranked.n, f) for f in fractions]
+    steps = df.sparkSession.createDataFrame(
+        [(i + 1, k) for i, k in enumerate(sizes)], "step int, flagged long"
+    )
+    hits = ranked.rows.filter(F.col("flagged").isin(sizes)).select("flagged", "tp")
+    precision = F.col("tp") / F.col("flagged")
+    return (
+        steps.join(hits, "flagged")
+        .select(
+            "step",
+            _share(F.col("flagged"), ranked.n).alias("budget"),
+            _share(F.col("tp"), ranked.n_pos).alias("recall"),
+            precision.alias("precision"),
+            _lift(precision, ranked).alias("lift"),
+        )
+        .orderBy("step")
     )
-    k = F.greatest(F.lit(1), F.floor(_real(F.col("n")) * F.col("fraction")))
-    scan = totals.select("n", "n_pos", F.explode("scan").alias("s")).select("n", "n_pos", "s.*")
-    return scan.withColumn("k", k).select(
-        "step",
-        (F.col("k") / F.col("n")).alias("budget"),
-        C.safe_ratio(_real(F.col("tp")), _real(F.col("n_pos"))).alias("recall"),
-        (F.col("tp") / F.col("k")).alias("precision"),
-        C.safe_ratio(F.col("tp") / F.col("k"), F.col("n_pos") / F.col("n")).alias("lift"),
-    ).orderBy("step")
 
 
 def top_risk(

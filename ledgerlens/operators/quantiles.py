@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..session import checkpointed
-from .skew import fit_slots, fits_broadcast
+from .skew import fit_slots
+
+MOST_LITERALS = 10_000
 
 
 def kth_values(
@@ -54,10 +55,11 @@ def kth_values(
         .filter((F.col("at") >= F.col("_before")) & (F.col("at") < F.col("_before") + F.col("_n")))
         .select(*by, "_slot", "name", "total", (F.col("at") - F.col("_before")).alias("_offset"))
     )
-    # Few rows, but counted before they are broadcast; stored so as to compute them once.
-    targets = checkpointed(targets)
-    if fits_broadcast(targets):
-        targets = F.broadcast(targets)
+    # A row per wanted value. As long as they are few they become literals of the plan,
+    # so that no row outside the opened slots is shuffled.
+    first = targets.limit(MOST_LITERALS + 1).collect()
+    if len(first) <= MOST_LITERALS:
+        targets = F.broadcast(df.sparkSession.createDataFrame(first, targets.schema))
     opened = (
         placed.join(targets.select(*by, "_slot"), [*by, "_slot"], "left_semi")
         .groupBy(*by, "_slot", value)

@@ -7,6 +7,8 @@ score shared by very many rows becomes a slot of its own, cut again by id.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,19 @@ from .skew import fit_slots
 SLOT = ["_slot", "_sub"]
 
 
+@dataclass(frozen=True)
+class Ranked:
+    """Ranked rows, and how many rows and positives there are in all."""
+
+    rows: DataFrame
+    n: int
+    n_pos: int
+
+    @property
+    def n_neg(self) -> int:
+        return self.n - self.n_pos
+
+
 def _so_far(columns: dict[str, Column]) -> dict[str, Column]:
     """Totals of the slots before each slot; runs on one row per slot."""
     before = Window.orderBy(*SLOT).rowsBetween(Window.unboundedPreceding, -1)
@@ -27,11 +42,10 @@ def rank_scores(
     label: str = "is_fraud",
     tie: str = "transaction_id",
     keep: tuple[str, ...] = (),
-) -> DataFrame:
-    """Add to each row: ``flagged`` (its 1-based rank), ``tp`` (positives down to it), ``n``, ``n_pos``.
+) -> Ranked:
+    """Rows ``(tie, *keep, label, score, flagged, tp)``.
 
-    The totals ``n`` and ``n_pos`` are constants of the result. Result columns:
-    ``tie, *keep, label, score, flagged, tp, n, n_pos``.
+    ``flagged`` is the 1-based rank, ``tp`` the number of positives down to the row.
     """
     rows = df.select(
         tie, *keep, F.col(label).cast("int").alias("label"), F.col(score).cast("double").alias("score")
@@ -47,14 +61,12 @@ def rank_scores(
         {
             "flagged": F.row_number().over(in_slot).cast("long") + F.col("_n0"),
             "tp": F.sum("label").over(down_to) + F.col("_p0"),
-            "n": F.lit(slots.totals["n"]).cast("long"),
-            "n_pos": F.lit(slots.totals["n_pos"] or 0).cast("long"),
         }
     )
-    return ranked.drop(*SLOT, "_n0", "_p0")
+    return Ranked(ranked.drop(*SLOT, "_n0", "_p0"), slots.totals["n"], slots.totals["n_pos"] or 0)
 
 
-def thresholds(df: DataFrame, score: str = "score", label: str = "is_fraud") -> DataFrame:
+def thresholds(df: DataFrame, score: str = "score", label: str = "is_fraud") -> Ranked:
     """One row per distinct score, from high to low, ties resolved.
 
     ``pos``/``neg`` count the score's own rows, ``tp``/``fp`` all rows at or above it.
@@ -89,7 +101,7 @@ def thresholds(df: DataFrame, score: str = "score", label: str = "is_fraud") ->
     )
     in_slot = Window.partitionBy(*SLOT).orderBy(value.asc_nulls_last())
     down_to = in_slot.rowsBetween(Window.unboundedPreceding, 0)
-    return (
+    points = (
         placed.join(carry, SLOT)
         .withColumns(
             {
@@ -98,12 +110,11 @@ def thresholds(df: DataFrame, score: str = "score", label: str = "is_fraud") ->
                 "place": F.row_number().over(in_slot).cast("long") + F.col("_m0"),
                 "next_pos": F.coalesce(F.lead("pos").over(in_slot), F.col("_next_pos")),
                 "next_neg": F.coalesce(F.lead("neg").over(in_slot), F.col("_next_neg")),
-                "n": F.lit(slots.totals["n"]).cast("long"),
-                "n_pos": F.lit(slots.totals["n_pos"] or 0).cast("long"),
             }
         )
         .drop("_next_pos", "_next_neg", "_m0", "_p0", "_q0")
     )
+    return Ranked(points, slots.totals["n"], slots.totals["n_pos"] or 0)
 
 
 def renumber(points: DataFrame) -> DataFrame:

@@ -37,7 +37,14 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame | None:
+def hot_row_limit(df: DataFrame) -> float:
+    """Rows above which a key is hot; infinite for a table too small to have one."""
+    total = df.select(*df.columns[:1]).count()
+    limit = max(SMALLEST_HOT_GROUP, HOT_FACTOR * total // task_count(df.sparkSession))
+    return limit if total > limit else math.inf
+
+
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: float | None = None) -> DataFrame | None:
     """The key values holding more than ``hot_rows`` rows, or None if there are none.
 
     The default is ``HOT_FACTOR`` average tasks, so fewer keys than tasks qualify.
@@ -45,12 +52,10 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> Dat
     """
     narrow = df.select(*keys)
     if hot_rows is None:
-        tasks = task_count(df.sparkSession)
-        total = narrow.count()
-        hot_rows = max(SMALLEST_HOT_GROUP, HOT_FACTOR * total // tasks)
-        if total <= hot_rows:
-            return None
-    found = narrow.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
+        hot_rows = hot_row_limit(narrow)
+    if hot_rows == math.inf:
+        return None
+    found = narrow.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > int(hot_rows))
     rows = found.select(*keys).collect()
     if not rows:
         return None

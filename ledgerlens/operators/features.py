@@ -99,14 +99,16 @@ def build_features(
 ) -> DataFrame:
     """Feature table from the raw tables.
 
-    History needs five columns only, all from the transactions, so the windows run
-    before the joins: the shuffles carry no dimension columns, and since every
-    joined side has one row per key the result is the same as joining first.
+    History needs five columns only, all from the transactions, so labels are
+    joined and the windows run while rows are narrow; cards, cardholders and
+    categories come last. Every joined side has one row per key, so the result is
+    the same as joining first.
     """
     facts = transaction_facts(raw.transactions).drop("merchant_city", "zip")
     if sample_rows:
         facts = first_rows(facts, sample_rows)
-    rows = attach_dimensions(with_history(facts, hot_rows=hot_rows), raw, ("mcc", "users", "cards", "labels"))
+    rows = with_history(attach_dimensions(facts, raw, ("labels",)), hot_rows=hot_rows)
+    rows = attach_dimensions(rows, raw, ("mcc", "users", "cards"))
     return static_features(history_features(rows)).select(*FEATURE_TABLE)
 
 

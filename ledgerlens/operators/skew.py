@@ -28,6 +28,10 @@ from ..session import task_count
 SMALLEST_HOT_GROUP = 1_000_000
 # A group is hot when it holds several times the rows of an average task.
 HOT_FACTOR = 5
+# Rows sampled per hot key, and per slot, when looking for keys and cuts.
+SAMPLED_PER_HOT_KEY = 2_000
+SAMPLED_PER_SLOT = 2_000
+SAMPLE_SEED = 7
 # A table this short may be broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -55,8 +59,12 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: float | None = None) -> D
         hot_rows = hot_row_limit(narrow)
     if hot_rows == math.inf:
         return None
-    found = narrow.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > int(hot_rows))
-    rows = found.select(*keys).collect()
+    # A key worth splitting shows up in a thin sample already; a wrong guess near the
+    # limit costs some balance and never a row, and no list of all keys is shuffled.
+    fraction = min(1.0, SAMPLED_PER_HOT_KEY / hot_rows)
+    seen = narrow if fraction == 1.0 else narrow.sample(fraction, SAMPLE_SEED)
+    found = seen.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    rows = found.filter(F.col("_rows") > int(hot_rows * fraction)).select(*keys).collect()
     if not rows:
         return None
     return df.sparkSession.createDataFrame(rows, narrow.schema)
@@ -96,27 +104,30 @@ def fit_slots(
     totals: dict[str, Column] | None = None,
     pieces: int | None = None,
 ) -> Slots:
-    """Choose the cuts in one pass; ``totals`` are aggregates wanted from the same pass."""
+    """Choose the cuts; ``totals`` are aggregates over all rows wanted on the way.
+
+    Cuts only decide how evenly the slots are filled, so quantiles of a sample are
+    enough: a few thousand rows per slot, whatever the size of the table.
+    """
     pieces = pieces or task_count(df.sparkSession)
+    counted = df.agg(
+        F.count("*").alias("_n"),
+        F.count_if(value.isNull()).alias("_nulls"),
+        *[column.alias(name) for name, column in (totals or {}).items()],
+    ).first().asDict()
+    n, nulls = counted.pop("_n"), counted.pop("_nulls")
     shares = [i / pieces for i in range(1, pieces)]
+    if not shares or not n:
+        return Slots([], [], [], counted)
+
+    fraction = min(1.0, SAMPLED_PER_SLOT * pieces / n)
+    orders = [value.cast("double").alias("v"), *([] if tie is None else [tie.cast("double").alias("t")])]
+    seen = df.select(*orders)
+    if fraction < 1.0:
+        seen = seen.sample(fraction, SAMPLE_SEED)
     accuracy = max(10_000, 10 * pieces)
-
-    def quantiles(column: Column) -> Column:
-        return F.percentile_approx(column.cast("double"), shares, accuracy)
-
-    wanted = {**(totals or {})}
-    if shares:
-        wanted["_cuts"] = quantiles(value)
-        # NULL values are one tied group as well, with no cut of its own.
-        wanted["_nulls"] = F.count_if(value.isNull())
-        wanted["_n"] = F.count("*")
-        if tie is not None:
-            wanted["_tie_cuts"] = quantiles(tie)
-    row = df.agg(*[column.alias(name) for name, column in wanted.items()]).first().asDict() if wanted else {}
-
-    raw = [c for c in row.pop("_cuts", None) or [] if math.isfinite(c)]
-    raw_ties = [c for c in row.pop("_tie_cuts", None) or [] if math.isfinite(c)]
-    nulls, n = row.pop("_nulls", 0) or 0, row.pop("_n", 0) or 0
+    found = seen.agg(*[F.percentile_approx(c, shares, accuracy) for c in seen.columns]).first()
+    raw, raw_ties = ([c for c in cuts or [] if math.isfinite(c)] for cuts in [*found, None][:2])
 
     # A value found at two quantiles holds more than one share: close its slot.
     heavy = {cut for cut, times in Counter(raw).items() if times > 1}
@@ -124,7 +135,7 @@ def fit_slots(
     tied = [cuts.index(c) + 1 for c in sorted(heavy)]
     if nulls * pieces > n:
         tied.append(len(cuts) + 1)
-    return Slots(cuts, tied, sorted(set(raw_ties)), row)
+    return Slots(cuts, tied, sorted(set(raw_ties)), counted)
 
 
 def _bucket(df: DataFrame, value: Column, cuts: list[float], name: str) -> DataFrame:

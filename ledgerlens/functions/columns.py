@@ -103,12 +103,7 @@ def merchant_label(city: Column, category: Column) -> Column:
 def seconds_between(start: Column, end: Column) -> Column:
     """Elapsed seconds with fraction, by naive timestamps (no time zone enters)."""
     gap = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
-    whole = (
-        F.extract(F.lit("DAY"), gap).cast("long") * 86400
-        + F.extract(F.lit("HOUR"), gap) * 3600
-        + F.extract(F.lit("MINUTE"), gap) * 60
-    )
-    return whole.cast("double") + F.extract(F.lit("SECOND"), gap).cast("double")
+    return gap.cast("interval second").cast("decimal(20,6)").cast("double")
 
 
 def epoch_seconds(ts: Column) -> Column:

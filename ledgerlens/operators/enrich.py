@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,8 @@ from ..session import task_count
 from ..sources.readers import RawPaths, RawTables, read_raw, register_views
 from .skew import BROADCAST_ROWS, fits_broadcast, flag_hot, hot_keys
 
-ALL_DIMENSIONS = ("cards", "users", "mcc", "labels")
+# Labels are as long as the transactions and are joined by shuffle: first, while rows are narrow.
+ALL_DIMENSIONS = ("labels", "mcc", "users", "cards")
 
 # The columns of the fact view, in order.
 FACT_COLUMNS = [
@@ -100,23 +101,24 @@ def label_facts(labels: DataFrame) -> DataFrame:
     )
 
 
-def attach_dimensions(facts: DataFrame, raw: RawTables, dims: Iterable[str], **sizes: int) -> DataFrame:
+def attach_dimensions(facts: DataFrame, raw: RawTables, dims: Collection[str], **sizes: int) -> DataFrame:
     """Left-join the named dimensions; unlabeled transactions keep a NULL label."""
-    for name in dims:
+    for name in (d for d in ALL_DIMENSIONS if d in dims):
         if name == "labels":
             # Transaction ids are unique, so this key cannot be hot.
             facts = facts.join(label_facts(raw.labels), "transaction_id", "left")
             continue
-        dimension, key = {
-            "cards": (card_facts(raw.cards), "card_id"),
-            "users": (user_facts(raw.users), "client_id"),
-            "mcc": (raw.mcc, "mcc"),
-        }[name]
+        if name == "cards":
+            dimension, key = card_facts(raw.cards), "card_id"
+        elif name == "users":
+            dimension, key = user_facts(raw.users), "client_id"
+        else:
+            dimension, key = raw.mcc, "mcc"
         facts = join_dimension(facts, dimension, key, "transaction_id", **sizes)
     return facts
 
 
-def enrich(raw: RawTables, dims: Iterable[str] = ALL_DIMENSIONS, **sizes: int) -> DataFrame:
+def enrich(raw: RawTables, dims: Collection[str] = ALL_DIMENSIONS, **sizes: int) -> DataFrame:
     """The fact view. Leave out of ``dims`` what a report does not read."""
     facts = attach_dimensions(transaction_facts(raw.transactions), raw, dims, **sizes)
     return facts.select(*[name for name in FACT_COLUMNS if name in facts.columns])

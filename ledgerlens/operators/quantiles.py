@@ -6,7 +6,9 @@ falls into are opened, and there only their distinct values are put in order.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,9 +31,11 @@ def kth_values(
     ``(*by, name, value, total)`` per group and name.
     """
     rows = df.select(*by, value).filter(F.col(value).isNotNull())
-    number = C.epoch_seconds(F.col(value)) if dict(df.dtypes)[value].startswith("timestamp") else F.col(value)
+    timed = dict(df.dtypes)[value].startswith("timestamp")
+    number = C.epoch_seconds(F.col(value)) if timed else F.col(value)
     # Distinct values are counted before anything is shuffled, so ties cost nothing.
-    placed = fit_slots(rows, number).assign(rows, number).drop("_sub")
+    slots = fit_slots(rows, number)
+    placed = slots.assign(rows, number)
 
     per_slot = placed.groupBy(*by, "_slot").agg(F.count("*").alias("_n"))
     group = Window.partitionBy(*by)
@@ -56,15 +60,13 @@ def kth_values(
         .select(*by, "_slot", "name", "total", (F.col("at") - F.col("_before")).alias("_offset"))
     )
     # A row per wanted value. As long as they are few they become literals of the plan,
-    # so that no row outside the opened slots is shuffled.
+    # and rows outside the wanted slots do not pass the scan.
     first = targets.limit(MOST_LITERALS + 1).collect()
     if len(first) <= MOST_LITERALS:
         targets = F.broadcast(df.sparkSession.createDataFrame(first, targets.schema))
-    opened = (
-        placed.join(targets.select(*by, "_slot"), [*by, "_slot"], "left_semi")
-        .groupBy(*by, "_slot", value)
-        .agg(F.count("*").alias("_times"))
-    )
+        spans_wanted = [slots.span(slot) for slot in sorted({r["_slot"] for r in first})]
+        placed = slots.assign(rows.filter(_near(value, spans_wanted, timed)), number)
+    opened = placed.groupBy(*by, "_slot", value).agg(F.count("*").alias("_times"))
     upto = Window.partitionBy(*by, "_slot").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     counted = opened.withColumn("_end", F.sum("_times").over(upto))
     found = counted.join(targets, [*by, "_slot"]).filter(
@@ -73,6 +75,30 @@ def kth_values(
     return found.select(*by, "name", F.col(value).alias("value"), "total")
 
 
+def _near(value: str, spans: list[tuple[float, float]], timed: bool) -> Column:
+    """Plain ranges around the spans, which reach the Parquet scan.
+
+    They may let neighbours through (times get a margin for rounding); the slot
+    number decides in the end.
+    """
+
+    def literal(edge: float, margin: int) -> Column:
+        if not timed:
+            return F.lit(edge)
+        at = datetime(1970, 1, 1) + timedelta(seconds=edge, milliseconds=margin)
+        return F.lit(at.isoformat(" ")).cast("timestamp_ntz")
+
+    near = F.lit(False)
+    for low, high in spans:
+        inside = F.lit(True)
+        if math.isfinite(low):
+            inside = inside & (F.col(value) >= literal(low, -1))
+        if math.isfinite(high):
+            inside = inside & (F.col(value) <= literal(high, 1))
+        near = near | inside
+    return near
+
+
 def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by: tuple[str, ...] = ()) -> DataFrame:
     """Linearly interpolated quantiles, one column each, one row per group."""
 

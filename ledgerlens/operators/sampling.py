@@ -23,24 +23,24 @@ def draw_order(key: str, seed: str = "") -> Column:
 def sample_fixed_n(df: DataFrame, n: int, key: str, seed: str = "") -> DataFrame:
     """``n`` random rows without replacement; the whole table if it has no more.
 
-    Sorting everything to take ``n`` rows would send ``n`` rows from every task to
-    one. Hashes are uniform, so a cut a little above the ``n``-th one is known
-    beforehand; only rows below it are sorted. The cut is checked and moved up
-    until enough rows pass, so the sample always has exactly ``n`` rows.
+    Hashes are uniform, so a cut a little above the ``n``-th one is known beforehand.
+    Only the ids below it are sorted, to find the last one drawn; the sample itself
+    is a filter on that hash and stays spread over all tasks. Should too few ids lie
+    below the cut it is moved up, so the sample always has exactly ``n`` rows.
     """
     total = df.select(key).count()
     if total <= n:
         return df
     order = draw_order(key, seed)
-    share = (n + 6 * math.sqrt(n) + 10) / total
-    candidates = df
-    while share < 1:
+    ids = df.select(order.alias("hash"), F.col(key).alias("id"))
+    share, last, drawn = (n + 6 * math.sqrt(n) + 10) / total, None, 0
+    while drawn < n:
         cut = f"{int(share * 16**_HEX_DIGITS):0{_HEX_DIGITS}x}"
-        candidates = df.filter(order < cut)
-        if candidates.select(key).count() >= n:
-            break
-        candidates, share = df, share * 2
-    return candidates.orderBy(order, key).limit(n)
+        below = ids.filter(F.col("hash") < cut) if share < 1 else ids
+        first = below.orderBy("hash", "id").limit(n)
+        drawn, last = first.agg(F.count("*"), F.max(F.struct("hash", "id"))).first()
+        share *= 2
+    return df.filter((order < last["hash"]) | ((order == last["hash"]) & (F.col(key) <= last["id"])))
 
 
 def sample_then_filter(df: DataFrame, n: int, key: str, condition: Column, seed: str = "") -> DataFrame:

@@ -37,8 +37,8 @@ BROADCAST_ROWS = 200_000
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``rows`` rows; reads no more than it must."""
-    return df.limit(rows + 1).count() <= rows
+    """True when ``df`` has been counted and has at most ``rows`` rows."""
+    return df.count() <= rows
 
 
 def hot_row_limit(df: DataFrame) -> float:
@@ -96,6 +96,11 @@ class Slots:
         in_tie = F.col("_slot").isin(self.tied)
         return placed.withColumn("_sub", F.when(in_tie, F.col("_sub")).otherwise(0))
 
+    def span(self, slot: int) -> tuple[float, float]:
+        """Smallest value of a slot, and the smallest of the next one."""
+        edges = [-math.inf, *self.cuts, math.inf]
+        return edges[slot], edges[slot + 1] if slot + 1 < len(edges) else math.inf
+
 
 def fit_slots(
     df: DataFrame,
@@ -110,12 +115,9 @@ def fit_slots(
     enough: a few thousand rows per slot, whatever the size of the table.
     """
     pieces = pieces or task_count(df.sparkSession)
-    counted = df.agg(
-        F.count("*").alias("_n"),
-        F.count_if(value.isNull()).alias("_nulls"),
-        *[column.alias(name) for name, column in (totals or {}).items()],
-    ).first().asDict()
-    n, nulls = counted.pop("_n"), counted.pop("_nulls")
+    counted = df.agg(F.count("*").alias("_n"), *[c.alias(k) for k, c in (totals or {}).items()])
+    counted = counted.first().asDict()
+    n = counted.pop("_n")
     shares = [i / pieces for i in range(1, pieces)]
     if not shares or not n:
         return Slots([], [], [], counted)
@@ -126,14 +128,19 @@ def fit_slots(
     if fraction < 1.0:
         seen = seen.sample(fraction, SAMPLE_SEED)
     accuracy = max(10_000, 10 * pieces)
-    found = seen.agg(*[F.percentile_approx(c, shares, accuracy) for c in seen.columns]).first()
-    raw, raw_ties = ([c for c in cuts or [] if math.isfinite(c)] for cuts in [*found, None][:2])
+    found = seen.agg(
+        F.count("*"),
+        F.count_if(F.col("v").isNull()),
+        *[F.percentile_approx(c, shares, accuracy) for c in seen.columns],
+    ).first()
+    drawn, nulls = found[:2]
+    raw, raw_ties = ([c for c in cuts or [] if math.isfinite(c)] for cuts in [*found[2:], None][:2])
 
     # A value found at two quantiles holds more than one share: close its slot.
     heavy = {cut for cut, times in Counter(raw).items() if times > 1}
     cuts = sorted(set(raw) | {math.nextafter(c, math.inf) for c in heavy})
     tied = [cuts.index(c) + 1 for c in sorted(heavy)]
-    if nulls * pieces > n:
+    if nulls * pieces > drawn:
         tied.append(len(cuts) + 1)
     return Slots(cuts, tied, sorted(set(raw_ties)), counted)
 

@@ -23,7 +23,8 @@ def build_session(app_name: str = "ledgerlens", **conf: str) -> SparkSession:
 
 def task_count(spark: SparkSession) -> int:
     """How many tasks one shuffle runs: the unit all fair shares are measured in."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    started = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(started or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.enrich import ALL_DIMENSIONS
 from ledgerlens.sources.readers import RawTables
 
 
@@ -158,14 +159,13 @@ def dense_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str, dense: bool = False) -> RawTables:
-    return RawTables(
-        transactions=event_transactions(spark, sf_dir),
-        users=users(spark, sf_dir),
-        cards=cards(spark, sf_dir),
-        mcc=mcc(spark, sf_dir),
-        labels=(dense_labels if dense else sparse_labels)(spark, sf_dir),
-    )
+def raw_tables(
+    spark: SparkSession, sf_dir: str, dense: bool = False, dims: tuple[str, ...] = ALL_DIMENSIONS
+) -> RawTables:
+    """The raw tables; those not in ``dims`` are not opened."""
+    build = {"users": users, "cards": cards, "mcc": mcc, "labels": dense_labels if dense else sparse_labels}
+    tables = {name: make(spark, sf_dir) if name in dims else None for name, make in build.items()}
+    return RawTables(transactions=event_transactions(spark, sf_dir), **tables)
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,7 +128,7 @@ def prepare(spark, sf_dir):
 
 @query()
 def label_coverage(spark, sf_dir):
-    return reports.label_coverage(enrich.enrich(A.raw_tables(spark, sf_dir), ("labels",)))
+    return reports.label_coverage(_facts(spark, sf_dir, "labels"))
 
 
 @query()
@@ -198,13 +198,13 @@ def amount_z(spark, sf_dir):
 
 @query()
 def amount_to_limit(spark, sf_dir):
-    facts = features.static_features(enrich.enrich(A.raw_tables(spark, sf_dir), ("cards",)))
+    facts = features.static_features(_facts(spark, sf_dir, "cards"))
     return facts.select("transaction_id", "amount", "credit_limit", "amount_to_limit")
 
 
 @query()
 def card_age(spark, sf_dir):
-    facts = features.static_features(enrich.enrich(A.raw_tables(spark, sf_dir), ("cards",)))
+    facts = features.static_features(_facts(spark, sf_dir, "cards"))
     return facts.select("transaction_id", "acct_open_date", "card_age_years")
 
 
@@ -236,8 +236,13 @@ def features_write(spark, sf_dir):
 # Reports
 
 
+def _facts(spark, sf_dir, *dims, dense=False):
+    """The fact view with the dimensions a query reads, and no others."""
+    return enrich.enrich(A.raw_tables(spark, sf_dir, dense, dims), dims)
+
+
 def _dense(spark, sf_dir, *dims):
-    return enrich.enrich(A.raw_tables(spark, sf_dir, dense=True), ("labels", *dims))
+    return _facts(spark, sf_dir, "labels", *dims, dense=True)
 
 
 @query()

@@ -57,13 +57,19 @@ def rank_scores(
     carry = per_slot.select(*SLOT, *[c.alias(n) for n, c in _so_far({"_n0": F.col("_n"), "_p0": F.col("_pos")}).items()])
     in_slot = Window.partitionBy(*SLOT).orderBy(value.asc_nulls_last(), F.col(tie))
     down_to = in_slot.rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.join(carry, SLOT).withColumns(
-        {
-            "flagged": F.row_number().over(in_slot).cast("long") + F.col("_n0"),
-            "tp": F.sum("label").over(down_to) + F.col("_p0"),
-        }
+    # Ranked inside the slot first: the join then finds the rows already in place.
+    local = placed.withColumns(
+        {"_at": F.row_number().over(in_slot).cast("long"), "_tp": F.sum("label").over(down_to)}
     )
-    return Ranked(ranked.drop(*SLOT, "_n0", "_p0"), slots.totals["n"], slots.totals["n_pos"] or 0)
+    ranked = local.join(carry, SLOT).select(
+        tie,
+        *keep,
+        "label",
+        "score",
+        (F.col("_at") + F.col("_n0")).alias("flagged"),
+        (F.col("_tp") + F.col("_p0")).alias("tp"),
+    )
+    return Ranked(ranked, slots.totals["n"], slots.totals["n_pos"] or 0)
 
 
 def thresholds(df: DataFrame, score: str = "score", label: str = "is_fraud") -> Ranked:
@@ -101,18 +107,26 @@ def thresholds(df: DataFrame, score: str = "score", label: str = "is_fraud") ->
     )
     in_slot = Window.partitionBy(*SLOT).orderBy(value.asc_nulls_last())
     down_to = in_slot.rowsBetween(Window.unboundedPreceding, 0)
-    points = (
-        placed.join(carry, SLOT)
-        .withColumns(
-            {
-                "tp": F.sum("pos").over(down_to) + F.col("_p0"),
-                "fp": F.sum("neg").over(down_to) + F.col("_q0"),
-                "place": F.row_number().over(in_slot).cast("long") + F.col("_m0"),
-                "next_pos": F.coalesce(F.lead("pos").over(in_slot), F.col("_next_pos")),
-                "next_neg": F.coalesce(F.lead("neg").over(in_slot), F.col("_next_neg")),
-            }
-        )
-        .drop("_next_pos", "_next_neg", "_m0", "_p0", "_q0")
+    local = placed.withColumns(
+        {
+            "_tp": F.sum("pos").over(down_to),
+            "_fp": F.sum("neg").over(down_to),
+            "_at": F.row_number().over(in_slot).cast("long"),
+            "_pos": F.lead("pos").over(in_slot),
+            "_neg": F.lead("neg").over(in_slot),
+        }
+    )
+    points = local.join(carry, SLOT).select(
+        *SLOT,
+        "score",
+        "pos",
+        "neg",
+        (F.col("_tp") + F.col("_p0")).alias("tp"),
+        (F.col("_fp") + F.col("_q0")).alias("fp"),
+        (F.col("_at") + F.col("_m0")).alias("place"),
+        "places",
+        F.coalesce("_pos", "_next_pos").alias("next_pos"),
+        F.coalesce("_neg", "_next_neg").alias("next_neg"),
     )
     return Ranked(points, slots.totals["n"], slots.totals["n_pos"] or 0)
 
@@ -126,8 +140,9 @@ def renumber(points: DataFrame) -> DataFrame:
         *[c.alias(n) for n, c in _so_far({"_m0": F.col("_m")}).items()],
     )
     in_slot = Window.partitionBy(*SLOT).orderBy("place")
-    numbered = points.drop("places").join(carry, SLOT)
-    return numbered.withColumn("place", F.row_number().over(in_slot).cast("long") + F.col("_m0")).drop("_m0")
+    local = points.drop("places").withColumn("_at", F.row_number().over(in_slot).cast("long"))
+    numbered = local.join(carry, SLOT)
+    return numbered.withColumn("place", F.col("_at") + F.col("_m0")).drop("_at", "_m0")
 
 
 def evenly_spaced(index: Column, total: Column, points: int) -> Column:

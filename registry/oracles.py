@@ -414,6 +414,11 @@ ORACLES: dict[str, str] = {
     "rate_by_month": _rate(ORDERS, "ord", "CAST(date_trunc('month', ts) AS TIMESTAMP)", "month"),
     "rate_by_year": _rate(ORDERS, "ord", "CAST(year(ts) AS BIGINT)", "year"),
     "rate_by_channel": _rate(ORDERS, "ord", "use_chip", "use_chip"),
+    "rate_cuts": " UNION ALL ".join(
+        f"""SELECT '{name}' AS cut, CAST(k AS VARCHAR) AS value, count(*) AS n, round(avg(is_fraud), 6) AS fraud_rate
+            FROM ({ORDERS} SELECT {key} AS k, is_fraud FROM ord WHERE is_fraud IS NOT NULL) GROUP BY k"""
+        for name, key in (("dow", "dayofweek(ts)"), ("year", "year(ts)"), ("use_chip", "use_chip"))
+    ),
     "category_by_volume": _rate(ITEMS, "items", "mcc_desc", "mcc_desc", "ORDER BY n DESC, mcc_desc LIMIT 15"),
     "category_by_frauds": f"""{ITEMS} SELECT mcc_desc, count(*) AS frauds FROM items WHERE is_fraud = 1
         GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""",
@@ -462,6 +467,16 @@ ORACLES: dict[str, str] = {
     + ", "
     + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) AS {c}" for c in _MATRIX_ZEROS)
     + f" FROM ({FEATURES})",
+    "detector_matrix": f"""SELECT transaction_id, amount,
+        CASE WHEN credit_limit BETWEEN 0 AND 9000 THEN credit_limit ELSE 0 END AS credit_limit,
+        coalesce(sec_since_prev_txn, 0) AS sec_since_prev_txn, coalesce(amount_z, 0) AS amount_z,
+        coalesce(CAST(card_age_years AS DOUBLE), 0) AS card_age_years FROM ({FEATURES})""",
+    "tree_matrix": f"""SELECT transaction_id, amount, 0.0::DOUBLE AS amount_missing,
+        coalesce(sec_since_prev_txn, 0) AS sec_since_prev_txn,
+        CAST(sec_since_prev_txn IS NULL AS DOUBLE) AS sec_since_prev_txn_missing,
+        coalesce(amount_z, 0) AS amount_z, CAST(amount_z IS NULL AS DOUBLE) AS amount_z_missing,
+        coalesce(CAST(card_age_years AS DOUBLE), 0) AS card_age_years,
+        CAST(card_age_years IS NULL AS DOUBLE) AS card_age_years_missing FROM ({FEATURES})""",
     "category_encode": "SELECT transaction_id, "
     + ", ".join(
         f"dense_rank() OVER (ORDER BY coalesce(CAST({c} AS VARCHAR), '__missing__')) - 1 AS {c}_code"

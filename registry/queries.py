@@ -305,6 +305,22 @@ def rate_by_channel(spark, sf_dir):
     return reports.rate_by_channel(A.order_facts(spark, sf_dir))
 
 
+@query()
+def rate_cuts(spark, sf_dir):
+    """Several rate reports counted in one pass over the rows."""
+    orders = A.order_facts(spark, sf_dir)
+    ts = F.col("ts")
+    cuts = reports.rate_cuts(
+        orders,
+        {"dow": C.day_of_week(ts), "year": F.year(ts).cast("long"), "use_chip": F.col("use_chip")},
+    )
+    tables = [
+        cut.select(F.lit(name).alias("cut"), F.col(name).cast("string").alias("value"), "n", "fraud_rate")
+        for name, cut in cuts.items()
+    ]
+    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+
+
 @query()
 def category_by_volume(spark, sf_dir):
     return reports.category_by_volume(A.item_facts(spark, sf_dir))
@@ -437,6 +453,27 @@ def model_matrix(spark, sf_dir):
     return matrix.zero_filled(table, keys=("transaction_id",))
 
 
+@query(FINE_DIGITS)
+def detector_matrix(spark, sf_dir):
+    """Numbers with NaN and infinities as 0; the credit limit is turned into both on the way."""
+    table = features.build_features(A.raw_tables(spark, sf_dir))
+    broken = (
+        F.when(F.col("credit_limit") < 0, F.lit(float("nan")))
+        .when(F.col("credit_limit") > 9000, F.lit(float("inf")))
+        .otherwise(F.col("credit_limit"))
+    )
+    columns = ["amount", "credit_limit", "sec_since_prev_txn", "amount_z", "card_age_years"]
+    return matrix.finite_filled(table.withColumn("credit_limit", broken), columns, ("transaction_id",))
+
+
+@query(FINE_DIGITS)
+def tree_matrix(spark, sf_dir):
+    """Numbers with a flag for each that was missing."""
+    table = features.build_features(A.raw_tables(spark, sf_dir))
+    columns = ["amount", "sec_since_prev_txn", "amount_z", "card_age_years"]
+    return matrix.with_missing_flags(table, columns, ("transaction_id",))
+
+
 @query()
 def category_encode(spark, sf_dir):
     return matrix.category_encode(features.build_features(A.raw_tables(spark, sf_dir)))

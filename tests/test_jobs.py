@@ -55,3 +55,22 @@ def test_jobs_end_to_end(spark, setting, tmp_path):
     assert sum(r["n"] for r in records("deciles")) == parts["test"]
     assert len(records("feature_importance")) == 20
     assert spark.read.parquet(f"{target}/top_risk").count() == min(500, parts["test"])
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from ledgerlens import __main__ as command
+    from tests import test_sources as raw
+
+    files_of = {
+        "transactions": raw.TRANSACTIONS, "users": raw.USERS, "cards": raw.CARDS,
+        "mcc": json.dumps({"5499": "Food"}), "labels": json.dumps({"target": {"1": "No", "2": "Yes"}}),
+    }
+    for name, text in files_of.items():
+        (tmp_path / command.FILES[name]).write_text(text, encoding="utf-8")
+    folders = ["--raw", str(tmp_path), "--out", str(tmp_path / "out")]
+    command.main(["features", *folders])
+    assert "rows: 3" in capsys.readouterr().out
+    command.main(["features", *folders, "--sample", "2"])
+    assert "rows: 2" in capsys.readouterr().out
+    command.main(["eda", *folders])
+    assert "by_month" in capsys.readouterr().out

@@ -47,6 +47,16 @@ def precision_key(fraction: float) -> str:
     return f"precision@top{fraction * 100:g}%"
 
 
+def recall_column(target: float) -> str:
+    """``recall_key`` as a plain column name."""
+    return f"recall_at_fpr_{target:.3f}".replace(".", "_")
+
+
+def precision_column(fraction: float) -> str:
+    """``precision_key`` as a plain column name."""
+    return f"precision_at_top_{fraction * 100:g}pct".replace(".", "_")
+
+
 def _real(column: Column) -> Column:
     return column.cast("double")
 
@@ -97,7 +107,7 @@ def recall_at_fpr(
     """One column per target."""
     points = thresholds(df, score, label)
     return points.rows.agg(
-        *[_recall_at(t, points.n_pos, points.n_neg).alias(recall_key(t)) for t in targets]
+        *[_recall_at(t, points.n_pos, points.n_neg).alias(recall_column(t)) for t in targets]
     )
 
 
@@ -118,7 +128,7 @@ def precision_at_k(
 ) -> DataFrame:
     """One column per fraction: share of positives among the top ``max(1, n * fraction)`` rows."""
     ranked = rank_scores(df, score, label, tie)
-    return ranked.rows.agg(*[_precision_at(f, ranked.n).alias(precision_key(f)) for f in fractions])
+    return ranked.rows.agg(*[_precision_at(f, ranked.n).alias(precision_column(f)) for f in fractions])
 
 
 def _cheapest(costs: Costs, n_pos: int) -> Column:
@@ -195,8 +205,10 @@ def evaluate(
 
 def flat_metrics(metrics: DataFrame, settings: Evaluation = Evaluation()) -> DataFrame:
     """Maps opened into one column per key."""
-    opened = [F.col("recall_at_fpr")[recall_key(t)].alias(recall_key(t)) for t in settings.fpr_targets]
-    opened += [F.col("precision_at_k")[precision_key(f)].alias(precision_key(f)) for f in settings.top_fractions]
+    opened = [F.col("recall_at_fpr")[recall_key(t)].alias(recall_column(t)) for t in settings.fpr_targets]
+    opened += [
+        F.col("precision_at_k")[precision_key(f)].alias(precision_column(f)) for f in settings.top_fractions
+    ]
     rest = [c for c in metrics.columns if c not in ("recall_at_fpr", "precision_at_k")]
     return metrics.select(*rest, *opened)
 

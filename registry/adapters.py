@@ -181,33 +181,33 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def item_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def item_facts(spark: SparkSession, sf_dir: str, category: bool = False, city: bool = False) -> DataFrame:
     """Line items as labeled transactions: returned is a fraud, accepted is none.
 
-    The supplier is the merchant, the type of the part its category.
+    The supplier is the merchant; ``category`` adds the type of the part and
+    ``city`` the nation of the supplier.
     """
     flag = F.col("l_returnflag")
-    nation = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("merchant_city")
+    items = table(spark, sf_dir, "lineitem").select(
+        F.col("l_extendedprice").alias("amount"),
+        F.col("l_suppkey").alias("merchant_id"),
+        "l_partkey",
+        F.when(flag == "R", 1).when(flag == "A", 0).alias("is_fraud"),
     )
-    suppliers = table(spark, sf_dir, "supplier").join(F.broadcast(nation), "s_nationkey", "left")
-    parts = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("mcc_desc")
-    )
-    places = suppliers.select(F.col("s_suppkey").alias("l_suppkey"), "merchant_city")
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(parts, "l_partkey", "left")
-        .join(places, "l_suppkey", "left")
-        .select(
-            F.col("l_shipdate").cast("timestamp_ntz").alias("ts"),
-            F.col("l_extendedprice").alias("amount"),
-            F.col("l_suppkey").alias("merchant_id"),
-            "merchant_city",
-            "mcc_desc",
-            F.when(flag == "R", 1).when(flag == "A", 0).alias("is_fraud"),
+    if category:
+        parts = table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("mcc_desc")
         )
-    )
+        items = items.join(parts, "l_partkey", "left")
+    if city:
+        nation = table(spark, sf_dir, "nation").select(
+            F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("merchant_city")
+        )
+        # One row per nation: 25.
+        suppliers = table(spark, sf_dir, "supplier").join(F.broadcast(nation), "s_nationkey", "left")
+        places = suppliers.select(F.col("s_suppkey").alias("merchant_id"), "merchant_city")
+        items = items.join(places, "merchant_id", "left")
+    return items.drop("l_partkey")
 
 
 def scored(spark: SparkSession, sf_dir: str, ties: bool = False) -> DataFrame:

@@ -197,10 +197,11 @@ def _precision(fraction: float) -> str:
 
 
 _RECALLS = ", ".join(
-    f'round({_recall(t)}, 8) AS "recall@fpr={t:.3f}"' for t in (0.001, 0.005, 0.01, 0.05)
+    f"round({_recall(t)}, 8) AS recall_at_fpr_{name}"
+    for t, name in ((0.001, "0_001"), (0.005, "0_005"), (0.01, "0_010"), (0.05, "0_050"))
 )
 _PRECISIONS = ", ".join(
-    f'round({_precision(f)}, 8) AS "precision@top{name}%"' for f, name in ((0.001, "0.1"), (0.01, "1"))
+    f"round({_precision(f)}, 8) AS precision_at_top_{name}pct" for f, name in ((0.001, "0_1"), (0.01, "1"))
 )
 _EVALUATION = f"""SELECT round({_AP}, 8) AS pr_auc, round({_AUC}, 8) AS roc_auc,
     round(best.score, 8) AS best_threshold, round(CAST(best.cost AS DOUBLE), 8) AS total_cost,

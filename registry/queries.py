@@ -323,17 +323,17 @@ def rate_cuts(spark, sf_dir):
 
 @query()
 def category_by_volume(spark, sf_dir):
-    return reports.category_by_volume(A.item_facts(spark, sf_dir))
+    return reports.category_by_volume(A.item_facts(spark, sf_dir, category=True))
 
 
 @query()
 def category_by_frauds(spark, sf_dir):
-    return reports.category_by_frauds(A.item_facts(spark, sf_dir))
+    return reports.category_by_frauds(A.item_facts(spark, sf_dir, category=True))
 
 
 @query()
 def top_merchants(spark, sf_dir):
-    return reports.top_merchants(A.item_facts(spark, sf_dir))
+    return reports.top_merchants(A.item_facts(spark, sf_dir, category=True, city=True))
 
 
 @query()

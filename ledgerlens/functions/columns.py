@@ -5,6 +5,8 @@ All of them are built-ins, so they stay inside whole-stage code generation.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ def month_of_year(ts: Column) -> Column:
 
 
 def month_start(ts: Column) -> Column:
-    return F.date_trunc("month", ts).cast("timestamp_ntz")
+    return F.trunc(ts.cast("date"), "month").cast("timestamp_ntz")
 
 
 def weekend_flag(ts: Column) -> Column:
@@ -100,6 +102,11 @@ def merchant_label(city: Column, category: Column) -> Column:
     return F.concat(city, F.lit(" · "), F.substring(category, 1, 22))
 
 
+def naive_instant(at: datetime) -> Column:
+    """Constant naive timestamp; by text, as Python's own zone plays no part in it."""
+    return F.lit(at.isoformat(" ")).cast("timestamp_ntz")
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Elapsed seconds with fraction, by naive timestamps (no time zone enters)."""
     gap = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
@@ -108,7 +115,7 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 def epoch_seconds(ts: Column) -> Column:
     """Naive timestamp as a double that keeps single microseconds apart."""
-    return seconds_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    return seconds_between(naive_instant(datetime(1970, 1, 1)), ts)
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

@@ -85,8 +85,7 @@ def _near(value: str, spans: list[tuple[float, float]], timed: bool) -> Column:
     def literal(edge: float, margin: int) -> Column:
         if not timed:
             return F.lit(edge)
-        at = datetime(1970, 1, 1) + timedelta(seconds=edge, milliseconds=margin)
-        return F.lit(at.isoformat(" ")).cast("timestamp_ntz")
+        return C.naive_instant(datetime(1970, 1, 1) + timedelta(seconds=edge, milliseconds=margin))
 
     near = F.lit(False)
     for low, high in spans:

@@ -30,7 +30,7 @@ SMALLEST_HOT_GROUP = 1_000_000
 HOT_FACTOR = 5
 # Rows sampled per hot key, and per slot, when looking for keys and cuts.
 SAMPLED_PER_HOT_KEY = 2_000
-SAMPLED_PER_SLOT = 2_000
+SAMPLED_PER_SLOT = 500
 SAMPLE_SEED = 7
 # A table this short may be broadcast.
 BROADCAST_ROWS = 200_000
@@ -112,7 +112,7 @@ def fit_slots(
     """Choose the cuts; ``totals`` are aggregates over all rows wanted on the way.
 
     Cuts only decide how evenly the slots are filled, so quantiles of a sample are
-    enough: a few thousand rows per slot, whatever the size of the table.
+    enough: a few hundred rows per slot, whatever the size of the table.
     """
     pieces = pieces or task_count(df.sparkSession)
     counted = df.agg(F.count("*").alias("_n"), *[c.alias(k) for k, c in (totals or {}).items()])

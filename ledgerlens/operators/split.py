@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import naive_instant
 from .quantiles import kth_values
 
 # Default shares of the labeled timeline.
@@ -28,7 +29,7 @@ class TimeSplit:
     def part(self, name: str) -> DataFrame:
         """One part, as a range filter on ``ts`` that reaches the Parquet scan."""
         ts = F.col("ts")
-        train_end, valid_end = (F.lit(t).cast("timestamp_ntz") for t in (self.train_end, self.valid_end))
+        train_end, valid_end = naive_instant(self.train_end), naive_instant(self.valid_end)
         inside = {
             "train": ts <= train_end,
             "valid": (ts > train_end) & (ts <= valid_end),
@@ -65,7 +66,7 @@ def time_split(
         raise ValueError("no labeled rows to split; check the label source")
     if len(instants) < 2:
         raise ValueError("the train and validation shares leave no test window")
-    train_end, valid_end = (F.lit(instants[name]).cast("timestamp_ntz") for name in ("train", "valid"))
+    train_end, valid_end = naive_instant(instants["train"]), naive_instant(instants["valid"])
     part = (
         F.when(F.col(ts) <= train_end, "train")
         .when(F.col(ts) <= valid_end, "valid")

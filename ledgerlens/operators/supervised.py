@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, shared_folder
 from .features import NUMERIC_FEATURES, TARGET
 from .matrix import Scaler, fit_scaler, with_missing_flags, zero_filled
 from .metrics import average_precision
@@ -125,6 +125,8 @@ def fit_boosted(
     Every prefix of the trees is itself a model, so the stopping point is chosen
     after the fit among multiples of ``check_every``.
     """
+    # Boosting cuts its lineage every few rounds where there is a checkpoint folder.
+    shared_folder(train.sparkSession)
     matrix = _matrix_columns(columns)
     boosting = GBTClassifier(
         labelCol=TARGET,

@@ -204,10 +204,17 @@ def export_reports(
         "transaction_id",
         F.col("is_fraud").isNotNull(),
     )
-    write_table(drawn.select("is_fraud", "amount"), f"{target}/amount_sample")
+    amounts = write_table(drawn.select("is_fraud", "amount"), f"{target}/amount_sample")
+    report(
+        "eda_amount_histogram",
+        reports.class_histogram(amounts, "amount", above=0.0, below=reports.REPORT_AMOUNT_LIMIT),
+    )
 
     predictions = spark.read.parquet(out.path("predictions"))
-    report("metrics", spark.read.parquet(out.path("metrics")))
+    trained = spark.read.parquet(out.path("metrics"))
+    report("metrics", trained)
+    supervised_rows = {model: _test_row(trained, model) for model in ("baseline", "boosted")}
+    report("model_comparison", metrics.model_comparison(supervised_rows, baseline="baseline"))
     report("feature_importance", spark.read.parquet(out.path("feature_importance")).orderBy(F.desc("gain")))
     report("pr_curve", metrics.pr_curve(predictions))
     report("roc_curve", metrics.roc_curve(predictions))
@@ -216,18 +223,30 @@ def export_reports(
     report("budget_scan", metrics.budget_scan(predictions))
     threshold = metrics.cost_threshold(predictions).first()["threshold"]
     report("confusion", metrics.confusion_matrix(predictions, threshold))
-    write_table(metrics.top_risk(predictions), f"{target}/top_risk")
+    top = write_table(metrics.top_risk(predictions), f"{target}/top_risk")
+    report("top_risk_view", metrics.top_risk_view(top))
 
     table = stored_table(spark, out.path("unsupervised_metrics"))
     if table is None or force:
         table = unsupervised(spark, out, sample_rows)
     report("unsupervised_metrics", table)
+    approaches = {"boosted": supervised_rows["boosted"]}
+    approaches |= {model: _test_row(table, model) for model in ("isolation_forest", "lof")}
+    comparison = metrics.model_comparison(approaches, baseline="boosted")
+    report("unsupervised_comparison", metrics.metrics_long(comparison).orderBy("model", "metric"))
     scores = spark.read.parquet(out.path("unsupervised_scores"))
     drawn = sampling.sample_fixed_n(scores, anomaly.ANOMALY_SAMPLE_ROWS, "transaction_id")
-    write_table(drawn.select("anomaly_score", "is_fraud"), f"{target}/anomaly_sample")
+    anomalies = write_table(drawn.select("anomaly_score", "is_fraud"), f"{target}/anomaly_sample")
+    report("anomaly_histogram", reports.class_histogram(anomalies, "anomaly_score"))
     return target
 
 
+def _test_row(table: DataFrame, model: str) -> DataFrame:
+    """The stored ``evaluate`` row of one model on the test window."""
+    row = table.filter((F.col("model") == model) & (F.col("part") == "test"))
+    return row.drop("model", "part", "best_iteration", "n_features")
+
+
 def _export_cuts(facts: DataFrame, report) -> None:
     """The single-key rate reports, counted together in one pass."""
     ts = F.col("ts")
@@ -244,6 +263,7 @@ def _export_cuts(facts: DataFrame, report) -> None:
             "region": C.region(F.col("merchant_state")),
         },
     )
+    cuts["dow"] = cuts["dow"].withColumn("day", C.day_name(F.col("dow")))
     for name, key in (("by_hour", "hour"), ("by_dow", "dow"), ("monthly", "month"), ("by_year", "year")):
         report(f"eda_{name}", cuts[key].orderBy(key))
     for name, key in (("by_chip", "use_chip"), ("by_region", "region")):

@@ -121,7 +121,7 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         events.withColumn("_nation", F.col("merchant_id") % 25)
-        .join(F.broadcast(places), "_nation", "left")
+        .join(places, "_nation", "left")
         .select(
             F.col("event_id").alias("id"),
             F.col("ts").cast("timestamp_ntz").alias("date"),
@@ -203,8 +203,7 @@ def item_facts(spark: SparkSession, sf_dir: str, category: bool = False, city: b
         nation = table(spark, sf_dir, "nation").select(
             F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("merchant_city")
         )
-        # One row per nation: 25.
-        suppliers = table(spark, sf_dir, "supplier").join(F.broadcast(nation), "s_nationkey", "left")
+        suppliers = table(spark, sf_dir, "supplier").join(nation, "s_nationkey", "left")
         places = suppliers.select(F.col("s_suppkey").alias("merchant_id"), "merchant_city")
         items = items.join(places, "merchant_id", "left")
     return items.drop("l_partkey")

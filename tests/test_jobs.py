@@ -54,6 +54,16 @@ def test_jobs_end_to_end(spark, setting, tmp_path):
     assert [r["hour"] for r in records("eda_by_hour")] == sorted(r["hour"] for r in records("eda_by_hour"))
     assert sum(r["n"] for r in records("deciles")) == parts["test"]
     assert len(records("feature_importance")) == 20
+    compared = {r["model"]: r for r in records("model_comparison")}
+    assert set(compared) == {"baseline", "boosted"}
+    assert compared["baseline"]["savings"] == 0.0
+    assert compared["boosted"]["savings"] == pytest.approx(
+        rows["baseline", "test"]["total_cost"] - rows["boosted", "test"]["total_cost"]
+    )
+    assert len(records("unsupervised_comparison")) == 6
+    assert sum(r["n"] for r in records("anomaly_histogram")) == parts["test"]
+    assert 0 < sum(r["n"] for r in records("eda_amount_histogram")) <= summary["labeled"]
+    assert {r["day"] for r in records("eda_by_dow")} <= {"Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"}
     assert spark.read.parquet(f"{target}/top_risk").count() == min(500, parts["test"])
 
 

@@ -39,6 +39,7 @@ BUDGET_RANGE = (0.0005, 0.1)
 TOP_RISK_ROWS = 500
 
 
+# Fixed formats: the keys of the two metric maps.
 def recall_key(target: float) -> str:
     return f"recall@fpr={target:.3f}"
 

@@ -408,7 +408,7 @@ ORACLES: dict[str, str] = {
            ELSE 'international' END""",
         "region",
     ),
-    "rate_by_credit_band": f"""{DENSE} SELECT ((credit_score - 300) / 69)::INTEGER AS bucket,
+    "rate_by_credit_band": f"""{DENSE} SELECT CAST(round((credit_score - 300) / 69.0) AS INTEGER) AS bucket,
         min(credit_score) AS lo, max(credit_score) AS hi, count(*) AS n, round(avg(is_fraud), 6) AS fraud_rate,
         CAST(min(credit_score) AS VARCHAR) || '–' || CAST(max(credit_score) AS VARCHAR) AS "range"
         FROM facts WHERE is_fraud IS NOT NULL AND credit_score IS NOT NULL GROUP BY 1""",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import features, history
 from ledgerlens.sources.readers import RawTables
-from registry import adapters
+from ledgerlens.registry import adapters
 
 SCHEMA = "transaction_id long, ts timestamp_ntz, card_id long, merchant_id long, amount double"
 START = datetime(2019, 1, 1)

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from ledgerlens.plans import jobs
-from registry import adapters, files
+from ledgerlens.registry import adapters, files
 
 SF = "/root/testdata/sf0.001"
 

@@ -9,6 +9,7 @@ from ..functions import columns as C
 from ..sources.readers import RawTables
 from .enrich import attach_dimensions, transaction_facts
 from .history import with_history
+from .quantiles import kth_values
 
 # Model columns; the order is the order of the feature vector.
 NUMERIC_FEATURES = [
@@ -90,8 +91,14 @@ def static_features(df: DataFrame) -> DataFrame:
 
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:
-    """The earliest ``n`` transactions; the order is pinned so a rerun agrees."""
-    return df.orderBy(F.col("ts").asc_nulls_last(), "transaction_id").limit(n)
+    """The earliest ``n`` transactions; the order is pinned so a rerun agrees.
+
+    The instant of the last one is looked up first, so that only rows up to it are
+    sorted and not ``n`` rows of every task.
+    """
+    last = kth_values(df, "ts", lambda total: {"last": F.lit(n - 1)}).first()
+    early = df if last is None else df.filter(F.col("ts") <= C.naive_instant(last["value"]))
+    return early.orderBy(F.col("ts").asc_nulls_last(), "transaction_id").limit(n)
 
 
 def build_features(

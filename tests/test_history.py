@@ -112,6 +112,14 @@ def test_features_do_not_look_ahead(spark):
     assert whole == build(past) == build(past.unionByName(later))
 
 
+@pytest.mark.parametrize("n", [1, 50, 390, 1000])
+def test_first_rows_follow_time_and_id(spark, n):
+    rows = rows_of(7)
+    order = sorted(rows, key=lambda r: (r[1] is None, r[1] or START, r[0]))
+    found = features.first_rows(spark.createDataFrame(rows, SCHEMA).repartition(4), n).collect()
+    assert sorted(r[0] for r in found) == sorted(r[0] for r in order[:n])
+
+
 def test_feature_lists(spark):
     assert not set(features.NUMERIC_FEATURES) & set(features.CATEGORICAL_FEATURES)
     assert len(features.NUMERIC_FEATURES) == 25 and len(features.CATEGORICAL_FEATURES) == 10

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +27,16 @@ def task_count(spark: SparkSession) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
+    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session, else a folder in its warehouse.
 
-    Only where the session names none (local tests) is a folder made here.
+    A session with executors on other machines must name one of the two on a shared store.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="ledgerlens-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        if not context.master.startswith("local") and folder.startswith(("file:", "/")):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder

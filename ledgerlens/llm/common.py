@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +14,16 @@ from ledgerlens.session import scratch_path, task_count
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers of this machine import the package from where the driver did; a cluster gets it by --py-files."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    held = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in held:
+        env["PYTHONPATH"] = os.pathsep.join([p for p in held if p] + [root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -40,7 +52,3 @@ def row_key() -> Column:
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only, whatever the locale."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def drop_scratch(df: DataFrame, *names: str) -> DataFrame:
-    return df.drop(*[n for n in names if n in df.columns])

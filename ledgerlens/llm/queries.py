@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm.packing import op6_best_fit_packing
+from ledgerlens.llm.setsketch import op7_setsketch_near_dedup
 from ledgerlens.llm.tokenfile import op3_token_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_file": op3_token_file,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_setsketch_near_dedup": op7_setsketch_near_dedup,
 }
 
 ORACLES: dict[str, str] = {}

@@ -52,3 +52,11 @@ def row_key() -> Column:
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only, whatever the locale."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name = f"_{name}"
+    return name

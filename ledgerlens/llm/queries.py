@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.llm.decontam import op2_spaced_seed_decontamination
+from ledgerlens.llm.licenses import op10_diagonal_licenses
 from ledgerlens.llm.packing import op6_best_fit_packing
 from ledgerlens.llm.setsketch import op7_setsketch_near_dedup
 from ledgerlens.llm.tokenfile import op3_token_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_spaced_seed_decontamination": op2_spaced_seed_decontamination,
     "op3_token_file": op3_token_file,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_setsketch_near_dedup": op7_setsketch_near_dedup,
+    "op10_diagonal_licenses": op10_diagonal_licenses,
 }
 
 ORACLES: dict[str, str] = {}

@@ -68,7 +68,9 @@ def _best_window(agreed: str, item: str) -> Column:
 def _in_block(docs: DataFrame, items: DataFrame) -> DataFrame:
     seeds = items.select("item_id", F.posexplode(hashed_places(items, "item", MASKS)).alias("p", "seed"))
     seeds = seeds.select("item_id", "seed", F.floor(F.col("p") / len(MASKS)).cast("int").alias("item_pos"))
-    hits = docs.select("row", "doc_id", "tokens", F.posexplode(hashed_places(docs, "tokens", MASKS)).alias("p", "seed"))
+    # hashes in a step of their own: the explode and both joins then run as one generated loop, which holds the tokens by reference
+    hashed = docs.select("row", "doc_id", "tokens", hashed_places(docs, "tokens", MASKS).alias("seeds"))
+    hits = hashed.select("row", "doc_id", "tokens", F.posexplode_outer("seeds").alias("p", "seed"))
     shift = F.floor(F.col("p") / len(MASKS)).cast("int") - F.col("item_pos")
     found = hits.join(F.broadcast(seeds), "seed").select("row", "doc_id", "tokens", "item_id", shift.alias("shift"))
     # only the stretch that the item may cover goes on
@@ -77,14 +79,15 @@ def _in_block(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.slice("tokens", F.greatest(F.col("shift"), F.lit(0)) + 1, F.size("item") + F.least(F.col("shift"), F.lit(0))).alias("part"),
         F.least(F.col("shift"), F.lit(0)).alias("lead"),
     )
-    judged = near.select("row", "doc_id", "item_id", "shift", "item", _agreement("part", "item", "lead").alias("agreed"))
-    scored = judged.select("row", "doc_id", "item_id", "shift", F.size("item").alias("n_item"),
-                           F.aggregate("agreed", F.lit(0), lambda x, y: x + y).alias("matched"), _best_window("agreed", "item").alias("best"))
-    return scored.filter("best.n > 0").select("row", "doc_id", "item_id", "shift", "n_item", "matched", (F.col("shift") - F.col("best.at")).alias("window_start"))
+    # once for each diagonal; the aggregate also keeps the optimizer from repeating what follows inside the joins
+    once = near.groupBy("row", "doc_id", "item_id", "shift").agg(F.first("item").alias("item"), F.first("part").alias("part"), F.first("lead").alias("lead"))
+    judged = once.select("row", "doc_id", "item_id", "shift", "item", _agreement("part", "item", "lead").alias("agreed"))
+    total = F.aggregate("agreed", F.lit(0), lambda x, y: x + y)
+    return judged.select("row", "doc_id", "item_id", "shift", F.size("item").alias("n_item"), total.alias("matched"), _best_window("agreed", "item").alias("best"))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Verified overlaps, one row for each document row, item and diagonal.
+    """Verified overlaps, one row for each document row and item: its best diagonal.
 
     ``shift``: where in the document (token) the item would begin; ``matched``: agreeing tokens along the diagonal;
     ``window_start``: first token in the document of the best window.
@@ -98,14 +101,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
         one = _in_block(tokens, part)
         found = one if found is None else found.union(one)
-    return found.distinct()
+    window = F.struct(F.col("best.n").alias("n"), "matched", (F.col("shift") - F.col("best.at")).alias("window_start"), "shift")
+    best = found.groupBy("row", "doc_id", "item_id", "n_item").agg(F.max(window).alias("m")).filter("m.n > 0")
+    return best.select("row", "doc_id", "item_id", "n_item", "m.matched", "m.shift", "m.window_start")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per contaminated document row: how many items leak and the share of the best one that agrees."""
-    best = overlaps(docs, benchmark).groupBy("row", "doc_id", "item_id").agg(F.max("matched").alias("matched"), F.max("n_item").alias("n_item"))
     share = F.struct((F.col("matched") / F.col("n_item")).alias("share"), (-F.col("item_id")).alias("item"))
-    return best.groupBy("row", "doc_id").agg(F.count("*").alias("n_items"), F.max(share).alias("m")).select(
+    return overlaps(docs, benchmark).groupBy("row", "doc_id").agg(F.count("*").alias("n_items"), F.max(share).alias("m")).select(
         "row", "doc_id", "n_items", (-F.col("m.item")).alias("item_id"), F.col("m.share").alias("overlap"))
 
 

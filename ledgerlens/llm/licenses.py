@@ -77,7 +77,8 @@ def hits(docs: DataFrame, grams: DataFrame) -> DataFrame:
     taken = docs.select(row_key().alias("row"), "doc_id", words(F.col("text")).alias("words"))
     rolling = F.transform(places(F.size("words") - (K - 1)), lambda i: _seed([F.get("words", i + j) for j in range(K)]))
     ended = F.concat(rolling, F.array(F.xxhash64(F.lit(_END))))
-    exploded = taken.select("row", "doc_id", "words", F.posexplode(ended).alias("place", "seed"))
+    # hashes in a step of their own: explode and join then run as one generated loop, which holds the words by reference
+    exploded = taken.select("row", "doc_id", "words", ended.alias("seeds")).select("row", "doc_id", "words", F.posexplode_outer("seeds").alias("place", "seed"))
     seeds = grams.select("tid", "tpos", "gram", _seed([F.col("gram")[j] for j in range(K)]).alias("seed"))
     end = grams.sparkSession.range(1).select(F.lit(None).cast("int").alias("tid"), F.lit(None).cast("int").alias("tpos"), F.lit(None).cast("array<string>").alias("gram"), F.xxhash64(F.lit(_END)).alias("seed"))
     found = exploded.join(F.broadcast(seeds.union(end)), "seed")

@@ -10,11 +10,13 @@ from ledgerlens.llm.decontam import op2_spaced_seed_decontamination
 from ledgerlens.llm.licenses import op10_diagonal_licenses
 from ledgerlens.llm.packing import op6_best_fit_packing
 from ledgerlens.llm.setsketch import op7_setsketch_near_dedup
+from ledgerlens.llm.shards import op5_prefix_sum_shards
 from ledgerlens.llm.tokenfile import op3_token_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_spaced_seed_decontamination": op2_spaced_seed_decontamination,
     "op3_token_file": op3_token_file,
+    "op5_prefix_sum_shards": op5_prefix_sum_shards,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_setsketch_near_dedup": op7_setsketch_near_dedup,
     "op10_diagonal_licenses": op10_diagonal_licenses,

@@ -10,6 +10,7 @@ from ledgerlens.llm.decontam import op2_spaced_seed_decontamination
 from ledgerlens.llm.imatch import op9_imatch_fingerprints
 from ledgerlens.llm.licenses import op10_diagonal_licenses
 from ledgerlens.llm.packing import op6_best_fit_packing
+from ledgerlens.llm.pii import op8_pii_surrogates
 from ledgerlens.llm.setsketch import op7_setsketch_near_dedup
 from ledgerlens.llm.shards import op5_prefix_sum_shards
 from ledgerlens.llm.tokenfile import op3_token_file
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_prefix_sum_shards": op5_prefix_sum_shards,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_setsketch_near_dedup": op7_setsketch_near_dedup,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op9_imatch_fingerprints": op9_imatch_fingerprints,
     "op10_diagonal_licenses": op10_diagonal_licenses,
 }

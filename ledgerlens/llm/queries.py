@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.llm.chat import op1_chat_role_repair
 from ledgerlens.llm.decontam import op2_spaced_seed_decontamination
 from ledgerlens.llm.imatch import op9_imatch_fingerprints
 from ledgerlens.llm.licenses import op10_diagonal_licenses
@@ -14,10 +15,13 @@ from ledgerlens.llm.pii import op8_pii_surrogates
 from ledgerlens.llm.setsketch import op7_setsketch_near_dedup
 from ledgerlens.llm.shards import op5_prefix_sum_shards
 from ledgerlens.llm.tokenfile import op3_token_file
+from ledgerlens.llm.toxicity import op4_convolutional_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_role_repair": op1_chat_role_repair,
     "op2_spaced_seed_decontamination": op2_spaced_seed_decontamination,
     "op3_token_file": op3_token_file,
+    "op4_convolutional_toxicity": op4_convolutional_toxicity,
     "op5_prefix_sum_shards": op5_prefix_sum_shards,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_setsketch_near_dedup": op7_setsketch_near_dedup,

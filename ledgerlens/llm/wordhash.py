@@ -52,8 +52,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return held[:n]
 
 
-def word_hashes(texts: Sequence[bytes], space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts in order, and how many words each text has."""
+def word_hashes(texts: Sequence[bytes], space: np.ndarray = SPACE, heads: Sequence[int] = ()) -> tuple[np.ndarray, ...]:
+    """Hashes of all words of the texts in order, and how many words each text has; then hashes of the words' first ``heads`` bytes."""
     joined = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     with np.errstate(over="ignore"):
         gap = space[joined]
@@ -62,9 +62,10 @@ def word_hashes(texts: Sequence[bytes], space: np.ndarray = SPACE) -> tuple[np.n
         ends = np.flatnonzero(edge == 1)
         prefix = np.zeros(len(joined) + 1, dtype=np.uint64)
         np.cumsum(_BYTES[joined] * _powers(_R, len(joined)), out=prefix[1:])
-        hashes = mix((prefix[ends] - prefix[starts]) * _powers(_R_INVERSE, len(joined) + 1)[starts])
+        begin, scale = prefix[starts], _powers(_R_INVERSE, len(joined) + 1)[starts]
+        hashes = [mix((prefix[end] - begin) * scale) for end in (ends, *(np.minimum(ends, starts + n) for n in heads))]
     last = np.cumsum([len(t) + 1 for t in texts])
-    return hashes, np.diff(np.searchsorted(starts, last), prepend=0)
+    return hashes[0], np.diff(np.searchsorted(starts, last), prepend=0), *hashes[1:]
 
 
 def chunks(texts: Sequence[str | None]) -> Iterator[tuple[int, list[bytes]]]:

@@ -2,7 +2,8 @@
 
 A word's vector is the sum of hashed embeddings of the word and of its first bytes (so inflected forms share a part). Filters of several
 widths slide over the whole text, each is pooled by its maximum, and a logistic layer gives a probability. It is trained by gradient descent
-(Adagrad) on balanced batches; rows of the embedding table that no training text used are zero, so unknown words say nothing.
+(Adagrad) on balanced batches, each without some of its words; rows of the embedding table that fewer than ``LEAST_TEXTS`` training texts used
+are zero, so words that the fit hardly saw say nothing.
 
 Thresholds are calibrated by language on labelled rows that the fit did not see. The language is guessed from the text alone, by
 its function words. A score maps the probability so that the threshold of the language lies at ``CUT``.
@@ -28,13 +29,15 @@ from ledgerlens.llm.common import fresh, table
 from ledgerlens.llm.wordhash import chunks, word_hashes
 
 #: Rows of the embedding table, length of a vector, filter widths, filters of each width, bytes of a word's head.
-ROWS, SIZE, WIDTHS, FILTERS, HEADS = 1 << 16, 16, (1, 2, 3), 8, (4, 5)
+ROWS, SIZE, WIDTHS, FILTERS, HEADS = 1 << 16, 16, (1, 2, 3), 4, (4, 5)
 #: Bounds of the sample, batches and their size, learning rate.
 FIT_ROWS, FIT_WORDS, BATCHES, BATCH, RATE = 1500, 1500, 500, 32, 0.15
+#: Training texts that must use a row of the table, share of the words in a batch.
+LEAST_TEXTS, KEPT_WORDS = 2, 0.5
 #: Score from which a text counts as toxic.
 CUT = 0.3
 #: Positive rows below which a language takes the threshold of all languages.
-LEAST_POSITIVE = 8
+LEAST_POSITIVE = 20
 
 # Function words by which a language is guessed.
 FUNCTION_WORDS = {
@@ -120,10 +123,11 @@ def probabilities(model: Model, rows: np.ndarray, counts: np.ndarray) -> np.ndar
 def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     """Train on texts given as table rows of their words."""
     rng = np.random.default_rng(seed)
-    used = np.zeros(ROWS, dtype=bool)
+    held = np.zeros(ROWS, dtype=np.int64)
     for t in texts:
-        used[t.reshape(-1)] = True
-    embedding = (rng.normal(0, 0.1, (ROWS, SIZE)) * used[:, None]).astype(np.float32)
+        held[np.unique(t)] += 1
+    common = held >= LEAST_TEXTS
+    embedding = (rng.normal(0, 0.1, (ROWS, SIZE)) * common[:, None]).astype(np.float32)
     kernels = [rng.normal(0, 0.3, (w, SIZE, FILTERS)).astype(np.float32) for w in WIDTHS]
     biases = [np.zeros(FILTERS, dtype=np.float32) for _ in WIDTHS]
     weights, bias = rng.normal(0, 0.3, FILTERS * len(WIDTHS)), 0.0
@@ -131,8 +135,9 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     classes = [np.flatnonzero(labels == k) for k in (0, 1)]
     for _ in range(BATCHES):
         batch = np.concatenate([rng.choice(c, BATCH // 2) for c in classes])
-        counts = np.array([len(texts[i]) for i in batch])
-        rows = np.concatenate([texts[i] for i in batch])
+        # some words are left out each time, so that no single one of a text carries its label
+        thinned = [texts[i][rng.random(len(texts[i])) < KEPT_WORDS] for i in batch]
+        counts, rows = np.array([len(t) for t in thinned]), np.concatenate(thinned)
         vectors, starts = _vectors(embedding, rows, counts)
         n, pooled, chosen = int(starts[-1]), [], []
         for kernel in kernels:
@@ -164,7 +169,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
             d_kernels.append(d_kernel)
             d_biases.append(g.sum(0))
         for value, gradient, total in zip((embedding, *kernels, *biases, weights), (d_embedding, *d_kernels, *d_biases, d_weights), seen, strict=True):
-            touched = np.flatnonzero(gradient.any(axis=1)) if value is embedding else slice(None)
+            touched = np.flatnonzero(gradient.any(axis=1) & common) if value is embedding else slice(None)
             total[touched] += gradient[touched] ** 2
             value[touched] -= RATE * gradient[touched] / np.sqrt(total[touched])
     return Model(embedding, kernels, biases, weights, bias, {"": 0.5})
@@ -179,7 +184,7 @@ def best_threshold(p: np.ndarray, labels: np.ndarray) -> float:
     ends = np.append(sorted_p[1:] < sorted_p[:-1], True)
     k = int(np.where(ends, f1, -1).argmax())
     below = sorted_p[k + 1] if k + 1 < len(p) else 0.0
-    return float(np.clip((sorted_p[k] + below) / 2, 0.01, 0.99))
+    return float(np.clip((sorted_p[k] + below) / 2, 0.3, 0.99))
 
 
 def calibrated(p: np.ndarray, thresholds: np.ndarray) -> np.ndarray:

@@ -40,9 +40,6 @@ FEATURE_TABLE = [
     "is_first_txn", "card_age_years",
 ]
 
-# Deviations below this are rounding noise of a constant history, not spread.
-SMALLEST_SPREAD = 1e-9
-
 
 def calendar_features(ts: Column) -> dict[str, Column]:
     return {
@@ -56,7 +53,7 @@ def calendar_features(ts: Column) -> dict[str, Column]:
 
 def amount_z(amount: Column, prior_avg: Column, prior_std: Column) -> Column:
     """NULL without spread: first row, second row and constant history."""
-    return F.when(prior_std > SMALLEST_SPREAD, (amount - prior_avg) / prior_std)
+    return F.when(prior_std > 0, (amount - prior_avg) / prior_std)
 
 
 def history_features(df: DataFrame) -> DataFrame:

@@ -144,7 +144,10 @@ def _card_history(
     windows = {
         "card_prior_txn_count": F.count("*").over(before),
         "card_prior_avg_amount": F.avg(amount).over(before),
-        "card_prior_std_amount": F.stddev_pop(amount).over(before),
+        # a constant history deviates by exactly nothing, whatever the rounding
+        "card_prior_std_amount": F.when(
+            F.max(amount).over(before) == F.min(amount).over(before), F.lit(0.0)
+        ).otherwise(F.stddev_pop(amount).over(before)),
         "card_prior_max_amount": F.max(amount).over(before),
         "card_prev_ts": F.lag(ts).over(in_order),
     }

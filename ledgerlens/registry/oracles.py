@@ -70,7 +70,8 @@ _BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 _WINDOWED = f"""
 windowed AS (
   SELECT *,
-         count(*) OVER card AS cnt, avg(amount) OVER card AS pavg, stddev_pop(amount) OVER card AS pstd,
+         count(*) OVER card AS cnt, avg(amount) OVER card AS pavg,
+         CASE WHEN max(amount) OVER card = min(amount) OVER card THEN 0 ELSE stddev_pop(amount) OVER card END AS pstd,
          max(amount) OVER card AS pmax,
          lag(ts) OVER (PARTITION BY card_id ORDER BY ts, transaction_id) AS prev,
          count(*) OVER (PARTITION BY card_id, merchant_id ORDER BY ts, transaction_id {_BEFORE}) AS pair_cnt,
@@ -94,7 +95,7 @@ _FEATURE_COLUMNS = """
   round(coalesce(pmax, amount), 8) AS card_prior_max_amount,
   round((epoch_us(ts) - epoch_us(prev)) / 1e6, 8) AS sec_since_prev_txn,
   round(amount - pavg, 8) AS amount_dev_from_prior_avg,
-  round(CASE WHEN pstd > 1e-9 THEN (amount - pavg) / pstd END, 8) AS amount_z,
+  round(CASE WHEN pstd > 0 THEN (amount - pavg) / pstd END, 8) AS amount_z,
   CASE WHEN prev IS NULL THEN 1 ELSE 0 END AS is_first_txn,
   CAST(year(ts) - year(acct_open_date) AS BIGINT) AS card_age_years
 """
@@ -379,7 +380,7 @@ ORACLES: dict[str, str] = {
                pair_cnt AS card_merchant_prior_count FROM windowed""",
     "amount_z": f"""{SPARSE}, base AS (SELECT * FROM facts), {_WINDOWED}
         SELECT transaction_id, round(amount, 8) AS amount, round(amount - pavg, 8) AS amount_dev_from_prior_avg,
-               round(CASE WHEN pstd > 1e-9 THEN (amount - pavg) / pstd END, 8) AS amount_z FROM windowed""",
+               round(CASE WHEN pstd > 0 THEN (amount - pavg) / pstd END, 8) AS amount_z FROM windowed""",
     "amount_to_limit": f"""{SPARSE} SELECT transaction_id, round(amount, 6) AS amount,
         round(credit_limit, 6) AS credit_limit, round(amount / nullif(credit_limit, 0), 6) AS amount_to_limit
         FROM facts""",

@@ -2,45 +2,50 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default sample sizes.
-EDA_SAMPLE_ROWS = 500_000
-REPORT_SAMPLE_ROWS = 200_000
+# Fixed value: negative rows in the fit of the linear model.
 BASELINE_NEGATIVES = 500_000
 
-_HEX_DIGITS = 13
+_DIGITS_AT_ONCE = 3
 
 
 def draw_order(key: str, seed: str = "") -> Column:
-    """Hash that decides who is drawn first; other seeds give other samples."""
-    return F.md5(F.concat(F.lit(seed), F.col(key).cast("string")) if seed else F.col(key).cast("string"))
+    """Hash that decides who is drawn first; other seeds give other samples. A missing key is a value too."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit("(none)"))
+    return F.md5(F.concat(F.lit(seed), text) if seed else text)
 
 
 def sample_fixed_n(df: DataFrame, n: int, key: str, seed: str = "") -> DataFrame:
-    """``n`` random rows without replacement; the whole table if it has no more.
+    """Exactly ``n`` random rows without replacement; the whole table if it has no more.
 
-    Hashes are uniform, so a cut a little above the ``n``-th one is known beforehand.
-    Only the ids below it are sorted, to find the last one drawn; the sample itself
-    is a filter on that hash and stays spread over all tasks. Should too few ids lie
-    below the cut it is moved up, so the sample always has exactly ``n`` rows.
+    Rows are drawn in the order of a hash of their key, rows of one key in the order of a hash of all their columns.
+    The last place is found by counting: rows by the first digits of the hash, then those of the one stretch in which the
+    sample ends by the next digits. Each count is at most 4096 numbers; nothing is sorted, and the sample is a filter that
+    stays spread over all tasks. Of rows equal in every column it does not matter which are taken.
     """
-    total = df.select(key).count()
-    if total <= n:
-        return df
-    order = draw_order(key, seed)
-    ids = df.select(order.alias("hash"), F.col(key).alias("id"))
-    share, last, drawn = (n + 6 * math.sqrt(n) + 10) / total, None, 0
-    while drawn < n:
-        cut = f"{int(share * 16**_HEX_DIGITS):0{_HEX_DIGITS}x}"
-        below = ids.filter(F.col("hash") < cut) if share < 1 else ids
-        first = below.orderBy("hash", "id").limit(n)
-        drawn, last = first.agg(F.count("*"), F.max(F.struct("hash", "id"))).first()
-        share *= 2
-    return df.filter((order < last["hash"]) | ((order == last["hash"]) & (F.col(key) <= last["id"])))
+    whole = F.lower(F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])), 16, "0"))
+    order = F.concat(draw_order(key, seed), whole)
+    prefix, wanted, length = "", n, 32 + 16
+    keys = df.select(order.alias("hash"))
+    while True:
+        at = len(prefix)
+        digits = min(_DIGITS_AT_ONCE, length - at)
+        inside = keys.filter(F.col("hash").startswith(prefix)) if prefix else keys
+        counts = inside.groupBy(F.substring("hash", at + 1, digits).alias("d")).agg(F.count("*").alias("n")).collect()
+        if not prefix and sum(r["n"] for r in counts) <= n:
+            return df
+        for row in sorted(counts, key=lambda r: r["d"]):
+            if wanted <= row["n"]:
+                break
+            wanted -= row["n"]
+        prefix += row["d"]
+        if wanted in (0, row["n"]):
+            reached = F.substring(order, 1, len(prefix))
+            return df.filter(reached <= prefix if wanted else reached < prefix)
+        if len(prefix) == length:
+            return df.filter(order < prefix).unionByName(df.filter(order == prefix).limit(wanted))
 
 
 def sample_then_filter(df: DataFrame, n: int, key: str, condition: Column, seed: str = "") -> DataFrame:

@@ -319,7 +319,8 @@ def confusion_matrix(
 ) -> DataFrame:
     """Counts and rates of flagging every row scored at or above ``threshold``."""
     at = F.lit(threshold) if isinstance(threshold, float) else threshold
-    hit, bad = F.col(score) >= at, F.col(label) == 1
+    # a row without a score is not flagged, as in the rankings, where it comes last
+    hit, bad = F.coalesce(F.col(score) >= at, F.lit(False)), F.col(label) == 1
     counts = df.agg(
         F.count_if(hit & bad).alias("tp"),
         F.count_if(hit & ~bad).alias("fp"),

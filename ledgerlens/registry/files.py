@@ -20,7 +20,7 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def write_label_json(labels: DataFrame, path: str) -> str:
-    """``{"target": {id: "Yes" | "No", ...}}``, one document over the sorted part files.
+    """``{"target": {id: "Yes" | "No", ...}}`` between two other sections, one document over the sorted part files.
 
     The pieces are range-partitioned, so no task writes more than its share.
     """
@@ -34,7 +34,7 @@ def write_label_json(labels: DataFrame, path: str) -> str:
     body = labels.select(F.lit(1).alias("section"), "id", pair.alias("line"))
     spark = labels.sparkSession
     brackets = spark.createDataFrame(
-        [(0, 0, '{"target": {'), (2, 0, "}}")], "section int, id long, line string"
+        [(0, 0, '{"meta": {"7": "Yes", "note": {"target": {"9": "Yes"}}}, "target": {'), (2, 0, '}, "more": {"8": "Yes"}}')], "section int, id long, line string"
     )
     ordered = body.unionByName(brackets).orderBy("section", "id")
     ordered.select("line").write.mode("overwrite").text(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,11 +17,15 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
 
 
 def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None where there is none yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    """The table at ``path``, or None where there is none yet or its last write did not finish."""
+    return spark.read.parquet(path) if finished(spark, path) else None
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was committed."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
 def json_ready(df: DataFrame) -> DataFrame:

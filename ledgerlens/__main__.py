@@ -40,7 +40,7 @@ def main(arguments: list[str] | None = None) -> None:
         **{name: f"{folder}/{file}" for name, file in FILES.items()}, labels_cache=out.path("labels")
     )
     if args.job == "eda":
-        for name, table in jobs.eda(spark, paths, out).items():
+        for name, table in jobs.eda(spark, paths, out, args.force).items():
             print(name)
             table.show(200, truncate=False)
     elif args.job == "features":

@@ -51,6 +51,19 @@ class Baseline:
         probability = vector_to_array("probability").getItem(1)
         return self.model.transform(ready).select(*PREDICTION, probability.alias("score"))
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Model, columns and scaler together: what scoring new rows needs."""
+        self.model.write().overwrite().save(f"{path}/model")
+        rows = [(i, c, self.scaler.means[c], self.scaler.deviations[c]) for i, c in enumerate(self.columns)]
+        table = spark.createDataFrame(rows, "place int, column string, mean double, deviation double")
+        table.coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Baseline:
+        rows = spark.read.parquet(f"{path}/columns").orderBy("place").collect()
+        scaler = Scaler({r["column"]: r["mean"] for r in rows}, {r["column"]: r["deviation"] for r in rows})
+        return Baseline(scaler, LogisticRegressionModel.load(f"{path}/model"), [r["column"] for r in rows])
+
 
 def fit_baseline(
     train: DataFrame,

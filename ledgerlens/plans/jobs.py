@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import anomaly, features, matrix, metrics, reports, sampling, supervised
+from ..operators import anomaly, features, matrix, metrics, reports, supervised
 from ..operators.enrich import enrich
-from ..operators.split import TimeSplit, split_summary, time_split
+from ..operators.split import TRAIN_FRACTION, VALID_FRACTION, TimeSplit, split_summary, time_split
 from ..sources.readers import RawPaths, RawTables, read_raw, register_views
 from ..sources.sinks import stored_table, write_report, write_table
 
@@ -25,12 +25,12 @@ class Outputs:
 
     folder: str
 
-    def path(self, name: str) -> str:
-        return f"{self.folder.rstrip('/')}/{name}"
+    def path(self, name: str, sample_rows: int | None = None) -> str:
+        """Named by its parameters, so what a sample gave is never taken for the whole."""
+        return f"{self.folder.rstrip('/')}/{name}" + (f"_first_{sample_rows}" if sample_rows else "")
 
     def features(self, sample_rows: int | None) -> str:
-        """Named by its parameters, so a sample is never taken for the whole table."""
-        return self.path(f"features_first_{sample_rows}" if sample_rows else "features")
+        return self.path("features", sample_rows)
 
 
 def _stored(spark: SparkSession, path: str, force: bool, build) -> DataFrame:
@@ -46,19 +46,16 @@ def store_facts(spark: SparkSession, raw: RawTables, out: Outputs, force: bool =
     return facts
 
 
-def eda(spark: SparkSession, paths: RawPaths, out: Outputs) -> dict[str, DataFrame]:
-    """Summary and five reports of the exploratory analysis."""
-    raw = read_raw(spark, paths)
+def eda(spark: SparkSession, paths: RawPaths, out: Outputs, force: bool = False) -> dict[str, DataFrame]:
+    """Summary and five reports of the exploratory analysis, all over all rows."""
+    raw = read_raw(spark, paths, force)
     register_views(raw)
-    facts = store_facts(spark, raw, out)
-    drawn = sampling.sample_fixed_n(
-        facts.select("transaction_id", "is_fraud", "amount"), sampling.EDA_SAMPLE_ROWS, "transaction_id"
-    )
+    facts = store_facts(spark, raw, out, force)
     return {
         "summary": reports.summary(facts, raw.users, raw.cards),
         "by_hour": reports.rate_by_hour(facts),
         "by_dow": reports.rate_by_dow(facts),
-        "amounts": reports.class_histogram(drawn, "amount", above=0.0, below=reports.EDA_AMOUNT_LIMIT),
+        "amounts": reports.class_histogram(facts, "amount", above=0.0, below=reports.EDA_AMOUNT_LIMIT),
         "by_category": reports.category_by_frauds(facts),
         "by_month": reports.rate_by_month(facts),
     }
@@ -74,7 +71,7 @@ def build_features(
     """
 
     def build() -> DataFrame:
-        raw = read_raw(spark, paths)
+        raw = read_raw(spark, paths, force)
         landed = write_table(raw.transactions, out.path("transactions"))
         return features.build_features(
             RawTables(landed, raw.users, raw.cards, raw.mcc, raw.labels), sample_rows
@@ -108,18 +105,23 @@ def train(
     out: Outputs,
     sample_rows: int | None = None,
     settings: metrics.Evaluation = metrics.Evaluation(),
+    shares: tuple[float, float] = (TRAIN_FRACTION, VALID_FRACTION),
     **boosting: int,
 ) -> TrainingResult:
     """Split by time, fit the baseline and the boosted trees, store scores, metrics and models."""
-    parts = time_split(_feature_table(spark, out, sample_rows))
+    parts = time_split(_feature_table(spark, out, sample_rows), *shares)
+
+    def path(name: str) -> str:
+        return out.path(name, sample_rows)
+
     training, valid, test = (parts.part(name) for name in ("train", "valid", "test"))
 
     baseline = supervised.fit_baseline(training)
     boosted = supervised.fit_boosted(training, valid, **boosting)
     # Scores are stored before they are ranked: ranking reads them several times.
-    baseline_scores = write_table(baseline.score(test), out.path("baseline_predictions"))
-    valid_scores = write_table(boosted.score(valid), out.path("valid_predictions"))
-    predictions = write_table(boosted.score(test), out.path("predictions"))
+    baseline_scores = write_table(baseline.score(test), path("baseline_predictions"))
+    valid_scores = write_table(boosted.score(valid), path("valid_predictions"))
+    predictions = write_table(boosted.score(test), path("predictions"))
 
     table = (
         _named(metrics.evaluate(baseline_scores, settings), "baseline", "test")
@@ -128,10 +130,10 @@ def train(
         .withColumn("best_iteration", F.when(F.col("model") == "boosted", boosted.best_rounds))
         .withColumn("n_features", F.lit(len(boosted.columns)))
     )
-    stored = write_table(table, out.path("metrics"))
-    boosted.model.write().overwrite().save(out.path("boosted_model"))
-    baseline.model.write().overwrite().save(out.path("baseline_model"))
-    write_table(supervised.feature_importance(spark, boosted), out.path("feature_importance"))
+    stored = write_table(table, path("metrics"))
+    boosted.model.write().overwrite().save(path("boosted_model"))
+    baseline.save(spark, path("baseline_model"))
+    write_table(supervised.feature_importance(spark, boosted), path("feature_importance"))
     return TrainingResult(parts, baseline, boosted, stored, predictions)
 
 
@@ -141,45 +143,52 @@ def unsupervised(
     sample_rows: int | None = None,
     settings: metrics.Evaluation = metrics.Evaluation(),
     legit_only: bool = False,
-    fit_rows: int = anomaly.FIT_ROWS,
-    lof_rows: int = anomaly.LOF_ROWS,
+    shares: tuple[float, float] = (TRAIN_FRACTION, VALID_FRACTION),
 ) -> DataFrame:
     """Fit both detectors once; store the scores of the test window and the metrics.
 
     ``legit_only`` keeps frauds out of the fit; by default labels play no part in it.
     """
-    parts = time_split(_feature_table(spark, out, sample_rows))
+    parts = time_split(_feature_table(spark, out, sample_rows), *shares)
     columns = features.NUMERIC_FEATURES
     training = parts.part("train")
     if legit_only:
         training = training.filter(F.col("is_fraud") == 0)
-    drawn = sampling.sample_fixed_n(training, fit_rows, "transaction_id")
-    fit = write_table(matrix.finite_filled(drawn, columns), out.path("detector_fit_rows"))
+    fit = matrix.finite_filled(training, columns)
     scaler = matrix.fit_scaler(fit, columns)
 
     def points(rows: DataFrame) -> DataFrame:
         return scaler.transform(rows).select(*matrix.KEYS, anomaly.feature_array(columns))
 
     test = points(matrix.finite_filled(parts.part("test"), columns))
-    forest = anomaly.fit_isolation_forest(points(fit), "transaction_id", fit_rows=fit_rows)
-    scores = write_table(forest.score(test, *matrix.KEYS), out.path("unsupervised_scores"))
-    lof = anomaly.local_outlier_factor(test, "transaction_id", max_rows=lof_rows)
+    forest = anomaly.fit_isolation_forest(points(fit), "transaction_id")
+    scores = write_table(forest.score(test, *matrix.KEYS), out.path("unsupervised_scores", sample_rows))
+    lof = anomaly.local_outlier_factor(test, "transaction_id")
     lof_scores = write_table(
-        lof.join(test.select("transaction_id", "is_fraud"), "transaction_id"), out.path("lof_scores")
+        lof.join(test.select("transaction_id", "is_fraud"), "transaction_id"), out.path("lof_scores", sample_rows)
     )
     table = _named(metrics.evaluate(scores, settings, "anomaly_score"), "isolation_forest", "test").unionByName(
         _named(metrics.evaluate(lof_scores, settings, "anomaly_score"), "lof", "test")
     )
-    return write_table(table, out.path("unsupervised_metrics"))
+    return write_table(table, out.path("unsupervised_metrics", sample_rows))
 
 
 def export_reports(
-    spark: SparkSession, paths: RawPaths, out: Outputs, sample_rows: int | None = None, force: bool = False
+    spark: SparkSession,
+    paths: RawPaths,
+    out: Outputs,
+    sample_rows: int | None = None,
+    force: bool = False,
+    settings: metrics.Evaluation = metrics.Evaluation(),
+    shares: tuple[float, float] = (TRAIN_FRACTION, VALID_FRACTION),
 ) -> str:
-    """Write every report of the dashboard below ``<folder>/reports``; needs a finished training."""
-    raw = read_raw(spark, paths)
-    facts = store_facts(spark, raw, out)
-    target = out.path("reports")
+    """Write every report of the dashboard below ``<folder>/reports``; needs a finished training.
+
+    ``settings`` and ``shares`` are those the training was run with.
+    """
+    raw = read_raw(spark, paths, force)
+    facts = store_facts(spark, raw, out, force)
+    costs, target = settings.costs, out.path("reports", sample_rows)
 
     def report(name: str, df: DataFrame) -> None:
         write_report(df, f"{target}/{name}")
@@ -188,7 +197,7 @@ def export_reports(
         reports.label_coverage(facts), allowMissingColumns=True
     )
     report("summary", overview.agg(*[F.any_value(c, True).alias(c) for c in overview.columns]))
-    report("split", split_summary(time_split(_feature_table(spark, out, sample_rows))))
+    report("split", split_summary(time_split(_feature_table(spark, out, sample_rows), *shares)))
     _export_cuts(facts, report)
     report("eda_by_category", reports.category_by_volume(facts))
     report("eda_by_category_frauds", reports.category_by_frauds(facts))
@@ -198,46 +207,38 @@ def export_reports(
     report("eda_by_credit", reports.rate_by_credit_band(facts))
     report("eda_time_flags", reports.rate_by_time_flags(facts))
     report("eda_amount_stats", reports.amount_stats(facts))
-    drawn = sampling.sample_then_filter(
-        facts.select("transaction_id", "is_fraud", "amount"),
-        sampling.REPORT_SAMPLE_ROWS,
-        "transaction_id",
-        F.col("is_fraud").isNotNull(),
-    )
-    amounts = write_table(drawn.select("is_fraud", "amount"), f"{target}/amount_sample")
+    labeled = facts.filter(F.col("is_fraud").isNotNull())
     report(
         "eda_amount_histogram",
-        reports.class_histogram(amounts, "amount", above=0.0, below=reports.REPORT_AMOUNT_LIMIT),
+        reports.class_histogram(labeled, "amount", above=0.0, below=reports.REPORT_AMOUNT_LIMIT),
     )
 
-    predictions = spark.read.parquet(out.path("predictions"))
-    trained = spark.read.parquet(out.path("metrics"))
+    predictions = spark.read.parquet(out.path("predictions", sample_rows))
+    trained = spark.read.parquet(out.path("metrics", sample_rows))
     report("metrics", trained)
     supervised_rows = {model: _test_row(trained, model) for model in ("baseline", "boosted")}
-    report("model_comparison", metrics.model_comparison(supervised_rows, baseline="baseline"))
-    report("feature_importance", spark.read.parquet(out.path("feature_importance")).orderBy(F.desc("gain")))
+    report("model_comparison", metrics.model_comparison(supervised_rows, baseline="baseline", costs=costs))
+    report("feature_importance", spark.read.parquet(out.path("feature_importance", sample_rows)).orderBy(F.desc("gain")))
     report("pr_curve", metrics.pr_curve(predictions))
     report("roc_curve", metrics.roc_curve(predictions))
-    report("cost_curve", metrics.cost_curve(predictions))
+    report("cost_curve", metrics.cost_curve(predictions, costs))
     report("deciles", metrics.decile_lift(predictions))
     report("budget_scan", metrics.budget_scan(predictions))
-    threshold = metrics.cost_threshold(predictions).first()["threshold"]
+    threshold = metrics.cost_threshold(predictions, costs).first()["threshold"]
     report("confusion", metrics.confusion_matrix(predictions, threshold))
     top = write_table(metrics.top_risk(predictions), f"{target}/top_risk")
     report("top_risk_view", metrics.top_risk_view(top))
 
-    table = stored_table(spark, out.path("unsupervised_metrics"))
+    table = stored_table(spark, out.path("unsupervised_metrics", sample_rows))
     if table is None or force:
-        table = unsupervised(spark, out, sample_rows)
+        table = unsupervised(spark, out, sample_rows, settings, shares=shares)
     report("unsupervised_metrics", table)
     approaches = {"boosted": supervised_rows["boosted"]}
     approaches |= {model: _test_row(table, model) for model in ("isolation_forest", "lof")}
-    comparison = metrics.model_comparison(approaches, baseline="boosted")
+    comparison = metrics.model_comparison(approaches, baseline="boosted", costs=costs)
     report("unsupervised_comparison", metrics.metrics_long(comparison).orderBy("model", "metric"))
-    scores = spark.read.parquet(out.path("unsupervised_scores"))
-    drawn = sampling.sample_fixed_n(scores, anomaly.ANOMALY_SAMPLE_ROWS, "transaction_id")
-    anomalies = write_table(drawn.select("anomaly_score", "is_fraud"), f"{target}/anomaly_sample")
-    report("anomaly_histogram", reports.class_histogram(anomalies, "anomaly_score"))
+    scores = spark.read.parquet(out.path("unsupervised_scores", sample_rows))
+    report("anomaly_histogram", reports.class_histogram(scores.select("anomaly_score", "is_fraud"), "anomaly_score"))
     return target
 
 

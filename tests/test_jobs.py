@@ -37,9 +37,9 @@ def test_jobs_end_to_end(spark, setting, tmp_path):
     assert rows["boosted", "test"]["n"] == result.predictions.count() == result.split.part("test").count()
     assert rows["boosted", "test"]["n_features"] == 25
 
-    metrics = jobs.unsupervised(spark, out, lof_rows=80)
+    metrics = jobs.unsupervised(spark, out)
     counts = {r["model"]: r["n"] for r in metrics.collect()}
-    assert counts == {"isolation_forest": rows["boosted", "test"]["n"], "lof": 80}
+    assert counts == {"isolation_forest": rows["boosted", "test"]["n"], "lof": rows["boosted", "test"]["n"]}
 
     target = jobs.export_reports(spark, paths, out)
 

@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as spark_entry
+from ledgerlens.registry.queries import QUERIES
 from tools.check import compare, connect
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"baseline_scores", "gbt_scores", "feature_importance"}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +23,7 @@ def test_entry(spark):
     assert len(df.columns) == 38 and df.count() == 1000
 
 
-@pytest.mark.parametrize("name", sorted(set(spark_entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = spark_entry.queries()[name](spark, SF)
     sql = spark_entry.oracle_sql().get(name)

@@ -6,7 +6,7 @@ maxima, and equal registers mean similar sets. Bands of registers propose pairs;
 counts and the two set sizes estimates their Jaccard similarity; pairs not far below the threshold are verified on full sets.
 
 No bucket is expanded into all its pairs. Equal sets are one class first. In each bucket every class is paired with the
-smallest; of these pairs each class verifies its best, and links give components. Only buckets that then still hold several
+one that meets most others; of these pairs each class verifies its best, and links give components. Only buckets that then still hold several
 components give further pairs, between different components; where these are more than ``WIDE`` for each class, the bucket
 is first dealt anew by pairs of bands, in which linked classes meet again. Connected components of all verified links are the result.
 
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import stored, table
+from ledgerlens.llm.common import fresh, row_key, stored, table
 from ledgerlens.llm.components import connected_components
 from ledgerlens.llm.wordhash import chunks, mix, shingles, word_hashes
 
@@ -37,7 +37,10 @@ BASE, OFFSET = 1.08, 28.0
 #: Estimates below this leave a pair out: over four standard errors under the threshold.
 LEAST_ESTIMATE = 0.58
 #: Pairs of different components for each class of a bucket, beyond which the bucket is dealt anew.
-WIDE = 24
+WIDE = 6
+#: Registers of unequal parity that leave a pair possible: at the threshold 22 are expected, with a deviation of 4.4.
+MOST_ODD = 46
+_PARITY = ["bits0", "bits1", "bits2"]
 
 _SETS = "row long, doc_id long, n long, s1 long, s2 long, sketch binary"
 
@@ -122,6 +125,16 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["cls", "keys"])
 
 
+def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lowest bit of every register, 64 to a long: unequal bits bound the similarity cheaply inside a join."""
+    for batch in batches:
+        if batch.num_rows:
+            bits = np.zeros((batch.num_rows, 64 * len(_PARITY)), dtype=np.uint8)
+            bits[:, : BANDS * ROWS] = _registers(batch.column(2)) & 1
+            packed = np.packbits(bits, axis=1).view(">i8").astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(packed[:, k]) for k in range(len(_PARITY))]], ["cls", "n", *_PARITY])
+
+
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 2000):
@@ -157,56 +170,68 @@ def _estimate(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return both.mapInArrow(_estimated, "a long, b long, estimate double").filter(F.col("estimate") >= LEAST_ESTIMATE)
 
 
-def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links among the pairs, by full sets. Only texts that occur in a pair are shingled again."""
-    wanted = pairs.select("a").union(pairs.select("b")).distinct()
-    texts = docs.join(wanted, docs.row == wanted.a, "left_semi").select("row", "text")
-    sets = stored(texts.mapInArrow(_full_sets, "cls long, hashes binary"), "shingle-sets")
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Full shingle sets of the classes that share a bucket with another. Always one shuffle of the texts, whatever the size."""
+    ids = wanted.select(F.col("cls").alias("w")).distinct().hint("merge")
+    texts = docs.join(ids, F.col("row") == F.col("w"), "left_semi").select("row", "text")
+    return stored(texts.mapInArrow(_full_sets, "cls long, hashes binary"), "shingle-sets")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links among the pairs, by full sets."""
     left = sets.select(F.col("cls").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("hashes").alias("y"))
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long")
 
 
 def _across(mixed: DataFrame, key: str) -> DataFrame:
-    """Pairs of different components that share a bucket."""
-    x = mixed.select(key, F.col("cls").alias("a"), F.col("c").alias("ca"))
-    y = mixed.select(key, F.col("cls").alias("b"), F.col("c").alias("cb"))
-    pairs = x.join(y, key).filter("ca < cb")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    """Pairs of different components that share a bucket and that sizes and register parities leave possible."""
+    columns = ["cls", "c", "n", *_PARITY]
+    x = mixed.select(key, *[F.col(k).alias(f"{k}_x") for k in columns])
+    y = mixed.select(key, *[F.col(k).alias(f"{k}_y") for k in columns])
+    sizes = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * THRESHOLD
+    unequal = sum((F.bit_count(F.col(f"{k}_x").bitwiseXOR(F.col(f"{k}_y"))) for k in _PARITY), F.lit(0))
+    pairs = x.join(y, key).filter((F.col("c_x") < F.col("c_y")) & sizes & (unequal <= MOST_ODD))
+    return pairs.select(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``doc_id, text``: ``n_shingles``, ``component_id`` (smallest ``doc_id`` reachable) and ``kept``."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = docs.select(row_key().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sets = stored(rows.mapInArrow(_summaries, _SETS), "sketches")
     classes = sets.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("row").alias("cls"))
-    heads = classes.select("cls")
-    sketches = stored(sets.join(heads, sets.row == heads.cls, "left_semi").select(F.col("row").alias("cls"), "n", "sketch"), "classes")
+    ids = classes.select("cls")
+    sketches = stored(sets.join(ids, sets.row == ids.cls, "left_semi").select(F.col("row").alias("cls"), "n", "sketch"), "classes")
     keys = sketches.select("cls", "sketch").mapInArrow(_banded, "cls long, keys array<long>")
     bands = keys.select("cls", F.explode("keys").alias("key"))
-    shared = bands.groupBy("key").agg(F.min("cls").alias("head"), F.max("cls").alias("tail")).filter("head < tail").select("key", "head")
+    shared = bands.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     crowded = stored(bands.join(shared, "key"), "buckets")
+    sets_of = _sets(rows, crowded)
 
-    first = crowded.filter("head <> cls").select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
+    # the class that meets most others is likeliest to be what they were copied from
+    degrees = crowded.groupBy("cls").agg(F.sum("size").alias("degree"))
+    ranked = crowded.join(degrees, "cls").select("key", "cls", F.struct("degree", -F.col("cls")).alias("rank"))
+    heads = ranked.groupBy("key").agg(F.max("rank").alias("top")).select("key", (-F.col("top.col2")).alias("head"))
+    first = crowded.join(heads, "key").filter("head <> cls").select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
     likely = _estimate(first, sketches)
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b")
-    links = stored(_verify(stored(best, "pairs"), rows), "verified")
+    links = stored(_verify(best, sets_of), "verified")
     found = connected_components(links)
 
     labelled = crowded.join(found, crowded.cls == found.v, "left").select("key", "cls", F.coalesce("c", "cls").alias("c"))
     parts = labelled.groupBy("key", "c").agg(F.count("*").alias("m"))
     sums = parts.groupBy("key").agg(F.sum("m").alias("size"), ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("across"))
     several = sums.filter("across > 0").select("key", (F.col("across") > WIDE * F.col("size")).alias("wide"))
-    mixed = stored(labelled.join(several, "key"), "mixed")
+    traits = sketches.select("cls", "n", "sketch").mapInArrow(_parities, "cls long, n long, " + ", ".join(f"{k} long" for k in _PARITY))
+    mixed = stored(labelled.join(several, "key").join(traits, "cls"), "mixed")
     wide = mixed.filter("wide")
     # a class of a wide bucket meets the others again where a second band agrees as well
-    own = wide.select("cls").distinct()
-    others = keys.join(own, "cls", "left_semi").select("cls", "keys")
-    dealt = wide.join(others, "cls").select("cls", "c", "key", F.explode("keys").alias("second")).filter("key < second")
+    others = keys.join(wide.select("cls").distinct(), "cls", "left_semi").select("cls", "keys")
+    dealt = wide.join(others, "cls").select("cls", "c", "n", *_PARITY, "key", F.explode("keys").alias("second")).filter("key < second")
     # a pair that shares two bands meets under both orders of them; the smaller key comes first
-    again = dealt.select("cls", "c", F.xxhash64("key", "second").alias("key2"))
+    again = dealt.select("cls", "c", "n", *_PARITY, F.xxhash64("key", "second").alias("key2"))
     further = _across(mixed.filter("not wide"), "key").union(_across(again, "key2")).distinct()
-    more = _verify(stored(_estimate(further, sketches).select("a", "b"), "pairs"), rows)
+    more = _verify(_estimate(further, sketches), sets_of)
     whole = connected_components(stored(links.union(more), "verified"))
 
     named = classes.join(whole, classes.cls == whole.v, "left").select("s1", "s2", "n", F.coalesce("c", "cls").alias("c"))
@@ -219,3 +244,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def op7_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """One row of each group of near duplicates, the one with the smallest ``doc_id``; columns as they came."""
+    key = fresh(docs, "row")
+    kept = near_duplicates(docs.select("doc_id", "text")).filter("kept").select(F.col("row").alias(key))
+    return docs.withColumn(key, row_key()).join(kept, key, "left_semi").drop(key)

@@ -184,14 +184,18 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long")
 
 
-def _across(mixed: DataFrame, key: str) -> DataFrame:
-    """Pairs of different components that share a bucket and that sizes and register parities leave possible."""
-    columns = ["cls", "c", "n", *_PARITY]
+def _across(mixed: DataFrame, key: str, every: str | None = None) -> DataFrame:
+    """Pairs of different components that share a bucket and that sizes and register parities leave possible.
+
+    ``every`` names an array of all such keys of a class; a pair is then given by the smallest key it shares only.
+    """
+    columns = ["cls", "c", "n", *_PARITY, *([every] if every else [])]
     x = mixed.select(key, *[F.col(k).alias(f"{k}_x") for k in columns])
     y = mixed.select(key, *[F.col(k).alias(f"{k}_y") for k in columns])
     sizes = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * THRESHOLD
     unequal = sum((F.bit_count(F.col(f"{k}_x").bitwiseXOR(F.col(f"{k}_y"))) for k in _PARITY), F.lit(0))
-    pairs = x.join(y, key).filter((F.col("c_x") < F.col("c_y")) & sizes & (unequal <= MOST_ODD))
+    once = F.array_min(F.array_intersect(f"{every}_x", f"{every}_y")) == F.col(key) if every else F.lit(True)
+    pairs = x.join(y, key).filter((F.col("c_x") < F.col("c_y")) & sizes & (unequal <= MOST_ODD) & once)
     return pairs.select(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b"))
 
 
@@ -230,7 +234,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     dealt = wide.join(others, "cls").select("cls", "c", "n", *_PARITY, "key", F.explode("keys").alias("second")).filter("key < second")
     # a pair that shares two bands meets under both orders of them; the smaller key comes first
     again = dealt.select("cls", "c", "n", *_PARITY, F.xxhash64("key", "second").alias("key2"))
-    further = _across(mixed.filter("not wide"), "key").union(_across(again, "key2")).distinct()
+    narrow = mixed.filter("not wide")
+    narrow = narrow.join(narrow.groupBy("cls").agg(F.collect_list("key").alias("own")), "cls")
+    further = _across(narrow, "key", "own").union(_across(again, "key2")).distinct()
     more = _verify(_estimate(further, sketches), sets_of)
     whole = connected_components(stored(links.union(more), "verified"))
 

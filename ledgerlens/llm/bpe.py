@@ -1,6 +1,6 @@
 """Byte-level BPE ids of whole texts.
 
-The library is asked only once for each distinct chunk of text that a worker meets. Chunks lie between single spaces that
+The library is asked only once for each distinct chunk of text that a worker meets. Chunks begin at single spaces or line ends that
 stand between two characters that are not white space; the tokenizer's own pre-split always cuts there, so ids of chunks
 joined are the ids of the text. Chunks of Latin letters with at most one full stop or comma behind them, nearly all in
 most corpora, go through the same model with the pre-split already done, many at a time. The memory of chunks is emptied
@@ -12,16 +12,18 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 
 #: Chunks a worker remembers, and the longest text (characters) it remembers.
-MOST_CHUNKS, LONGEST_CHUNK = 500_000, 64
+MOST_CHUNKS, LONGEST_CHUNK = 700_000, 64
+#: Characters that are encoded together; a longer text is encoded by itself.
+STRETCH = 6_000_000
 
 _RUN = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ſ]+)([.,]?)")
+_PLAIN = re.compile("(\n?[A-Za-zÀ-ÖØ-öø-ſ]+)([.,]?)")
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -61,38 +63,49 @@ class ChunkEncoder:
 
     @staticmethod
     def chunks(text: str) -> list[str]:
-        """The text cut at safe spaces, which are left out; all but the first stand behind a space."""
+        """The text cut at safe places. After the first, a chunk that does not begin with a line end stands behind a space."""
         if _RUN.search(text) or text[:1].isspace() or text[-1:].isspace():
             return _CUT.split(text)
-        return text.split(" ")
+        return text.replace("\n", " \n").split(" ")
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.array(e.ids, dtype="<u2").tobytes() for e in found]
 
     def _words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of letters behind a space: one piece each of the pre-split, so the model alone decides."""
+        """Ids of letters behind a space or line end: one piece each of the pre-split, so the model alone decides."""
         if not words:
             return {}
-        joined = "\n".join(words).encode().decode("latin-1").translate(self.written | {10: "\n"})
-        space = self.written[32]
-        pieces = [space + w for w in joined.split("\n")]
-        ids = np.array(self.bare.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype="<u2")
-        ends = np.cumsum(np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
-        at = 2 * (np.searchsorted(np.cumsum(self.length[ids]), ends) + 1)
-        raw, starts = ids.tobytes(), [0, *at[:-1].tolist()]
-        return {w: raw[a:b] for w, a, b in zip(words, starts, at.tolist(), strict=True)}
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of chunks that stand behind a space."""
-        plain = [(c, m[1], m[2]) for c in new if (m := _PLAIN.fullmatch(c))] if self.bare else []
-        known = self.known
-        words = self._words(list({w for _, w, _ in plain if w not in known}))
-        marks = {m: self._whole([m])[0] for m in {m for _, _, m in plain if m}}
-        learnt = {c: (words[w] if w in words else known[w]) + (marks[m] if m else b"") for c, w, m in plain}
-        learnt |= words
-        rest = [c for c in new if c not in learnt]
-        return learnt | dict(zip(rest, self._whole([" " + c for c in rest]), strict=True))
+        table = self.written | {0: "\0", 10: "\n"}
+        space, line = self.written[32], self.written[10]
+        joined = "\0".join(words).encode().decode("latin-1").translate(table)
+        split = [w[1:] if w[0] == "\n" else space + w for w in joined.split("\0")]
+        ids = np.array(self.bare.encode_batch_fast([split], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype="<u2")
+        ends = np.cumsum(np.fromiter(map(len, split), dtype=np.int64, count=len(split)))
+        at = (2 * (np.searchsorted(np.cumsum(self.length[ids]), ends) + 1)).tolist()
+        raw = ids.tobytes()
+        found = {w: raw[a:b] for w, a, b in zip(words, [0, *at[:-1]], at, strict=True)}
+        head = np.array(self.bare.encode(line, add_special_tokens=False).ids, dtype="<u2").tobytes()
+        return found | {w: head + found[w] for w in words if w[0] == "\n"}
+
+    def _learn(self, new: Iterable[str]) -> dict[str, bytes]:
+        """Ids of chunks as ``chunks`` leaves them, but the first of a text."""
+        known, plain, rest = self.known, [], []
+        for c in new:
+            m = _PLAIN.fullmatch(c) if self.bare else None
+            if m is None:
+                rest.append(c)
+            elif m[2]:
+                plain.append((c, m[1], m[2]))
+            else:
+                plain.append((c, c, ""))
+        learnt = self._words([w for w in {w for _, w, _ in plain} if w not in known])
+        marks = {m: self._whole([m])[0] for m in ",."}
+        for c, w, m in plain:
+            if m:
+                learnt[c] = (learnt[w] if w in learnt else known[w]) + marks[m]
+        learnt.update(zip(rest, self._whole([c if c[:1] == "\n" else " " + c for c in rest]), strict=True))
+        return learnt
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids of each text; none for a missing or empty one."""
@@ -105,7 +118,7 @@ class ChunkEncoder:
         known = self.known
         new = set().union(*cut) - known.keys()
         long = [c for c in new if len(c) > LONGEST_CHUNK]
-        known.update(self._learn(list(new)))
+        known.update(self._learn(new))
         heads = self._whole(firsts)
         ids = [np.frombuffer(h + b"".join(map(known.__getitem__, c)), dtype="<u2") for h, c in zip(heads, cut, strict=True)]
         for c in long:
@@ -113,6 +126,19 @@ class ChunkEncoder:
         return ids
 
 
+def stretches(texts: Sequence[str | None], most: int = STRETCH) -> Iterator[tuple[int, int]]:
+    """(first, end) of runs of texts to encode together: the more at once, the fewer chunks are looked up again."""
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        n = len(text or "")
+        if i > first and size + n > most:
+            yield first, i
+            first, size = i, 0
+        size += n
+    if first < len(texts):
+        yield first, len(texts)
+
+
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.bpe import encoder, tokenizer_file
+from ledgerlens.llm.bpe import encoder, stretches, tokenizer_file
 from ledgerlens.llm.common import buckets, stored, table
 from ledgerlens.llm.tokenfile import END_ID, ids_crc32
 
@@ -44,10 +44,10 @@ def _cut(path: str, capacity: int, end_id: int) -> Callable[[Iterator[pa.RecordB
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], dtype="<u2")
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows, keys, texts = (batch.column(k).slice(at, 512).to_pylist() for k in range(3))
+            rows, keys, texts = (batch.column(k).to_pylist() for k in range(3))
+            for first, to in stretches(texts):
                 out: list[tuple] = []
-                for row, key, ids in zip(rows, keys, encoder(path).encode(texts), strict=True):
+                for row, key, ids in zip(rows[first:to], keys[first:to], encoder(path).encode(texts[first:to]), strict=True):
                     whole = np.concatenate([ids, end])
                     for k, (start, length) in enumerate(piece_bounds(len(whole), capacity)):
                         out.append((row, key, k, start, length, ids_crc32(whole[start : start + length])))

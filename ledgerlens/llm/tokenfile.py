@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.bpe import encoder, tokenizer_file
+from ledgerlens.llm.bpe import encoder, stretches, tokenizer_file
 from ledgerlens.llm.common import stored
 from ledgerlens.session import scratch_path, task_count
 
@@ -57,6 +57,8 @@ def decode_ranks(controls: bytes, data: bytes, n: int) -> np.ndarray:
     values = raw[starts].astype(np.uint32)
     for k in range(1, 4):
         more = np.flatnonzero(lengths > k)
+        if not more.size:
+            break
         values[more] |= raw[starts[more] + k].astype(np.uint32) << np.uint32(8 * k)
     return values
 
@@ -83,9 +85,9 @@ def _tokenise(path: str, end_id: int, block_tokens: int) -> Callable[[Iterator[p
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for at in range(0, len(keys), 512):
-                for key, ids in zip(keys[at : at + 512], encoder(path).encode(batch.column(1).slice(at, 512).to_pylist()), strict=False):
+            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for first, to in stretches(texts):
+                for key, ids in zip(keys[first:to], encoder(path).encode(texts[first:to]), strict=True):
                     docs.append(key)
                     lengths.append(len(ids) + 1)
                     held.extend((ids.tobytes(), end))

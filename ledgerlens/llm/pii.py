@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import fresh, row_key, stored, table
+from ledgerlens.session import task_count
 
 #: Key of the hash. Whoever knows it can test a guess; a production run passes its own.
 KEY = "surrogates"
@@ -162,10 +163,15 @@ def _given(norm: Column, draw: Column, stream: Column, gender: str) -> Column:
     return F.when(script == "latin", F.lower(name(GIVEN[gender, "latin"]))).when(script == "cyrillic", F.lower(name(GIVEN[gender, "cyrillic"]))).otherwise(_name_alike(norm, stream))
 
 
-def surrogate(kind: Column, norm: Column, draw: Column, key: str = KEY) -> Column:
-    """Surrogate of a normal form, itself a normal form, at the given draw (0, 1, ...)."""
-    said = [F.concat_ws("|", F.lit(key), kind, norm, draw.cast("string"), F.lit(half)) for half in ("0", "1")]
-    stream = F.concat(*[F.sha2(s, 512) for s in said])
+def with_surrogates(df: DataFrame, key: str = KEY) -> DataFrame:
+    """``kind, norm, draw`` and the surrogate ``new``. The keyed hash is a column of its own, so it is taken once and not for every character."""
+    said = [F.concat_ws("|", F.lit(key), "kind", "norm", F.col("draw").cast("string"), F.lit(half)) for half in ("0", "1")]
+    hashed = df.withColumn("stream", F.concat(*[F.sha2(s, 512) for s in said]))
+    return hashed.withColumn("new", surrogate(F.col("kind"), F.col("norm"), F.col("draw"), F.col("stream"))).drop("stream")
+
+
+def surrogate(kind: Column, norm: Column, draw: Column, stream: Column) -> Column:
+    """Surrogate of a normal form, itself a normal form, at the given draw (0, 1, ...), from its keyed hash."""
     domain = F.regexp_extract(norm, r"(\.[a-z]+)$", 1)
     email = F.concat(_alike(F.left(norm, F.length(norm) - F.length(domain)), stream), domain)
     ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (F.pmod(_byte(stream, i), F.lit(254)) + 1).cast("string")), ".")
@@ -192,7 +198,10 @@ def render(kind: Column, raw: Column, new: Column) -> Column:
 
 def redrawn(entities: DataFrame, key: str = KEY) -> DataFrame:
     """``kind, norm, draw`` of the entities (distinct ``kind, norm``) whose first surrogate is taken; all others keep draw 0."""
-    state = stored(entities.select("kind", "norm", F.lit(0).alias("draw"), surrogate(F.col("kind"), F.col("norm"), F.lit(0), key).alias("new")), "surrogates")
+    # a number of its own: few bytes make much work here, so small partitions must not be joined
+    parts = 2 * task_count(entities.sparkSession)
+    entities = stored(entities.select("kind", "norm").repartition(parts, "kind", "norm"), "entities")
+    state = stored(with_surrogates(entities.select("kind", "norm", F.lit(0).alias("draw")), key), "surrogates")
     for _ in range(MOST_DRAWS):
         first = state.groupBy("kind", "new").agg(F.min(F.struct("draw", "norm")).alias("m"), F.count("*").alias("n")).filter("n > 1")
         shared = state.join(first, ["kind", "new"]).filter(F.struct("draw", "norm") > F.col("m")).select("kind", "norm")
@@ -200,8 +209,9 @@ def redrawn(entities: DataFrame, key: str = KEY) -> DataFrame:
         taken = stored(shared.union(real).distinct(), "taken")
         if taken.isEmpty():
             return state.filter("draw > 0").select("kind", "norm", "draw")
-        again = state.join(taken.withColumn("again", F.lit(1)), ["kind", "norm"], "left").select("kind", "norm", (F.col("draw") + F.coalesce("again", F.lit(0))).alias("draw"), "again", "new")
-        state = stored(again.select("kind", "norm", "draw", F.when(F.col("again") == 1, surrogate(F.col("kind"), F.col("norm"), F.col("draw"), key)).otherwise(F.col("new")).alias("new")), "surrogates")
+        again = state.join(taken.withColumn("again", F.lit(1)), ["kind", "norm"], "left")
+        fresh_ones = with_surrogates(again.filter("again = 1").select("kind", "norm", (F.col("draw") + 1).alias("draw")), key)
+        state = stored(again.filter("again is null").select("kind", "norm", "draw", "new").unionByName(fresh_ones), "surrogates")
     raise ValueError("too few surrogates for some kind of entity")
 
 
@@ -219,8 +229,9 @@ def replace_pii(docs: DataFrame, key: str = KEY, count: str | None = None) -> Da
     pieces = stored(mentions(docs).withColumn("norm", normal_form(F.col("kind"), F.col("raw"))), "mentions")
     again = redrawn(pieces.filter("kind <> 'keep'").select("kind", "norm").distinct(), key)
     drawn = pieces.join(again, ["kind", "norm"], "left").withColumn("draw", F.coalesce("draw", F.lit(0)))
-    new = render(F.col("kind"), F.col("raw"), surrogate(F.col("kind"), F.col("norm"), F.col("draw"), key))
-    written = drawn.select("row", "place", "part", new.alias("new"))
+    parts = 2 * task_count(docs.sparkSession)
+    made = with_surrogates(drawn.repartition(parts, "row", "place", "part"), key)
+    written = made.select("row", "place", "part", render(F.col("kind"), F.col("raw"), F.col("new")).alias("new"))
     listed = written.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "part", "new"))).alias("all"))
     row, subs = fresh(docs, "row"), fresh(docs, "subs")
     ready = listed.select(F.col("row").alias(row), F.col("all").alias(subs))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from pathlib import Path
 
@@ -35,6 +36,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove shuffle files of finished steps now, not when the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def buckets(spark: SparkSession, per_task: int = 16) -> int:
     """How many groups to cut a table into so that every shuffle task gets several of them."""
     return per_task * task_count(spark)

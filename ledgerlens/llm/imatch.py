@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import row_key, stored, table, text_or_empty
+from ledgerlens.llm.common import release, row_key, stored, table, text_or_empty
 from ledgerlens.llm.words import words
 from ledgerlens.session import task_count
 
@@ -130,7 +130,9 @@ def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataF
     """Per row of ``doc_id, text`` its fingerprint, that of the edited text, and the likeness of both and of the next document's."""
     rows = docs.select(row_key().alias("row"), F.col("doc_id").cast("long"), text_or_empty(F.col("text")).alias("text"))
     kept = stored(lexicon(rows, low, high), "lexicon")
+    release(rows.sparkSession)  # the counts of all terms, before all texts are shuffled
     base = stored(edited_terms(rows), "terms")
+    release(rows.sparkSession)
     end = docs.sparkSession.range(1).select(F.lit(_END).cast("long").alias("term"))
     spread = [base.select("row", F.lit(v).alias("v"), F.explode_outer(f"some{v}").alias("term")) for v in (0, 1)]
     found = spread[0].union(spread[1]).join(F.broadcast(kept.union(end).distinct()), "term")

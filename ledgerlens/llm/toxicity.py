@@ -213,11 +213,18 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     fits = np.array([r["part"] == "fit" for r in rows], dtype=bool)
     if not rows or len(set(marks[fits].tolist())) < 2:
         return None
-    got, counts, hashes = features([(r["text"] or "").encode("utf-8", "surrogatepass") for r in rows])
+    # in stretches, so that the driver holds table rows and not the intermediate arrays of all texts
+    got, counts, spoken = [], [], []
+    for _, raw in chunks([r["text"] for r in rows]):
+        own, words, hashes = features(raw)
+        got.append(own)
+        counts.append(words)
+        spoken += languages(hashes, words)
+    got, counts, spoken = np.concatenate(got), np.concatenate(counts), np.array(spoken)
     texts = np.split(got, np.cumsum(counts)[:-1])
     model = fit([t for t, f in zip(texts, fits, strict=True) if f], marks[fits])
     rest = ~fits if (marks[~fits] == 1).any() and (marks[~fits] == 0).any() else fits
-    p, spoken = probabilities(model, got, counts)[rest], np.array(languages(hashes, counts))[rest]
+    p, spoken = probabilities(model, got, counts)[rest], spoken[rest]
     model.thresholds[""] = best_threshold(p, marks[rest])
     for lang in FUNCTION_WORDS:
         own = spoken == lang

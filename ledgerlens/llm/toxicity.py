@@ -192,23 +192,30 @@ def calibrated(p: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
     return np.where(p < thresholds, CUT * p / thresholds, CUT + (1 - CUT) * (p - thresholds) / (1 - thresholds))
 
 
-def _sample(labelled: DataFrame) -> list:
-    """Bounded draw of labelled texts: for each purpose and class the rows that come first by a hash."""
-    rows = []
+def _sample(docs: DataFrame, labelled: DataFrame) -> list:
+    """Bounded draw of labelled texts: for each purpose and class the ids that come first by a hash; then their texts.
+
+    Only ids are joined and sorted; those drawn are few enough to broadcast, so texts are never shuffled.
+    """
+    drawn = []
     for part in ("fit", "calibrate"):
         for label in (0, 1):
-            drawn = labelled.filter((F.col("part") == part) & (F.col("toxic") == label))
-            rows += drawn.orderBy(F.xxhash64("doc_id", F.lit(part)), "doc_id").limit(FIT_ROWS).select("part", "toxic", "text").collect()
-    return rows
+            own = labelled.filter((F.col("part") == part) & (F.col("toxic") == label))
+            drawn += own.orderBy(F.xxhash64("doc_id", F.lit(part)), "doc_id").limit(FIT_ROWS).collect()
+    if not drawn:
+        return []
+    wanted = docs.sparkSession.createDataFrame([(r["doc_id"], r["part"], r["toxic"]) for r in drawn], "doc_id long, part string, toxic int")
+    few = F.size(F.split("text", r"\s+")) <= FIT_WORDS
+    found = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").filter(few)
+    return found.orderBy(F.xxhash64("doc_id")).limit(4 * FIT_ROWS).collect()
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Fit and calibrate on ``doc_id, text`` and ``doc_id, toxic``; the third of four folds is never looked at."""
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
     one = labels.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).filter("toxic = most").select("doc_id", "toxic")
-    few = F.size(F.split("text", r"\s+")) <= FIT_WORDS
-    known = docs.select("doc_id", "text").filter((fold != 2) & few).join(one, "doc_id")
-    rows = _sample(known.withColumn("part", F.when(fold == 3, "calibrate").otherwise("fit")))
+    known = docs.select("doc_id").filter(fold != 2).distinct().join(one, "doc_id")
+    rows = _sample(docs, known.withColumn("part", F.when(fold == 3, "calibrate").otherwise("fit")))
     marks = np.array([r["toxic"] for r in rows])
     fits = np.array([r["part"] == "fit" for r in rows], dtype=bool)
     if not rows or len(set(marks[fits].tolist())) < 2:

@@ -5,11 +5,12 @@ widths slide over the whole text, each is pooled by its maximum, and a logistic
 (Adagrad) on balanced batches, each without some of its words; rows of the embedding table that fewer than ``LEAST_TEXTS`` training texts used
 are zero, so words that the fit hardly saw say nothing.
 
-Thresholds are calibrated by language on labelled rows that the fit did not see. The language is guessed from the text alone, by
-its function words. A score maps the probability so that the threshold of the language lies at ``CUT``.
+Thresholds are calibrated by language on all labelled rows of a fold that the fit did not see, whatever their number and length: these are
+scored like any other, and counts by language, label and one of ``BINS`` equal stretches of the probability give the threshold. The language
+is guessed from the text alone, by its function words. A score maps the probability so that the threshold of the language lies at ``CUT``.
 
-The fit takes a bounded sample: at most ``FIT_ROWS`` labelled texts of each class with at most ``FIT_WORDS`` words, and as many to calibrate,
-drawn by a hash. Scoring reads every whole text.
+Only the fit takes a bounded sample: at most ``FIT_ROWS`` labelled texts of each class with at most ``FIT_WORDS`` words, drawn by a hash, one for
+each ``doc_id``. Scoring reads every whole text.
 
 Defined results: a null or empty text gets the score of no words; rows with the same ``doc_id`` are scored one by one; a null ``doc_id`` is not held
 out; labels that are null, or of a ``doc_id`` that has several different ones, are not used; without labels of both classes every score is 0.
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import fresh, table
@@ -38,6 +39,8 @@ LEAST_TEXTS, KEPT_WORDS = 2, 0.5
 CUT = 0.3
 #: Positive rows below which a language takes the threshold of all languages.
 LEAST_POSITIVE = 20
+#: Equal stretches of the probability in which labelled rows are counted.
+BINS = 1 << 14
 
 # Function words by which a language is guessed.
 FUNCTION_WORDS = {
@@ -175,14 +178,12 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     return Model(embedding, kernels, biases, weights, bias, {"": 0.5})
 
 
-def best_threshold(p: np.ndarray, labels: np.ndarray) -> float:
-    """Middle of the gap at which the F1 value is greatest."""
+def best_threshold(p: np.ndarray, positive: np.ndarray, rows: np.ndarray) -> float:
+    """Middle of the gap at which the F1 value is greatest, from the positive and all rows at each distinct probability."""
     order = np.argsort(-p, kind="stable")
-    hits = np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(p) + 1) + labels.sum())
+    f1 = 2 * np.cumsum(positive[order]) / (np.cumsum(rows[order]) + positive.sum())
     sorted_p = p[order]
-    ends = np.append(sorted_p[1:] < sorted_p[:-1], True)
-    k = int(np.where(ends, f1, -1).argmax())
+    k = int(f1.argmax())
     below = sorted_p[k + 1] if k + 1 < len(p) else 0.0
     return float(np.clip((sorted_p[k] + below) / 2, 0.3, 0.99))
 
@@ -192,61 +193,79 @@ def calibrated(p: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
     return np.where(p < thresholds, CUT * p / thresholds, CUT + (1 - CUT) * (p - thresholds) / (1 - thresholds))
 
 
+def _fold() -> Column:
+    """Two folds to fit, the third held out, the fourth to calibrate."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
+
+
 def _sample(docs: DataFrame, labelled: DataFrame) -> list:
-    """Bounded draw of labelled texts: for each purpose and class the ids that come first by a hash; then their texts.
+    """Bounded draw of labelled texts: for each class the ids that come first by a hash; then one text of each.
 
-    Only ids are joined and sorted; those drawn are few enough to broadcast, so texts are never shuffled.
+    Only ids are joined and sorted; those drawn are few enough to broadcast, so only the texts drawn are shuffled.
     """
     drawn = []
-    for part in ("fit", "calibrate"):
-        for label in (0, 1):
-            own = labelled.filter((F.col("part") == part) & (F.col("toxic") == label))
-            drawn += own.orderBy(F.xxhash64("doc_id", F.lit(part)), "doc_id").limit(FIT_ROWS).collect()
+    for label in (0, 1):
+        own = labelled.filter(F.col("toxic") == label)
+        drawn += own.orderBy(F.xxhash64("doc_id", F.lit("fit")), "doc_id").limit(FIT_ROWS).collect()
     if not drawn:
         return []
-    wanted = docs.sparkSession.createDataFrame([(r["doc_id"], r["part"], r["toxic"]) for r in drawn], "doc_id long, part string, toxic int")
+    wanted = docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"]) for r in drawn], "doc_id long, toxic int")
     few = F.size(F.split("text", r"\s+")) <= FIT_WORDS
     found = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").filter(few)
-    return found.orderBy(F.xxhash64("doc_id")).limit(4 * FIT_ROWS).collect()
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+
+
+def _counted(docs: DataFrame, one: DataFrame, model: Model) -> list:
+    """``language, bin, toxic, n`` over all rows of ``docs`` with a label. Texts are scored where they lie; only ids and bins are shuffled."""
+    rated = score(docs.select("doc_id", "text"), model, ["doc_id"])
+    place = F.least(F.floor(F.col("probability") * BINS), F.lit(BINS - 1)).alias("bin")
+    each = rated.groupBy("doc_id", "language", place).agg(F.count("*").alias("n"))
+    return each.join(one, "doc_id").groupBy("language", "bin", "toxic").agg(F.sum("n").alias("n")).collect()
+
+
+def _thresholds(counts: list) -> dict[str, float]:
+    """By language, and under ``""`` that of all rows."""
+    spoken, place, n = np.array([r["language"] for r in counts]), np.array([r["bin"] for r in counts]), np.array([r["n"] for r in counts])
+    toxic, found = np.array([r["toxic"] for r in counts]) == 1, {}
+    for lang in ["", *FUNCTION_WORDS]:
+        own = spoken == lang if lang else np.ones(len(n), dtype=bool)
+        if lang and (n[own & toxic].sum() < LEAST_POSITIVE or not (own & ~toxic).any()):
+            continue
+        rows, positive = (np.bincount(place[k], n[k], BINS) for k in (own, own & toxic))
+        held = np.flatnonzero(rows)
+        found[lang] = best_threshold((held + 0.5) / BINS, positive[held], rows[held])
+    return found
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Fit and calibrate on ``doc_id, text`` and ``doc_id, toxic``; the third of four folds is never looked at."""
-    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
     one = labels.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).filter("toxic = most").select("doc_id", "toxic")
-    known = docs.select("doc_id").filter(fold != 2).distinct().join(one, "doc_id")
-    rows = _sample(docs, known.withColumn("part", F.when(fold == 3, "calibrate").otherwise("fit")))
+    rows = _sample(docs, docs.select("doc_id").filter(_fold() < 2).distinct().join(one, "doc_id"))
     marks = np.array([r["toxic"] for r in rows])
-    fits = np.array([r["part"] == "fit" for r in rows], dtype=bool)
-    if not rows or len(set(marks[fits].tolist())) < 2:
+    if len(set(marks.tolist())) < 2:
         return None
     # in stretches, so that the driver holds table rows and not the intermediate arrays of all texts
-    got, counts, spoken = [], [], []
+    got, counts = [], []
     for _, raw in chunks([r["text"] for r in rows]):
-        own, words, hashes = features(raw)
+        own, words, _ = features(raw)
         got.append(own)
         counts.append(words)
-        spoken += languages(hashes, words)
-    got, counts, spoken = np.concatenate(got), np.concatenate(counts), np.array(spoken)
-    texts = np.split(got, np.cumsum(counts)[:-1])
-    model = fit([t for t, f in zip(texts, fits, strict=True) if f], marks[fits])
-    rest = ~fits if (marks[~fits] == 1).any() and (marks[~fits] == 0).any() else fits
-    p, spoken = probabilities(model, got, counts)[rest], spoken[rest]
-    model.thresholds[""] = best_threshold(p, marks[rest])
-    for lang in FUNCTION_WORDS:
-        own = spoken == lang
-        if marks[rest][own].sum() >= LEAST_POSITIVE and (marks[rest][own] == 0).any():
-            model.thresholds[lang] = best_threshold(p[own], marks[rest][own])
+    model = fit(np.split(np.concatenate(got), np.cumsum(np.concatenate(counts))[:-1]), marks)
+    counted = _counted(docs.filter(_fold() == 3), one, model)
+    if len({r["toxic"] for r in counted}) < 2:
+        counted = _counted(docs.filter(_fold() < 2), one, model)
+    model.thresholds = _thresholds(counted)
     return model
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The documents with ``probability``, ``language`` (guessed) and ``score``; taken names get a leading underscore."""
+def score(docs: DataFrame, model: Model | None, kept: list[str] | None = None) -> DataFrame:
+    """The documents with ``probability``, ``language`` (guessed) and ``score``; taken names get a leading underscore. ``kept``: columns that go on."""
+    kept = docs.columns if kept is None else kept
     names = [fresh(docs, n) for n in ("probability", "language", "score")]
     if model is None:
-        return docs.withColumns(dict(zip(names, (F.lit(0.0), F.lit(""), F.lit(0.0)), strict=True)))
+        return docs.select(*kept).withColumns(dict(zip(names, (F.lit(0.0), F.lit(""), F.lit(0.0)), strict=True)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+    at, going = docs.columns.index("text"), [docs.columns.index(c) for c in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -259,9 +278,9 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             got = np.concatenate(p) if p else np.empty(0)
             cuts = np.array([known.thresholds.get(s, known.thresholds[""]) for s in said])
             columns = [pa.array(got), pa.array(said, pa.string()), pa.array(calibrated(got, cuts) if len(got) else got)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in going], *columns], [*kept, *names])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"`{n}` {t}" for n, t in zip(names, ("double", "string", "double"), strict=True)])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in (docs.schema[c] for c in kept)] + [f"`{n}` {t}" for n, t in zip(names, ("double", "string", "double"), strict=True)])
     return docs.mapInArrow(run, schema)
 
 

@@ -147,6 +147,30 @@ def test_odd_rows_of_toxicity(spark, frame, scored):
     assert toxicity.drop_toxic(df, labels).columns == df.columns
 
 
+def test_thresholds_come_from_all_labelled_rows(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 30)
+    monkeypatch.setattr(toxicity, "FIT_WORDS", 600)
+    model = toxicity.train(docs, labels)
+    rows = toxicity.score(docs.select("doc_id", "text"), model).join(labels, "doc_id").select("doc_id", "probability", "toxic").collect()
+    rows = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 3]
+    p, y = np.array([r["probability"] for r in rows]), np.array([r["toxic"] for r in rows])
+
+    def f1(cut):
+        return 2 * y[p >= cut].sum() / ((p >= cut).sum() + y.sum())
+
+    assert f1(model.thresholds[""]) > max(f1(cut) for cut in p if 0.3 <= cut <= 0.99) - 0.005
+
+
+def test_repeated_rows_do_not_crowd_out_the_fit(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 2)
+    fits = [k for k in range(60) if zlib.crc32(str(k).encode()) % 4 < 2][:4]
+    for many in fits:
+        rows = [(k, f"word{k} other text") for k in fits for _ in range(30 if k == many else 1)]
+        labels = spark.createDataFrame([(k, int(k == many)) for k in fits], "doc_id long, toxic int")
+        assert toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels) is not None
+
+
 def replaced(df):
     return {r["doc_id"]: (r["text"], r["n"]) for r in pii.replace_pii(df.select("doc_id", "text"), count="n").collect()}
 

@@ -3,8 +3,9 @@
 The library is asked only once for each distinct chunk of text that a worker meets. Chunks begin at single spaces or line ends that
 stand between two characters that are not white space; the tokenizer's own pre-split always cuts there, so ids of chunks
 joined are the ids of the text. Chunks of Latin letters with at most one full stop or comma behind them, nearly all in
-most corpora, go through the same model with the pre-split already done, many at a time. The memory of chunks is emptied
-when it is full, which changes speed, never ids.
+most corpora, go through the same model with the pre-split already done, many at a time. A text that holds the literal of
+an added token, such as ``<|endoftext|>``, goes to the library whole, which gives that token's id as it does by default. The
+memory of chunks is emptied when it is full, which changes speed, never ids.
 """
 
 from __future__ import annotations
@@ -46,10 +47,10 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 65_536:
             raise ValueError("ids of this tokenizer need more than 16 bits")
         plan = json.loads(self.tokenizer.to_str())
+        self.added = [t["content"] for t in plan.get("added_tokens") or []]
         self.bare = None
         split = plan.get("pre_tokenizer") or {}
         if split.get("type") == "ByteLevel" and split.get("use_regex") and not plan.get("normalizer"):
@@ -61,6 +62,12 @@ class ChunkEncoder:
         self.written = byte_characters()
         self.known: dict[str, bytes] = {}
 
+    def cut(self, text: str | None) -> list[str]:
+        """The text in chunks; whole where the literal of an added token may reach over them."""
+        if not text or any(a in text for a in self.added):
+            return [text or ""]
+        return self.chunks(text)
+
     @staticmethod
     def chunks(text: str) -> list[str]:
         """The text cut at safe places. After the first, a chunk that does not begin with a line end stands behind a space."""
@@ -109,7 +116,7 @@ class ChunkEncoder:
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids of each text; none for a missing or empty one."""
-        cut = [self.chunks(t) if t else [""] for t in texts]
+        cut = [self.cut(t) for t in texts]
         firsts = [c[0] for c in cut]
         for c in cut:
             del c[0]

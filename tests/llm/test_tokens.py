@@ -29,6 +29,21 @@ def test_chunks_give_the_tokenizers_ids(plain):
         assert [x.tolist() for x in enc.encode(odd)] == [plain.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_literals_of_added_tokens_as_by_default(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.tokenizer_file())
+    rows = ["a <|endoftext|> b", "<|endoftext|>", "x\n<|endoftext|>\ny <|endoftext|><|endoftext|>", "<|endo ftext|> a <|endoftext |>", "one two", "", "a <|endoftext|>b.\n\n  c"]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in rows]
+    enc = bpe.ChunkEncoder(bpe.tokenizer_file())
+    for _ in range(2):
+        assert [x.tolist() for x in enc.encode(rows)] == expected
+    assert 50256 in expected[0]
+    packed = packing.pack(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["length"] for r in packed} == {k: len(ids) + 1 for k, ids in enumerate(expected)}
+    assert {r["doc_id"]: r["ids_crc32"] for r in packed} == {k: zlib.crc32(np.array([*ids, 0], dtype="<u4").tobytes()) for k, ids in enumerate(expected)}
+
+
 def test_code_round_trip():
     rng = np.random.default_rng(2)
     for n in (0, 1, 3, 4, 5, 1000):

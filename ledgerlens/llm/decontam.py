@@ -9,8 +9,8 @@ shorter), at least ``PERCENT`` percent of the tokens agree and at least as many
 The training table is never shuffled. Test items are broadcast: at most ``BLOCK_TOKENS`` tokens at once, counted beforehand;
 a larger benchmark is cut into blocks by a hash of the item, each of which is held against all documents.
 
-Defined results: null or empty texts, on either side, match nothing; test items with equal text are all reported by the smallest
-``item_id``; rows with the same ``doc_id`` are judged one by one; empty tables give no contamination; a null ``doc_id`` stays null;
+Defined results: null or empty texts, on either side, match nothing; test items with equal text are one, reported by the smallest
+``item_id``; different texts are different items, also where they share an ``item_id`` or have none; rows with the same ``doc_id`` are judged one by one; empty tables give no contamination; a null ``doc_id`` stays null;
 other columns are ignored by ``overlaps`` and kept by ``decontaminate``.
 """
 
@@ -35,9 +35,9 @@ def _hashes(text: Column) -> Column:
 
 
 def test_items(benchmark: DataFrame) -> DataFrame:
-    """``item_id, item`` (token hashes) of the distinct non-empty test texts."""
+    """``item_key, item_id, item`` (token hashes) of the distinct non-empty test texts; the key is a hash of the whole text's tokens."""
     read = benchmark.select("item_id", _hashes(F.col("text")).alias("item")).filter(F.size("item") > 0)
-    return read.groupBy("item").agg(F.min("item_id").alias("item_id")).select("item_id", "item")
+    return read.groupBy("item").agg(F.min("item_id").alias("item_id")).select(F.xxhash64("item").alias("item_key"), "item_id", "item")
 
 
 def _agreement(doc: str, item: str, shift: str) -> Column:
@@ -66,28 +66,28 @@ def _best_window(agreed: str, item: str) -> Column:
 
 
 def _in_block(docs: DataFrame, items: DataFrame) -> DataFrame:
-    seeds = items.select("item_id", F.posexplode(hashed_places(items, "item", MASKS)).alias("p", "seed"))
-    seeds = seeds.select("item_id", "seed", F.floor(F.col("p") / len(MASKS)).cast("int").alias("item_pos"))
+    seeds = items.select("item_key", F.posexplode(hashed_places(items, "item", MASKS)).alias("p", "seed"))
+    seeds = seeds.select("item_key", "seed", F.floor(F.col("p") / len(MASKS)).cast("int").alias("item_pos"))
     # hashes in a step of their own: the explode and both joins then run as one generated loop, which holds the tokens by reference
     hashed = docs.select("row", "doc_id", "tokens", hashed_places(docs, "tokens", MASKS).alias("seeds"))
     hits = hashed.select("row", "doc_id", "tokens", F.posexplode_outer("seeds").alias("p", "seed"))
     shift = F.floor(F.col("p") / len(MASKS)).cast("int") - F.col("item_pos")
-    found = hits.join(F.broadcast(seeds), "seed").select("row", "doc_id", "tokens", "item_id", shift.alias("shift"))
+    found = hits.join(F.broadcast(seeds), "seed").select("row", "doc_id", "tokens", "item_key", shift.alias("shift"))
     # only the stretch that the item may cover goes on
-    near = found.join(F.broadcast(items), "item_id").select(
-        "row", "doc_id", "item_id", "item", "shift",
+    near = found.join(F.broadcast(items), "item_key").select(
+        "row", "doc_id", "item_key", "item_id", "item", "shift",
         F.slice("tokens", F.greatest(F.col("shift"), F.lit(0)) + 1, F.size("item") + F.least(F.col("shift"), F.lit(0))).alias("part"),
         F.least(F.col("shift"), F.lit(0)).alias("lead"),
     )
     # once for each diagonal; the aggregate also keeps the optimizer from repeating what follows inside the joins
-    once = near.groupBy("row", "doc_id", "item_id", "shift").agg(F.first("item").alias("item"), F.first("part").alias("part"), F.first("lead").alias("lead"))
-    judged = once.select("row", "doc_id", "item_id", "shift", "item", _agreement("part", "item", "lead").alias("agreed"))
+    once = near.groupBy("row", "doc_id", "item_key", "item_id", "shift").agg(F.first("item").alias("item"), F.first("part").alias("part"), F.first("lead").alias("lead"))
+    judged = once.select("row", "doc_id", "item_key", "item_id", "shift", "item", _agreement("part", "item", "lead").alias("agreed"))
     total = F.aggregate("agreed", F.lit(0), lambda x, y: x + y)
-    return judged.select("row", "doc_id", "item_id", "shift", F.size("item").alias("n_item"), total.alias("matched"), _best_window("agreed", "item").alias("best"))
+    return judged.select("row", "doc_id", "item_key", "item_id", "shift", F.size("item").alias("n_item"), total.alias("matched"), _best_window("agreed", "item").alias("best"))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Verified overlaps, one row for each document row and item: its best diagonal.
+    """Verified overlaps, one row for each document row and distinct item text: its best diagonal.
 
     ``shift``: where in the document (token) the item would begin; ``matched``: agreeing tokens along the diagonal;
     ``window_start``: first token in the document of the best window.
@@ -102,7 +102,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         one = _in_block(tokens, part)
         found = one if found is None else found.union(one)
     window = F.struct(F.col("best.n").alias("n"), "matched", (F.col("shift") - F.col("best.at")).alias("window_start"), "shift")
-    best = found.groupBy("row", "doc_id", "item_id", "n_item").agg(F.max(window).alias("m")).filter("m.n > 0")
+    best = found.groupBy("row", "doc_id", "item_key", "item_id", "n_item").agg(F.max(window).alias("m")).filter("m.n > 0")
     return best.select("row", "doc_id", "item_id", "n_item", "m.matched", "m.shift", "m.window_start")
 
 

@@ -41,6 +41,15 @@ def test_blocks_give_the_same(spark, docs, monkeypatch):
     assert {tuple(r) for r in decontam.contaminated(docs, bench).collect()} == whole
 
 
+def test_items_without_an_id_of_their_own(spark):
+    one, two, three = (" ".join(f"{a}{k}" for k in range(20)) for a in "abc")
+    bench = spark.createDataFrame([(1, one), (1, two), (None, three), (None, one)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {one} y"), (2, f"x {two} y"), (3, f"x {three} y"), (4, f"{one} {two} {three}"), (5, "x y")], "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_items"], r["item_id"]) for r in decontam.contaminated(docs, bench).collect()}
+    assert found == {1: (1, 1), 2: (1, 1), 3: (1, None), 4: (3, 1)}
+    assert [r["doc_id"] for r in decontam.decontaminate(docs, bench).collect()] == [5]
+
+
 def test_odd_rows_of_decontamination(spark, frame):
     bench = spark.createDataFrame([(1, "one two three four five six seven eight"), (2, None)], "item_id long, text string")
     df = frame([*ODD, (11, "x one two three four five six seven eight y"), (11, "x")])

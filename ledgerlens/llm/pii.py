@@ -4,7 +4,9 @@ Entities are found by one pattern: e-mail and IPv4 addresses, card and telephone
 tokens, and names behind a form of address. Each gets a surrogate from a keyed hash of its kind and normal form, so the same entity
 has the same surrogate everywhere (coreference), also where it is written in another case or with other separators. Surrogates have the
 kind, length, character classes and separators of what they replace; card numbers keep their issuer digit and stay valid if they were;
-addresses keep their top-level domain; given names keep the gender that the form of address tells, and all names their script.
+addresses keep their top-level domain; given names keep the gender that the form of address tells, and Latin, Cyrillic and Greek names
+their script. Names, e-mail addresses and secrets may be too short for enough surrogates: from draw ``GROWS`` on, and once more after
+as many draws, theirs grow by two letters, and given names by parts.
 
 Distinctness is checked over the whole corpus: where two entities would get one surrogate, or a surrogate is itself an entity of the corpus,
 all but the first (or that one) are drawn again until none is left. Only those drawn again need a join; they are few.
@@ -23,7 +25,9 @@ from ledgerlens.session import task_count
 
 #: Key of the hash. Whoever knows it can test a guess; a production run passes its own.
 KEY = "surrogates"
-#: Draws after which a kind of entity is taken to have too few surrogates.
+#: Draws after which a surrogate without a length of its own grows.
+GROWS = 3
+#: Draws after which a kind of entity is taken to have too few surrogates: only numbers of fixed length can come to that.
 MOST_DRAWS = 64
 
 # Forms of address by gender, and given names by gender and script.
@@ -87,13 +91,29 @@ def _name_alike(text: Column, stream: Column) -> Column:
         new = (
             F.when(low.rlike("[aeiouyáéíóúàèìòùâêîôûäëïöü]"), _pick("aeiou", b)).when(low.rlike(r"\p{IsLatin}"), _pick("bcdfghklmnprstvz", b))
             .when(low.rlike("[аеёиоуыэюя]"), _pick("аеиоу", b)).when(low.rlike(r"\p{IsCyrillic}"), _pick("бвгдзклмнпрст", b))
-            .when(low.rlike("[αεηιουωάέήίόύώ]"), _pick("αεηιουω", b)).when(low.rlike(r"\p{IsGreek}"), _pick("βγδζθκλμνπρστ", b)).otherwise(c)
+            .when(low.rlike("[αεηιουωάέήίόύώ]"), _pick("αεηιουω", b)).when(low.rlike(r"\p{IsGreek}"), _pick("βγδζθκλμνπρστ", b))
+            .when(low.rlike(r"\p{L}"), _pick("bcdfghklmnprstvz", b)).otherwise(c)
         )
         return F.when(low != c, F.upper(new)).otherwise(new)
 
     return _characters(text, one)
 
 
+def _more(draw: Column, stream: Column, first: str, second: str) -> Column:
+    """Two letters for every ``GROWS`` draws; nothing at the first ones."""
+    n = F.floor(draw / GROWS).cast("int")
+    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return F.array_join(F.transform(places, lambda i: F.concat(_pick(first, _byte(stream, 2 * i + 62)), _pick(second, _byte(stream, 2 * i + 63)))), "")
+
+
+def _name_grown(norm: Column, draw: Column, stream: Column) -> Column:
+    more = (
+        F.when(norm.rlike(r"^\p{IsCyrillic}"), _more(draw, stream, "бвгдзклмнпрст", "аеиоу"))
+        .when(norm.rlike(r"^\p{IsGreek}"), _more(draw, stream, "βγδζθκλμνπρστ", "αεηιουω")).otherwise(_more(draw, stream, "bcdfghklmnprstvz", "aeiou"))
+    )
+    return F.concat(_name_alike(norm, stream), more)
+
+
 def luhn(digits: Column) -> Column:
     """Check sum of a card number; a valid one gives a multiple of ten."""
     n = F.length(digits)
@@ -158,9 +178,9 @@ def _given(norm: Column, draw: Column, stream: Column, gender: str) -> Column:
         def one(k: int) -> Column:
             return F.get(F.array(*[F.lit(x) for x in pool]), F.pmod(_byte(stream, F.lit(k)), F.lit(len(pool))))
 
-        return F.concat_ws("-", one(0), *[F.when(draw >= least, one(k)) for k, least in ((1, 1), (2, 3), (3, 6), (4, 12))])
+        return F.concat_ws("-", one(0), *[F.when(draw >= least, one(k)) for k, least in ((1, 1), (2, 3), (3, 6), (4, 12), (5, 18), (6, 24), (7, 30))])
 
-    return F.when(script == "latin", F.lower(name(GIVEN[gender, "latin"]))).when(script == "cyrillic", F.lower(name(GIVEN[gender, "cyrillic"]))).otherwise(_name_alike(norm, stream))
+    return F.when(script == "latin", F.lower(name(GIVEN[gender, "latin"]))).when(script == "cyrillic", F.lower(name(GIVEN[gender, "cyrillic"]))).otherwise(_name_grown(norm, draw, stream))
 
 
 def with_surrogates(df: DataFrame, key: str = KEY) -> DataFrame:
@@ -173,18 +193,20 @@ def with_surrogates(df: DataFrame, key: str = KEY) -> DataFrame:
 def surrogate(kind: Column, norm: Column, draw: Column, stream: Column) -> Column:
     """Surrogate of a normal form, itself a normal form, at the given draw (0, 1, ...), from its keyed hash."""
     domain = F.regexp_extract(norm, r"(\.[a-z]+)$", 1)
-    email = F.concat(_alike(F.left(norm, F.length(norm) - F.length(domain)), stream), domain)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    email = F.concat(_alike(F.left(norm, F.length(norm) - F.length(domain)), stream), _more(draw, stream, letters, letters), domain)
     ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (F.pmod(_byte(stream, i), F.lit(254)) + 1).cast("string")), ".")
     body = F.concat(F.left(norm, F.lit(1)), _alike(F.substring(norm, F.lit(2), F.length(norm) - 2), stream))
     check = F.when(luhn(norm) % 10 == 0, F.pmod(F.lit(10) - luhn(F.concat(body, F.lit("0"))) % 10, F.lit(10))).otherwise(F.pmod(_byte(stream, F.lit(127)), F.lit(10)))
     card = F.concat(body, check.cast("string"))
     phone = F.concat(_pick("23456789", _byte(stream, F.lit(0))), _alike(F.substring(norm, F.lit(2), F.lit(9)), stream))
     access = F.concat(F.left(norm, F.lit(4)), _alike(F.substring(norm, F.lit(5), F.lit(16)), stream))
-    secret = F.when(norm.rlike("^[0-9a-f]+$"), _alike(norm, stream, "abcdef")).otherwise(_alike(norm, stream))
+    hexadecimal = F.concat(_alike(norm, stream, "abcdef"), _more(draw, stream, "abcdef", "abcdef"))
+    secret = F.when(norm.rlike("^[0-9a-f]+$"), hexadecimal).otherwise(F.concat(_alike(norm, stream), _more(draw, stream, letters, letters)))
     found = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone).when(kind == "access", access).when(kind == "secret", secret)
     for gender in TITLES:
         found = found.when(kind == f"given_{gender}", _given(norm, draw, stream, gender))
-    return found.when(kind == "family", _name_alike(norm, stream))
+    return found.when(kind == "family", _name_grown(norm, draw, stream))
 
 
 def render(kind: Column, raw: Column, new: Column) -> Column:

@@ -206,6 +206,16 @@ def test_surrogates_stay_distinct(spark):
     assert not set(names) & {t.split()[1] for _, t in rows}
 
 
+def test_short_entities_never_run_out_of_surrogates(spark, monkeypatch):
+    monkeypatch.setattr(pii, "MOST_DRAWS", 24)
+    said = [f"Dr {a}{b}" for a in "BCDFGHKLMNPRSTVZ" for b in "aeiou"] + [f"Dr {a}{b}" for a in "БВГДЗКЛМНПРСТ" for b in "аеиоу"]
+    said += ["Dr Արամ", "Dr Անի Բաբա", "-@-.com", "_@-.com", "password=______", "token=------"] + [f"{a}@{b}.io" for a in "0123456789" for b in "0123456789"]
+    out = replaced(spark.createDataFrame(list(enumerate(said)), "doc_id long, text string"))
+    made = [out[k][0] for k in range(len(said))]
+    assert all(n == 1 for _, n in out.values())
+    assert len({m.lower() for m in made}) == len(made) and not {m.lower() for m in made} & {t.lower() for t in said}
+
+
 def test_surrogates_of_the_documents(docs, texts):
     pattern = re.compile(r'\S+@\S+|\d+\.\d+\.\d+\.\d+|\b\d{16}\b|\+\d \(\d+\) \d+-\d+|AKIA\w{16}|password=\w+|token = "\w+')
     out, forth = replaced(docs), {}

@@ -502,8 +502,7 @@ def baseline_scores(spark, sf_dir):
 
 
 def _boosted(parts):
-    # Twenty rounds keep the check short; the default is five times as many.
-    return supervised.fit_boosted(parts.part("train"), parts.part("valid"), rounds=20, check_every=5)
+    return supervised.fit_boosted(parts.part("train"), parts.part("valid"))
 
 
 @query()

@@ -142,3 +142,12 @@ def test_feature_importance_is_ordered(spark, labeled):
     rows = supervised.feature_importance(spark, boosted).collect()
     assert [r["feature"] for r in rows] == ["a", "b"]
     assert sum(r["gain"] for r in rows) == pytest.approx(1.0)
+
+
+def test_boosted_queries_fit_the_default_rounds(monkeypatch):
+    from types import SimpleNamespace
+
+    from ledgerlens.registry import queries
+
+    monkeypatch.setattr(supervised, "fit_boosted", lambda *parts, **options: (parts, options))
+    assert queries._boosted(SimpleNamespace(part=str)) == (("train", "valid"), {})

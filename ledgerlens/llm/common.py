@@ -61,6 +61,26 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def crowded_keys(rows: DataFrame, key: str) -> list:
+    """Keys that hold more than a task's fair share of the stored ``rows``: fewer than 4 * tasks of them, whatever the data."""
+    share = max(100, rows.count() // (4 * task_count(rows.sparkSession)))
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > share)
+    return [r[0] for r in counts.filter(F.col(key).isNotNull()).select(key).collect()]
+
+
+def spread_join(rows: DataFrame, lookup: DataFrame, key: str, crowded: list | None = None) -> DataFrame:
+    """Inner join of the stored ``rows`` with ``lookup``, which has one row for each ``key``.
+
+    Rows of crowded keys stay where they are and get their lookup rows, fewer than 4 * tasks, by broadcast; the others are joined by shuffle.
+    """
+    crowded = crowded_keys(rows, key) if crowded is None else crowded
+    if not crowded:
+        return rows.join(lookup, key)
+    keys = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in crowded], rows.select(key).schema))
+    few = F.broadcast(lookup.join(keys, key, "left_semi"))
+    return rows.join(keys, key, "left_semi").join(few, key).union(rows.join(keys, key, "left_anti").join(lookup, key))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have, whatever the case."""
     held = {c.lower() for c in df.columns}

@@ -17,8 +17,8 @@ CHUNK_BYTES = 1 << 20
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, *range(9, 14)]] = True
 
-_R = 0x9E3779B97F4A7C15
-_R_INVERSE = pow(_R, -1, 1 << 64)
+R = 0x9E3779B97F4A7C15
+R_INVERSE = pow(R, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -31,12 +31,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-#: A number for each byte value, A-Z as a-z.
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64))
+#: A number for each byte value.
+EXACT = mix(np.arange(1, 257, dtype=np.uint64))
+#: The same, A-Z as a-z.
+_BYTES = EXACT.copy()
 _BYTES[65:91] = _BYTES[97:123]
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     held = _POWERS.get(base)
     if held is None or len(held) < n:
         size = max(n, CHUNK_BYTES + 1)
@@ -52,8 +54,11 @@ def _powers(base: int, n: int) -> np.ndarray:
     return held[:n]
 
 
-def word_hashes(texts: Sequence[bytes], space: np.ndarray = SPACE, heads: Sequence[int] = ()) -> tuple[np.ndarray, ...]:
-    """Hashes of all words of the texts in order, and how many words each text has; then hashes of the words' first ``heads`` bytes."""
+def word_hashes(texts: Sequence[bytes], space: np.ndarray = SPACE, heads: Sequence[int] = (), values: np.ndarray = _BYTES) -> tuple[np.ndarray, ...]:
+    """Hashes of all words of the texts in order, and how many words each text has; then hashes of the words' first ``heads`` bytes.
+
+    ``values`` has a number for each byte value: A-Z count as a-z, with ``EXACT`` they do not.
+    """
     joined = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     with np.errstate(over="ignore"):
         gap = space[joined]
@@ -61,18 +66,18 @@ def word_hashes(texts: Sequence[bytes], space: np.ndarray = SPACE, heads: Sequen
         starts = np.flatnonzero(edge == -1)
         ends = np.flatnonzero(edge == 1)
         prefix = np.zeros(len(joined) + 1, dtype=np.uint64)
-        np.cumsum(_BYTES[joined] * _powers(_R, len(joined)), out=prefix[1:])
-        begin, scale = prefix[starts], _powers(_R_INVERSE, len(joined) + 1)[starts]
+        np.cumsum(values[joined] * powers(R, len(joined)), out=prefix[1:])
+        begin, scale = prefix[starts], powers(R_INVERSE, len(joined) + 1)[starts]
         hashes = [mix((prefix[end] - begin) * scale) for end in (ends, *(np.minimum(ends, starts + n) for n in heads))]
     last = np.cumsum([len(t) + 1 for t in texts])
     return hashes[0], np.diff(np.searchsorted(starts, last), prepend=0), *hashes[1:]
 
 
-def chunks(texts: Sequence[str | None]) -> Iterator[tuple[int, list[bytes]]]:
+def chunks(texts: Sequence[str | bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
     """(place of the first, encoded texts) in stretches of about ``CHUNK_BYTES``; a missing text is empty."""
     first, held, size = 0, [], 0
     for at, text in enumerate(texts):
-        raw = (text or "").encode("utf-8", "surrogatepass")
+        raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
         if held and size + len(raw) > CHUNK_BYTES:
             yield first, held
             first, held, size = at, [], 0
@@ -90,7 +95,7 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, k: int = 5) -> list[np.ndar
         if n > 0:
             rolled = np.full(n, k, dtype=np.uint64)
             for j in range(k):
-                rolled = (rolled * np.uint64(_R)) ^ hashes[j : j + n]
+                rolled = (rolled * np.uint64(R)) ^ hashes[j : j + n]
                 rolled = rolled * np.uint64(0xBF58476D1CE4E5B9)
             rolled = mix(rolled)
         at = 0
@@ -101,7 +106,7 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, k: int = 5) -> list[np.ndar
             elif count:
                 value = np.array([count], dtype=np.uint64)
                 for j in range(count):
-                    value = ((value * np.uint64(_R)) ^ hashes[at + j]) * np.uint64(0xBF58476D1CE4E5B9)
+                    value = ((value * np.uint64(R)) ^ hashes[at + j]) * np.uint64(0xBF58476D1CE4E5B9)
                 out.append(mix(value))
             else:
                 out.append(np.empty(0, dtype=np.uint64))

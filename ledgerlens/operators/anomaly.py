@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
+from .neighbours import nearest_neighbours
 
 # Detector parameters.
 TREES = 200
@@ -18,11 +19,6 @@ ROWS_PER_TREE = 256
 NEIGHBOURS = 20
 SEED = 42
 
-# Neighbour search: pivots, points of a block, and points that look into a block at once.
-PIVOTS = 256
-BLOCK_POINTS = 512
-PORTION = 2048
-
 _HASH_SPACE = 1 << 40
 
 
@@ -142,110 +138,6 @@ def fit_isolation_forest(
     return IsolationForest(grown.toPandas(), size)
 
 
-def _squares(points: np.ndarray, others: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(points), len(others)))
-    for column in range(points.shape[1]):
-        total += (points[:, column, None] - others[None, :, column]) ** 2
-    return total
-
-
-def _matrix(x: pd.Series) -> np.ndarray:
-    return np.stack(x.to_numpy()).astype(np.float64)
-
-
-def _in_cells(points: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Each point with its nearest pivot and the distance to it."""
-
-    def nearest(frames):
-        for frame in frames:
-            if len(frame):
-                away = np.sqrt(_squares(_matrix(frame["x"]), pivots))
-                yield frame.assign(cell=away.argmin(1).astype(np.int32), away=away.min(1))
-
-    return points.mapInPandas(nearest, f"{_schema(points)}, cell int, away double")
-
-
-def _schema(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-
-
-def nearest_neighbours(df: DataFrame, key: str, k: int) -> DataFrame:
-    """The ``k`` nearest other rows of each row of ``(key, x)``, ties by key: ``(key, place, neighbour, distance)``.
-
-    Exact, for every row. Equal points are searched once and carry their first ``k + 1`` keys. Points lie in the cell of
-    their nearest pivot, cells in blocks of about ``BLOCK_POINTS``. The neighbours inside its own block bound how far a point
-    has to look; it is sent to the blocks of those cells that this bound reaches, by the triangle inequality. Blocks that
-    very many points look into meet them in portions. Pivots and one row per cell are all that passes the driver.
-    """
-    k = max(1, min(k, df.count() - 1))
-    rows = df.select(key, "x")
-    in_order = Window.partitionBy("x").orderBy(key)
-    first = rows.withColumn("_place", F.row_number().over(in_order)).filter(F.col("_place") <= k + 1)
-    named = first.groupBy("x").agg(F.sort_array(F.collect_list(key)).alias("ids"))
-    points = checkpointed(named.withColumn("pid", F.monotonically_increasing_id()))
-    drawn = points.orderBy(F.xxhash64("x"), "x").limit(PIVOTS).select("x").collect()
-    if not drawn:
-        kind = rows.schema[key].dataType.simpleString()
-        return rows.select(key, F.lit(0).alias("place"), F.lit(None).cast(kind).alias("neighbour"), F.lit(0.0).alias("distance"))
-    pivots = np.array([r["x"] for r in drawn], dtype=np.float64)
-    placed = _in_cells(points, pivots)
-    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")).collect()
-    radius, parts = np.full(len(pivots), -np.inf), np.ones(len(pivots), dtype=np.int64)
-    for row in cells:
-        radius[row["cell"]], parts[row["cell"]] = row["radius"], -(-row["n"] // BLOCK_POINTS)
-    counts = F.array(*[F.lit(int(n)) for n in parts])
-    blocks = checkpointed(placed.withColumn("block", F.pmod(F.xxhash64("pid"), F.get(counts, F.col("cell"))).cast("int")))
-
-    def bounds(frame: pd.DataFrame) -> pd.DataFrame:
-        distance = np.sqrt(_squares(_matrix(frame["x"]), _matrix(frame["x"])))
-        held = np.array([len(ids) for ids in frame["ids"]])
-        order = distance.argsort(1)
-        enough = held[order].cumsum(1) > k
-        at = np.take_along_axis(distance, order, 1)[np.arange(len(frame)), enough.argmax(1)]
-        return frame[["pid", "x"]].assign(bound=np.where(enough.any(1), at, np.inf))
-
-    bounded = blocks.groupBy("cell", "block").applyInPandas(bounds, "pid long, x array<double>, bound double")
-
-    def reached(frames):
-        for frame in frames:
-            if len(frame):
-                away = np.sqrt(_squares(_matrix(frame["x"]), pivots))
-                bound = frame["bound"].to_numpy()[:, None]
-                who, cell = np.nonzero((away - radius) * (1 - 1e-9) <= bound * (1 + 1e-9) + 1e-12)
-                real = radius[cell] >= 0
-                yield frame.iloc[who[real]][["pid", "x"]].assign(cell=cell[real].astype(np.int32))
-
-    sent = bounded.mapInPandas(reached, "pid long, x array<double>, cell int")
-    each = F.explode(F.sequence(F.lit(0), F.get(counts, F.col("cell")).cast("int") - 1))
-    looking = checkpointed(sent.withColumn("block", each))
-    portions = looking.groupBy("cell", "block").agg(F.ceil(F.count("*") / PORTION).cast("int").alias("portions"))
-    asked = looking.join(portions, ["cell", "block"]).withColumn("portion", F.pmod(F.xxhash64("pid"), F.col("portions")))
-    offered = blocks.join(portions, ["cell", "block"]).withColumn("portion", F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions").cast("long") - 1)))
-
-    def search(mine: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
-        if not len(mine) or not len(there):
-            return pd.DataFrame({"pid": [], "ids": [], "distances": []})
-        distance = np.sqrt(_squares(_matrix(mine["x"]), _matrix(there["x"])))
-        ids = [list(i) for i in there["ids"]]
-        reach = np.partition(distance, min(k, len(ids) - 1), axis=1)[:, min(k, len(ids) - 1)]
-        found = []
-        for row, far in zip(distance, reach):
-            near = sorted((row[j], i) for j in np.flatnonzero(row <= far) for i in ids[j])[: k + 1]
-            found.append(([i for _, i in near], [float(d) for d, _ in near]))
-        return pd.DataFrame({"pid": mine["pid"], "ids": [f[0] for f in found], "distances": [f[1] for f in found]})
-
-    by = ["cell", "block", "portion"]
-    kind = rows.schema[key].dataType.simpleString()
-    met = asked.drop("portions").groupBy(*by).cogroup(offered.drop("portions").groupBy(*by))
-    found = met.applyInPandas(search, f"pid long, ids array<{kind}>, distances array<double>")
-    zipped = F.arrays_zip(F.col("distances").alias("distance"), F.col("ids").alias("neighbour"))
-    merged = found.groupBy("pid").agg(F.slice(F.array_sort(F.flatten(F.collect_list(zipped))), 1, k + 1).alias("near"))
-    of_row = rows.join(points.select("x", "pid"), "x").join(merged, "pid")
-    others = F.slice(F.filter("near", lambda t: t["neighbour"] != F.col(key)), 1, k)
-    listed = of_row.select(key, F.posexplode(others).alias("place", "t"))
-    return listed.select(key, (F.col("place") + 1).alias("place"), "t.neighbour", "t.distance")
-
-
 def local_outlier_factor(df: DataFrame, key: str, k: int = NEIGHBOURS) -> DataFrame:
     """Local outlier factor of every row of ``(key, x)``, from its exact neighbours."""
     near = checkpointed(nearest_neighbours(df, key, k))

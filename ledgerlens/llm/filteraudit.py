@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import row_key, stored, table, text_or_empty
+from ledgerlens.llm.common import row_key, spread_join, stored, table, text_or_empty
 from ledgerlens.session import task_count
 
 #: The filters by letter.
@@ -55,9 +55,9 @@ def failing_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     part = F.coalesce(F.col("lang").cast("string"), F.lit(""))
     each = docs.select(row_key().alias("id"), F.col("doc_id").cast("long"), part.alias("part"), F.sha2(text, 256).alias("digest"), *[f.alias(k) for k, f in failures(text, copy).items()])
     rows = stored(each.drop("E"), "filters")
-    first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null").drop("n")
+    first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"))
     marks = labels.groupBy(F.col("doc_id").cast("long").alias("labelled")).agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
-    both = rows.join(first, "digest", "left").join(marks, F.col("doc_id") == F.col("labelled"), "left")
+    both = spread_join(rows, first, "digest").join(marks, F.col("doc_id") == F.col("labelled"), "left")
     later = F.col("first").isNotNull() & (F.col("doc_id").isNull() | (F.col("first") < F.col("doc_id")))
     flags = [F.coalesce(c, F.lit(False)).alias(k) for k, c in [*[(k, F.col(k)) for k in "ABCD"], ("E", later), ("good", F.col("good")), ("toxic", F.col("toxic"))]]
     return both.select("id", "part", *flags)

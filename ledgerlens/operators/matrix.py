@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from .categories import fit_categories
 from .features import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 KEYS = ("transaction_id", "ts", "is_fraud")
-MOST_CATEGORIES = 100_000
 
 
 def _kept(df: DataFrame, columns: tuple[str, ...] | list[str]) -> list[str]:
@@ -43,22 +42,10 @@ def with_missing_flags(df: DataFrame, columns: list[str] = NUMERIC_FEATURES, key
 def category_encode(
     df: DataFrame, columns: list[str] = CATEGORICAL_FEATURES, keys: tuple[str, ...] = ("transaction_id",)
 ) -> DataFrame:
-    """Codes 0, 1, ... in alphabetical order of the categories, a missing one being a category too.
-
-    The list of categories is part of the model and goes through the driver, so a
-    column with too many values to be a category is refused.
-    """
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = [c for c in columns if counts[c] > MOST_CATEGORIES]
-    if wide:
-        raise ValueError(f"more than {MOST_CATEGORIES} values in {wide}: not categories")
-    named = df.select(*keys, *[C.category_or_missing(F.col(c)).alias(c) for c in columns])
-    codes = [f"{c}_code" for c in columns]
-    indexer = StringIndexer(
-        inputCols=columns, outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="keep"
-    )
-    encoded = indexer.fit(named).transform(named)
-    return encoded.select(*keys, *[F.col(c).cast("long").alias(c) for c in codes])
+    """Codes 0, 1, ... in alphabetical order of the categories, a missing one being a category too."""
+    found = fit_categories(df, columns)
+    encoded = found.transform(df.select(*keys, *columns), keys[0])
+    return encoded.select(*keys, *[f"{c}_code" for c in columns])
 
 
 @dataclass(frozen=True)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .ranking import Ranked, evenly_spaced, rank_scores, renumber, thresholds
+from .ranking import Ranked, evenly_spaced, rank_scores, renumber, thresholds, thresholds_by
 
 
 @dataclass(frozen=True)
@@ -94,6 +94,14 @@ def average_precision(df: DataFrame, score: str = "score", label: str = "is_frau
     return points.rows.agg(_average_precision(points.n_pos).alias("average_precision"))
 
 
+def average_precision_by(df: DataFrame, key: str, score: str = "score", label: str = "is_fraud") -> DataFrame:
+    """``(key, average_precision)`` of several rankings in one table, ranked together."""
+    points = thresholds_by(df, key, score, label)
+    precision = F.col("tp") / _real(F.col("tp") + F.col("fp"))
+    gained = _real(F.col("pos")) / F.nullif(_real(F.col("n_pos")), F.lit(0.0))
+    return points.groupBy(key).agg(F.sum(gained * precision).alias("average_precision"))
+
+
 def roc_auc(df: DataFrame, score: str = "score", label: str = "is_fraud") -> DataFrame:
     points = thresholds(df, score, label)
     return points.rows.agg(_roc_auc(points.n_pos, points.n_neg).alias("roc_auc"))

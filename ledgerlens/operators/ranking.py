@@ -131,6 +131,26 @@ def thresholds(df: DataFrame, score: str = "score", label: str = "is_fraud") ->
     return Ranked(points, slots.totals["n"], slots.totals["n_pos"] or 0)
 
 
+def thresholds_by(df: DataFrame, key: str, score: str = "score", label: str = "is_fraud") -> DataFrame:
+    """One row per key and distinct score: ``key, score, pos, neg``, ``tp`` and ``fp`` at or above it, and the ``n_pos`` of the key.
+
+    All keys share the cuts of the order of scores, so a key is spread over the slots and no key is one task.
+    """
+    rows = df.select(key, F.col(label).cast("int").alias("label"), F.col(score).cast("double").alias("score"))
+    value = -F.col("score")
+    slots = fit_slots(rows, value)
+    grouped = rows.groupBy(key, "score").agg(F.sum("label").alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
+    placed = slots.assign(grouped, value)
+    per_slot = placed.groupBy(key, "_slot").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
+    before = Window.partitionBy(key).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {name: F.coalesce(F.sum(c).over(before), F.lit(0)) for name, c in (("_p0", "_pos"), ("_q0", "_neg"))}
+    carry = per_slot.select(key, "_slot", F.sum("_pos").over(Window.partitionBy(key)).alias("n_pos"), *[c.alias(n) for n, c in sums.items()])
+    down_to = Window.partitionBy(key, "_slot").orderBy(value.asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.withColumns({"_tp": F.sum("pos").over(down_to), "_fp": F.sum("neg").over(down_to)})
+    totals = ((F.col("_tp") + F.col("_p0")).alias("tp"), (F.col("_fp") + F.col("_q0")).alias("fp"))
+    return local.join(carry, [key, "_slot"]).select(key, "score", "pos", "neg", *totals, "n_pos")
+
+
 def renumber(points: DataFrame) -> DataFrame:
     """Number what a filter left of ``thresholds`` again: new ``place`` and ``places``."""
     per_slot = points.groupBy(*SLOT).agg(F.count("*").alias("_m"))

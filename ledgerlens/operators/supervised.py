@@ -1,39 +1,25 @@
-"""Logistic baseline and boosted trees on Spark ML."""
+"""Logistic baseline, and what the trees of ``boosting`` gained."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-    LogisticRegressionModel,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpointed, shared_folder
+from ..session import checkpointed
+from .boosting import PREDICTION, Boosted
 from .features import NUMERIC_FEATURES, TARGET
-from .matrix import Scaler, fit_scaler, with_missing_flags, zero_filled
-from .metrics import average_precision
+from .matrix import Scaler, fit_scaler, zero_filled
 from .sampling import BASELINE_NEGATIVES, stratified_subsample
 
 # Training parameters.
 LOGISTIC_ITERATIONS = 300
-SEED = 42
-LEARNING_RATE = 0.05
-ROUNDS = 100
-MAX_DEPTH = 6  # 2**6 leaves, next to the 63 leaves asked for
-MIN_ROWS_PER_LEAF = 200
-ROW_SHARE = 0.8
-COLUMN_SHARE = 0.8
 TOP_FEATURES = 20
 
-PREDICTION = ("transaction_id", "ts", "is_fraud")
-
 
 def _vectors(df: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="features").transform(df)
@@ -92,82 +78,7 @@ def fit_baseline(
     return Baseline(scaler, logistic.fit(ready), columns)
 
 
-@dataclass(frozen=True)
-class Boosted:
-    """Boosted trees, of which the first ``best_rounds`` are used."""
-
-    model: GBTClassificationModel
-    columns: list[str]
-    best_rounds: int
-
-    def score(self, df: DataFrame) -> DataFrame:
-        margins = _tree_margins(self.model, df, self.columns)
-        return margins.select(*PREDICTION, _probability(self.best_rounds).alias("score"))
-
-
-def _matrix_columns(columns: list[str]) -> list[str]:
-    return [*columns, *[f"{c}_missing" for c in columns]]
-
-
-def _tree_margins(model: GBTClassificationModel, df: DataFrame, columns: list[str]) -> DataFrame:
-    """Prediction columns and ``margins``, the weighted output of every tree."""
-    rows = _vectors(with_missing_flags(df, columns), _matrix_columns(columns)).select(*PREDICTION, "features")
-    outputs = []
-    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
-        rows = tree.setPredictionCol(f"_tree_{i}").transform(rows)
-        outputs.append(F.col(f"_tree_{i}") * F.lit(weight))
-    return rows.select(*PREDICTION, F.array(*outputs).alias("margins"))
-
-
-def _probability(rounds: int) -> Column:
-    margin = F.aggregate(F.slice("margins", 1, rounds), F.lit(0.0), lambda total, part: total + part)
-    return 1.0 / (1.0 + F.exp(-2.0 * margin))
-
-
-def fit_boosted(
-    train: DataFrame,
-    valid: DataFrame,
-    rounds: int = ROUNDS,
-    check_every: int = 10,
-    columns: list[str] = NUMERIC_FEATURES,
-    min_rows_per_leaf: int = MIN_ROWS_PER_LEAF,
-    max_depth: int = MAX_DEPTH,
-) -> Boosted:
-    """Boosted trees without class weights, stopped where validation average precision peaks.
-
-    Every prefix of the trees is itself a model, so the stopping point is chosen
-    after the fit among multiples of ``check_every``.
-    """
-    # Boosting cuts its lineage every few rounds where there is a checkpoint folder.
-    shared_folder(train.sparkSession)
-    matrix = _matrix_columns(columns)
-    boosting = GBTClassifier(
-        labelCol=TARGET,
-        maxIter=rounds,
-        stepSize=LEARNING_RATE,
-        maxDepth=max_depth,
-        minInstancesPerNode=min_rows_per_leaf,
-        subsamplingRate=ROW_SHARE,
-        featureSubsetStrategy=str(COLUMN_SHARE),
-        seed=SEED,
-    )
-    model = boosting.fit(_vectors(with_missing_flags(train, columns), matrix))
-    margins = checkpointed(_tree_margins(model, valid, columns))
-    precision = {
-        used: average_precision(margins.select("is_fraud", _probability(used).alias("score"))).first()[0]
-        for used in sorted({*range(check_every, rounds, check_every), rounds})
-    }
-    best = max(precision, key=lambda used: (precision[used] or 0.0, -used))
-    return Boosted(model, columns, best)
-
-
 def feature_importance(spark: SparkSession, boosted: Boosted, top: int = TOP_FEATURES) -> DataFrame:
-    """The columns that gained most, shares adding up to 1 over all columns.
-
-    A column's missing flag counts towards the column.
-    """
-    shares = boosted.model.featureImportances.toArray()
-    width = len(boosted.columns)
-    rows = [(c, float(shares[i] + shares[width + i])) for i, c in enumerate(boosted.columns)]
-    table = spark.createDataFrame(rows, "feature string, gain double")
+    """The columns that gained most, shares adding up to 1 over all columns."""
+    table = spark.createDataFrame(list(boosted.importance().items()), "feature string, gain double")
     return table.orderBy(F.desc("gain"), "feature").limit(top)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import anomaly, features, matrix, metrics, reports, supervised
+from ..operators import anomaly, boosting, features, matrix, metrics, reports, supervised
 from ..operators.enrich import enrich
 from ..operators.split import TRAIN_FRACTION, VALID_FRACTION, TimeSplit, split_summary, time_split
 from ..sources.readers import RawPaths, RawTables, read_raw, register_views
@@ -95,7 +95,7 @@ def _named(row: DataFrame, model: str, part: str) -> DataFrame:
 class TrainingResult:
     split: TimeSplit
     baseline: supervised.Baseline
-    boosted: supervised.Boosted
+    boosted: boosting.Boosted
     metrics: DataFrame
     predictions: DataFrame
 
@@ -106,7 +106,8 @@ def train(
     sample_rows: int | None = None,
     settings: metrics.Evaluation = metrics.Evaluation(),
     shares: tuple[float, float] = (TRAIN_FRACTION, VALID_FRACTION),
-    **boosting: int,
+    categories: tuple[str, ...] = (),
+    **tree_settings: float,
 ) -> TrainingResult:
     """Split by time, fit the baseline and the boosted trees, store scores, metrics and models."""
     parts = time_split(_feature_table(spark, out, sample_rows), *shares)
@@ -117,7 +118,7 @@ def train(
     training, valid, test = (parts.part(name) for name in ("train", "valid", "test"))
 
     baseline = supervised.fit_baseline(training)
-    boosted = supervised.fit_boosted(training, valid, **boosting)
+    boosted = boosting.fit_boosted(training, valid, categories=categories, **tree_settings)
     # Scores are stored before they are ranked: ranking reads them several times.
     baseline_scores = write_table(baseline.score(test), path("baseline_predictions"))
     valid_scores = write_table(boosted.score(valid), path("valid_predictions"))
@@ -128,10 +129,10 @@ def train(
         .unionByName(_named(metrics.evaluate(valid_scores, settings), "boosted", "valid"))
         .unionByName(_named(metrics.evaluate(predictions, settings), "boosted", "test"))
         .withColumn("best_iteration", F.when(F.col("model") == "boosted", boosted.best_rounds))
-        .withColumn("n_features", F.lit(len(boosted.columns)))
+        .withColumn("n_features", F.lit(len(boosted.importance())))
     )
     stored = write_table(table, path("metrics"))
-    boosted.model.write().overwrite().save(path("boosted_model"))
+    boosted.save(spark, path("boosted_model"))
     baseline.save(spark, path("baseline_model"))
     write_table(supervised.feature_importance(spark, boosted), path("feature_importance"))
     return TrainingResult(parts, baseline, boosted, stored, predictions)

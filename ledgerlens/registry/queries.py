@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import columns as C
 from ledgerlens.operators import (
     anomaly,
+    boosting,
     enrich,
     features,
     history,
@@ -502,7 +503,7 @@ def baseline_scores(spark, sf_dir):
 
 
 def _boosted(parts):
-    return supervised.fit_boosted(parts.part("train"), parts.part("valid"))
+    return boosting.fit_boosted(parts.part("train"), parts.part("valid"))
 
 
 @query()

@@ -31,11 +31,11 @@ def test_jobs_end_to_end(spark, setting, tmp_path):
     assert small.count() == 50
     assert jobs.build_features(spark, paths, out).count() == 1000
 
-    result = jobs.train(spark, out, rounds=4, check_every=2, min_rows_per_leaf=20, max_depth=3)
+    result = jobs.train(spark, out, rounds=4, min_rows_per_leaf=20, max_depth=3, categories=("use_chip", "mcc"))
     rows = {(r["model"], r["part"]): r for r in result.metrics.collect()}
     assert set(rows) == {("baseline", "test"), ("boosted", "valid"), ("boosted", "test")}
     assert rows["boosted", "test"]["n"] == result.predictions.count() == result.split.part("test").count()
-    assert rows["boosted", "test"]["n_features"] == 25
+    assert rows["boosted", "test"]["n_features"] == 27
 
     metrics = jobs.unsupervised(spark, out)
     counts = {r["model"]: r["n"] for r in metrics.collect()}

@@ -2,10 +2,9 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import anomaly, matrix, supervised
+from ledgerlens.operators import anomaly, boosting, categories, matrix, metrics, supervised
 
 
 @pytest.fixture(scope="module")
@@ -119,26 +118,78 @@ def test_baseline_solves_the_balanced_l2_problem(labeled):
     assert scores.columns == ["transaction_id", "ts", "is_fraud", "score"] and scores.count() == 3000
 
 
-def test_boosted_prefix_scores_equal_the_model(labeled):
-    boosted = supervised.fit_boosted(
-        labeled, labeled, rounds=6, check_every=2, columns=["a", "b"], min_rows_per_leaf=20, max_depth=3
-    )
-    assert boosted.best_rounds in (2, 4, 6)
-    whole = supervised.Boosted(boosted.model, boosted.columns, 6)
-    mine = {r["transaction_id"]: r["score"] for r in whole.score(labeled).collect()}
-    vectors = supervised._vectors(
-        matrix.with_missing_flags(labeled, boosted.columns), supervised._matrix_columns(boosted.columns)
-    )
-    theirs = boosted.model.transform(vectors).select(
-        "transaction_id", vector_to_array("probability").getItem(1).alias("p")
-    )
-    assert all(mine[r["transaction_id"]] == pytest.approx(r["p"], abs=1e-12) for r in theirs.collect())
+SMALL = {"min_rows_per_leaf": 20, "max_depth": 3, "stretch": 4}
+
+
+def test_boosted_scores_follow_the_definition(spark, labeled, tmp_path):
+    """Base margin plus the leaf each row reaches in every tree; leaves are Newton steps of the rows drawn."""
+    boosted = boosting.fit_boosted(labeled, labeled, columns=["a", "b"], rounds=6, row_share=1.0, column_share=1.0, **SMALL)
+    assert len(boosted.trees) == 6 and len(boosted.history) == 6 and 1 <= boosted.best_rounds <= 6
+    rows = {r["transaction_id"]: r for r in labeled.collect()}
+    inputs = {k: [r["a"], r["b"] or 0.0, 0.0, float(r["b"] is None)] for k, r in rows.items()}
+    y = {k: r["is_fraud"] for k, r in rows.items()}
+    mean = sum(y.values()) / len(y)
+    margin = dict.fromkeys(rows, math.log(mean / (1 - mean)))
+    for tree in boosted.trees:
+        sums, leaf_of = {}, {}
+        for k, x in inputs.items():
+            at = 0
+            while tree.feature[at] >= 0:
+                at = tree.left[at] if x[tree.feature[at]] <= tree.cut[at] else tree.right[at]
+            p = 1 / (1 + math.exp(-margin[k]))
+            g, h, n = sums.get(at, (0.0, 0.0, 0))
+            sums[at], leaf_of[k] = (g + y[k] - p, h + p * (1 - p), n + 1), at
+        assert set(sums) == set(tree.leaves) and min(n for _, _, n in sums.values()) >= 20
+        assert all(tree.value[i] == pytest.approx(0.05 * g / (h + 1.0), rel=1e-9) for i, (g, h, _) in sums.items())
+        margin = {k: m + tree.value[leaf_of[k]] for k, m in margin.items()}
+    found = {r["transaction_id"]: r["score"] for r in boosted.score(labeled, 6).collect()}
+    assert all(found[k] == pytest.approx(1 / (1 + math.exp(-m)), abs=1e-12) for k, m in margin.items())
+    precision = metrics.average_precision(boosted.score(labeled, boosted.best_rounds)).first()[0]
+    assert precision == pytest.approx(max(boosted.history), abs=1e-12)
+    boosted.save(spark, str(tmp_path / "m"))
+    again = boosting.Boosted.load(spark, str(tmp_path / "m"))
+    assert again.trees == boosted.trees and again.best_rounds == boosted.best_rounds and again.columns == ["a", "b"]
+    assert sorted(boosted.score(labeled).collect()) == sorted(again.score(labeled).collect())
+
+
+def test_boosting_stops_at_the_exact_round(labeled):
+    """The validation labels are turned around, so every further tree only loses."""
+    against = labeled.withColumn("is_fraud", 1 - F.col("is_fraud"))
+    boosted = boosting.fit_boosted(labeled, against, columns=["a"], patience=5, **SMALL)
+    best = max(range(len(boosted.history)), key=lambda i: (boosted.history[i], -i))
+    assert boosted.best_rounds == best + 1 and len(boosted.trees) == len(boosted.history) == best + 1 + 5
+    for i, rounds in enumerate(range(1, 4)):
+        assert metrics.average_precision(boosted.score(against, rounds)).first()[0] == pytest.approx(boosted.history[i], abs=1e-12)
+
+
+def test_where_a_history_stops():
+    assert boosting._stop([0.1, 0.3, 0.2, 0.3, 0.1], 3) == 5 and boosting._stop([0.1, 0.3, 0.2, 0.3], 3) is None
+    assert boosting._stop([0.0, 0.0, 0.0], 2) == 3 and boosting._stop([], 1) is None and boosting.Boosting().rounds == 1500
+
+
+def test_a_fit_can_be_continued(labeled):
+    whole = boosting.fit_boosted(labeled, labeled, columns=["a", "b"], rounds=6, **SMALL)
+    half = boosting.fit_boosted(labeled, labeled, columns=["a", "b"], rounds=4, **SMALL)
+    more = boosting.fit_boosted(labeled, labeled, rounds=6, start=half, **SMALL)
+    assert [t.feature for t in more.trees] == [t.feature for t in whole.trees]
+    assert [v for t in more.trees for v in t.value] == pytest.approx([v for t in whole.trees for v in t.value])
+
+
+def test_categories_reach_the_trees(spark):
+    chance = np.random.default_rng(2)
+    rows = [(i, int(i % 7 in (1, 4)), float(chance.normal()), f"c{i % 7}", f"v{i % 500}") for i in range(1400)]
+    df = spark.createDataFrame(rows, "transaction_id long, is_fraud int, a double, c string, v string").withColumn("ts", F.lit("2019-01-01").cast("timestamp_ntz"))
+    boosted = boosting.fit_boosted(df, df, columns=["a"], categories=["c", "v"], rounds=3, column_share=1.0, row_share=1.0, **SMALL)
+    assert boosted.inputs == ["a", "a_missing", "c_code", "v_code"] and boosted.importance()["c"] > 0.99
+    assert boosted.trees[0].left_codes[0] in ([1, 4], [0, 2, 3, 5, 6])
+    scores = {r["transaction_id"]: r["score"] for r in boosted.score(df).collect()}
+    assert min(s for k, s in scores.items() if k % 7 in (1, 4)) > max(s for k, s in scores.items() if k % 7 not in (1, 4))
+    unseen = df.limit(3).withColumn("c", F.lit("new")).withColumn("v", F.lit(None).cast("string"))
+    assert boosted.score(unseen).filter("score is not null").count() == 3
 
 
 def test_feature_importance_is_ordered(spark, labeled):
-    boosted = supervised.fit_boosted(
-        labeled, labeled, rounds=3, check_every=3, columns=["a", "b"], min_rows_per_leaf=20, max_depth=3
-    )
+    boosted = boosting.fit_boosted(labeled, labeled, columns=["a", "b"], rounds=3, **SMALL)
     rows = supervised.feature_importance(spark, boosted).collect()
     assert [r["feature"] for r in rows] == ["a", "b"]
     assert sum(r["gain"] for r in rows) == pytest.approx(1.0)
@@ -149,5 +200,20 @@ def test_boosted_queries_fit_the_default_rounds(monkeypatch):
 
     from ledgerlens.registry import queries
 
-    monkeypatch.setattr(supervised, "fit_boosted", lambda *parts, **options: (parts, options))
+    monkeypatch.setattr(boosting, "fit_boosted", lambda *parts, **options: (parts, options))
     assert queries._boosted(SimpleNamespace(part=str)) == (("train", "valid"), {})
+
+
+def test_very_many_categories(spark, monkeypatch):
+    df = spark.range(300_000).select(F.col("id").alias("transaction_id"), F.concat(F.lit("v"), F.col("id") * 7919 % 300_007).alias("c"), F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("d"))
+    for rows in (categories.BROADCAST_ROWS, 1000):
+        monkeypatch.setattr(categories, "BROADCAST_ROWS", rows)
+        coded = matrix.category_encode(df, ["c", "d"])
+        held = coded.join(df, "transaction_id").agg(F.count("*"), F.countDistinct("c_code"), F.min("c_code"), F.max("c_code"), F.countDistinct("d_code"), F.max("d_code")).first()
+        assert tuple(held) == (300_000, 300_000, 0, 299_999, 100_001, 100_000)
+        some = coded.join(df, "transaction_id").filter("transaction_id % 3000 < 2").select("c", "c_code").orderBy("c").collect()
+        assert [r["c_code"] for r in some] == sorted(r["c_code"] for r in some)
+
+
+def test_categories_of_nothing(spark, labeled):
+    assert matrix.category_encode(labeled.limit(0).withColumn("c", F.lit("x")), ["c"]).count() == 0

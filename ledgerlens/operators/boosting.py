@@ -43,7 +43,7 @@ class Boosting:
     patience: int = 100
     seed: int = 42
     #: Rounds between two storings of the margins, and ranked together.
-    stretch: int = 10
+    stretch: int = 20
     #: Bins of a numeric column; a category of more values than this is split by its code.
     bins: int = 64
 

@@ -479,6 +479,12 @@ ORACLES: dict[str, str] = {
         coalesce(amount_z, 0) AS amount_z, CAST(amount_z IS NULL AS DOUBLE) AS amount_z_missing,
         coalesce(CAST(card_age_years AS DOUBLE), 0) AS card_age_years,
         CAST(card_age_years IS NULL AS DOUBLE) AS card_age_years_missing FROM ({FEATURES})""",
+    "tree_scores": f"""WITH f AS (SELECT *, dense_rank() OVER (ORDER BY coalesce(CAST(use_chip AS VARCHAR), '__missing__')) - 1 AS code
+          FROM ({_features(DENSE)})), t AS (SELECT transaction_id, ts, is_fraud,
+          CASE WHEN coalesce(amount, 0) <= 60 THEN -0.5 WHEN coalesce(amount_z, 0) <= 0.5 THEN 0.25 ELSE 0.75 END AS one,
+          CASE WHEN sec_since_prev_txn IS NULL THEN 0.125 WHEN sec_since_prev_txn <= 90000 THEN -0.25 ELSE 0.5 END AS two,
+          CASE WHEN code IN (0, 2) THEN 1.0 ELSE -1.0 END AS three FROM f)
+        SELECT transaction_id, ts, is_fraud, round(1 / (1 + exp(-CAST(-2 + one + two + three AS DOUBLE))), 8) AS score FROM t""",
     "category_encode": "SELECT transaction_id, "
     + ", ".join(
         f"dense_rank() OVER (ORDER BY coalesce(CAST({c} AS VARCHAR), '__missing__')) - 1 AS {c}_code"

@@ -79,9 +79,10 @@ def _roc_auc(n_pos: int, n_neg: int) -> Column:
     return _share(F.sum(_real(F.col("neg")) * above), n_pos * n_neg)
 
 
-def _recall_at(target: float, n_pos: int, n_neg: int) -> Column:
+def _recall_at(target: float, n_pos: int, n_neg: int, tp: Column | None = None, fp: Column | None = None) -> Column:
     """Recall on the ROC polyline at a false-positive rate, interpolated between its points."""
-    fpr, tpr = _share(F.col("fp"), n_neg), _share(F.col("tp"), n_pos)
+    fpr = _share(F.col("fp") if fp is None else fp, n_neg)
+    tpr = _share(F.col("tp") if tp is None else tp, n_pos)
     at = F.lit(float(target))
     low = F.max(F.when(fpr <= at, F.struct(fpr.alias("x"), tpr.alias("y"))))
     high = F.min(F.when(fpr > at, F.struct(fpr.alias("x"), tpr.alias("y"))))
@@ -175,30 +176,20 @@ def evaluate(
 ) -> DataFrame:
     """The whole metric suite of one score column, in one row.
 
-    Rows are ranked once; both halves read the same shuffle.
+    Rows are shuffled once: each row carries its rank and the totals at its score, and everything is one aggregation over them.
     """
-    ranked = rank_scores(df, score, label, tie)
+    ranked = rank_scores(df, score, label, tie, thresholds=True)
     n, n_pos, n_neg = ranked.n, ranked.n_pos, ranked.n_neg
-    by_rank = ranked.rows.agg(
-        _cheapest(settings.costs, n_pos).alias("best"),
+    precision = F.col("end_tp") / _real(F.col("end_tp") + F.col("end_fp"))
+    above = _real(F.col("end_tp")) - _real(F.col("pos")) / 2
+    points = {"tp": F.col("end_tp"), "fp": F.col("end_fp")}
+    one = ranked.rows.agg(
+        F.sum(F.when(F.col("label") == 1, _share(F.lit(1), n_pos) * precision)).alias("pr_auc"),
+        _share(F.sum(F.when(F.col("label") == 0, above)), n_pos * n_neg).alias("roc_auc"),
+        _keyed({recall_key(t): _recall_at(t, n_pos, n_neg, **points) for t in settings.fpr_targets}).alias("recall_at_fpr"),
         _keyed({precision_key(f): _precision_at(f, n) for f in settings.top_fractions}).alias("precision_at_k"),
+        _cheapest(settings.costs, n_pos).alias("best"),
     )
-    points = (
-        ranked.rows.groupBy("score")
-        .agg(
-            F.sum("label").alias("pos"),
-            F.count_if(F.col("label") == 0).alias("neg"),
-            F.max("tp").alias("tp"),
-            F.max(F.col("flagged") - F.col("tp")).alias("fp"),
-        )
-    )
-    by_threshold = points.agg(
-        _average_precision(n_pos).alias("pr_auc"),
-        _roc_auc(n_pos, n_neg).alias("roc_auc"),
-        _keyed({recall_key(t): _recall_at(t, n_pos, n_neg) for t in settings.fpr_targets}).alias("recall_at_fpr"),
-    )
-    both = by_rank.unionByName(by_threshold, allowMissingColumns=True)
-    one = both.agg(*[F.any_value(c, True).alias(c) for c in both.columns])
     return one.select(
         "pr_auc",
         "roc_auc",

@@ -42,10 +42,12 @@ def rank_scores(
     label: str = "is_fraud",
     tie: str = "transaction_id",
     keep: tuple[str, ...] = (),
+    thresholds: bool = False,
 ) -> Ranked:
     """Rows ``(tie, *keep, label, score, flagged, tp)``.
 
-    ``flagged`` is the 1-based rank, ``tp`` the number of positives down to the row.
+    ``flagged`` is the 1-based rank, ``tp`` the number of positives down to the row. With ``thresholds`` a row also has those of its score:
+    ``pos`` positives, and ``end_tp`` positives and ``end_fp`` others at or above it. All of it needs one shuffle of the rows.
     """
     rows = df.select(
         tie, *keep, F.col(label).cast("int").alias("label"), F.col(score).cast("double").alias("score")
@@ -54,20 +56,36 @@ def rank_scores(
     slots = fit_slots(rows, value, F.col(tie), {"n": F.count("*"), "n_pos": F.sum("label")})
     placed = slots.assign(rows, value, F.col(tie))
     per_slot = placed.groupBy(*SLOT).agg(F.count("*").alias("_n"), F.sum("label").alias("_pos"))
-    carry = per_slot.select(*SLOT, *[c.alias(n) for n, c in _so_far({"_n0": F.col("_n"), "_p0": F.col("_pos")}).items()])
+    carried = _so_far({"_n0": F.col("_n"), "_p0": F.col("_pos")})
+    whole = Window.partitionBy("_slot")
+    upto = Window.orderBy("_slot").rangeBetween(Window.unboundedPreceding, 0)
+    if thresholds:
+        # a score that is cut into several slots ends with the last of them
+        carried |= {"_all": F.sum("_pos").over(whole), "_n1": F.sum("_n").over(upto), "_p1": F.sum("_pos").over(upto)}
+    carry = per_slot.select(*SLOT, *[c.alias(n) for n, c in carried.items()])
     in_slot = Window.partitionBy(*SLOT).orderBy(value.asc_nulls_last(), F.col(tie))
+    in_slot_order = Window.partitionBy(*SLOT).orderBy(value.asc_nulls_last())
     down_to = in_slot.rowsBetween(Window.unboundedPreceding, 0)
     # Ranked inside the slot first: the join then finds the rows already in place.
     local = placed.withColumns(
         {"_at": F.row_number().over(in_slot).cast("long"), "_tp": F.sum("label").over(down_to)}
     )
-    ranked = local.join(carry, SLOT).select(
+    ends = []
+    if thresholds:
+        with_ties = in_slot_order.rangeBetween(Window.unboundedPreceding, 0)
+        local = local.withColumns({"_end": F.count("*").over(with_ties), "_end_tp": F.sum("label").over(with_ties)})
+        local = local.withColumn("_own", F.sum("label").over(Window.partitionBy(*SLOT, "score")))
+        cut = F.col("_slot").isin(list(slots.tied))
+        end, end_tp = F.when(cut, F.col("_n1")).otherwise(F.col("_end") + F.col("_n0")), F.when(cut, F.col("_p1")).otherwise(F.col("_end_tp") + F.col("_p0"))
+        ends = [F.when(cut, F.col("_all")).otherwise(F.col("_own")).alias("pos"), end_tp.alias("end_tp"), (end - end_tp).alias("end_fp")]
+    ranked = local.join(F.broadcast(carry), SLOT).select(
         tie,
         *keep,
         "label",
         "score",
         (F.col("_at") + F.col("_n0")).alias("flagged"),
         (F.col("_tp") + F.col("_p0")).alias("tp"),
+        *ends,
     )
     return Ranked(ranked, slots.totals["n"], slots.totals["n_pos"] or 0)
 

@@ -15,6 +15,7 @@ with the same result, and walking the slots in order walks the rows in order.
 from __future__ import annotations
 
 import math
+import os
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -80,21 +81,27 @@ def flag_hot(df: DataFrame, keys: list[str], hot: DataFrame, name: str = "_hot")
 
 @dataclass(frozen=True)
 class Slots:
-    """Cuts of an order ``(value, tie)`` into slots ``(_slot, _sub)`` of similar size."""
+    """Cuts of an order ``(value, tie)`` into slots ``(_slot, _sub)`` of similar size.
+
+    ``tied`` maps a slot that holds a single value to how many shares of all rows it has, and so into how many it is cut by the tie.
+    """
 
     cuts: list[float]
-    tied: list[int]
+    tied: dict[int, int]
     tie_cuts: list[float]
     totals: dict = field(default_factory=dict)
+    prefix: str = ""
 
     def assign(self, df: DataFrame, value: Column, tie: Column | None = None) -> DataFrame:
         """Add ``_slot`` and ``_sub``; NULL values go to the last slot."""
         placed = _bucket(df, value, self.cuts, "_slot")
         if not self.tied or tie is None:
             return placed.withColumn("_sub", F.lit(0))
-        placed = _bucket(placed, tie, self.tie_cuts, "_sub")
-        in_tie = F.col("_slot").isin(self.tied)
-        return placed.withColumn("_sub", F.when(in_tie, F.col("_sub")).otherwise(0))
+        placed = _bucket(placed, tie_number(placed, tie, self.prefix), self.tie_cuts, "_at")
+        # one bucket of the tie for each share, so the slots of all values are at most twice the pieces
+        shares = F.array(*[F.lit(self.tied.get(slot, 1)) for slot in range(len(self.cuts) + 2)])
+        sub = F.floor(F.col("_at") * F.get(shares, F.col("_slot")) / (len(self.tie_cuts) + 2)).cast("int")
+        return placed.withColumn("_sub", sub).drop("_at")
 
     def span(self, slot: int) -> tuple[float, float]:
         """Smallest value of a slot, and the smallest of the next one."""
@@ -115,15 +122,18 @@ def fit_slots(
     enough: a few hundred rows per slot, whatever the size of the table.
     """
     pieces = pieces or task_count(df.sparkSession)
-    counted = df.agg(F.count("*").alias("_n"), *[c.alias(k) for k, c in (totals or {}).items()])
+    # all texts between the smallest and the largest share what these two begin with
+    text = [F.min(tie).alias("_low"), F.max(tie).alias("_high")] if tie is not None and _is_text(df, tie) else []
+    counted = df.agg(F.count("*").alias("_n"), *text, *[c.alias(k) for k, c in (totals or {}).items()])
     counted = counted.first().asDict()
-    n = counted.pop("_n")
+    n, low, high = (counted.pop(k, None) for k in ("_n", "_low", "_high"))
+    prefix = os.path.commonprefix([low or "", high or ""])
     shares = [i / pieces for i in range(1, pieces)]
     if not shares or not n:
-        return Slots([], [], [], counted)
+        return Slots([], {}, [], counted, prefix)
 
     fraction = min(1.0, SAMPLED_PER_SLOT * pieces / n)
-    orders = [value.cast("double").alias("v"), *([] if tie is None else [tie.cast("double").alias("t")])]
+    orders = [value.cast("double").alias("v"), *([] if tie is None else [tie_number(df, tie, prefix).alias("t")])]
     seen = df.select(*orders)
     if fraction < 1.0:
         seen = seen.sample(fraction, SAMPLE_SEED)
@@ -137,12 +147,28 @@ def fit_slots(
     raw, raw_ties = ([c for c in cuts or [] if math.isfinite(c)] for cuts in [*found[2:], None][:2])
 
     # A value found at two quantiles holds more than one share: close its slot.
-    heavy = {cut for cut, times in Counter(raw).items() if times > 1}
+    heavy = {cut: times for cut, times in Counter(raw).items() if times > 1}
     cuts = sorted(set(raw) | {math.nextafter(c, math.inf) for c in heavy})
-    tied = [cuts.index(c) + 1 for c in sorted(heavy)]
+    tied = {cuts.index(c) + 1: times for c, times in sorted(heavy.items())}
     if nulls * pieces > drawn:
-        tied.append(len(cuts) + 1)
-    return Slots(cuts, tied, sorted(set(raw_ties)), counted)
+        tied[len(cuts) + 1] = math.ceil(nulls * pieces / drawn)
+    return Slots(cuts, tied, sorted(set(raw_ties)), counted, prefix)
+
+
+def _is_text(df: DataFrame, column: Column) -> bool:
+    return df.select(column.alias("c")).dtypes[0][1] == "string"
+
+
+def tie_number(df: DataFrame, tie: Column, prefix: str) -> Column:
+    """A number that never falls as the tie rises: a text counts by the six bytes after what all texts begin with.
+
+    It only decides how evenly slots are filled; rows of one slot are ordered by the tie itself.
+    """
+    if not _is_text(df, tie):
+        return tie.cast("double")
+    start = len(prefix.encode("utf-8", "surrogatepass")) + 1
+    digits = F.rpad(F.hex(F.substring(tie.cast("binary"), start, 6)), 12, "0")
+    return F.conv(digits, 16, 10).cast("double")
 
 
 def _bucket(df: DataFrame, value: Column, cuts: list[float], name: str) -> DataFrame:

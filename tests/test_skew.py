@@ -92,3 +92,32 @@ def test_metrics_do_not_depend_on_the_cuts(skewed, monkeypatch):
     again = metrics.evaluate(skewed).first().asDict()
     for name in ("pr_auc", "roc_auc", "total_cost", "best_threshold", "n", "n_pos"):
         assert again[name] == pytest.approx(whole[name], abs=1e-12)
+
+
+def test_slots_of_very_many_heavy_scores(spark):
+    """300 scores hold a few shares each; 2,000 slots are wanted."""
+    rows = spark.range(60_000).select(F.col("id"), (F.col("id") % 300).cast("double").alias("v"), F.concat(F.lit("TX-2019-"), F.lpad(F.col("id"), 9, "0")).alias("t"))
+    for tie in ("id", "t"):
+        slots = skew.fit_slots(rows, F.col("v"), F.col(tie), pieces=2000)
+        placed = slots.assign(rows, F.col("v"), F.col(tie))
+        sizes = [r["count"] for r in placed.groupBy("_slot", "_sub").count().collect()]
+        assert sum(slots.tied.values()) <= 2000 and 1500 <= len(sizes) <= 2 * 2000 and max(sizes) <= 60_000 / 2000 * 4
+        spans = placed.groupBy("_slot", "_sub").agg(F.min(F.struct("v", tie)).alias("lo"), F.max(F.struct("v", tie)).alias("hi")).orderBy("_slot", "_sub").collect()
+        assert all(a["hi"] < b["lo"] for a, b in zip(spans, spans[1:]))
+
+
+@pytest.mark.parametrize("head", ["", "TX-", "é/"])
+def test_ranks_with_text_ids(skewed, head):
+    named = skewed.withColumn("key", F.concat(F.lit(head), F.lpad(F.col("transaction_id"), 7, "0"), F.when(F.col("transaction_id") % 2 == 0, "€").otherwise("")))
+    ranked = ranking.rank_scores(named, tie="key").rows.orderBy("flagged").collect()
+    expected = sorted(((-r["score"], r["key"].encode()) for r in named.select("score", "key").collect()))
+    assert [(-r["score"], r["key"].encode()) for r in ranked] == expected and [r["flagged"] for r in ranked] == list(range(1, 6001))
+
+
+def test_evaluate_shuffles_rows_once(skewed):
+    ranked = ranking.rank_scores(skewed, thresholds=True).rows
+    plan = metrics.evaluate(skewed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(_slot#") <= 2  # the rows, and the few slot totals
+    ends = {r["score"]: (r["pos"], r["end_tp"], r["end_fp"]) for r in ranked.collect()}
+    points = {r["score"]: (r["pos"], r["tp"], r["fp"]) for r in ranking.thresholds(skewed).rows.collect()}
+    assert ends == points

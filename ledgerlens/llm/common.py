@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +38,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs started inside send Python workers batches of at most ``size`` bytes."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, held) if held is not None else spark.conf.unset(key)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark remove shuffle files of finished steps now, not when the driver happens to collect its garbage."""
     gc.collect()

@@ -7,8 +7,9 @@ counts and the two set sizes estimates their Jaccard similarity; pairs not far b
 
 No bucket is expanded into all its pairs. Equal sets are one class first. In each bucket every class is paired with the
 one that meets most others; of these pairs each class verifies its best, and links give components. Only buckets that then still hold several
-components give further pairs, between different components; where these are more than ``WIDE`` for each class, the bucket
-is first dealt anew by pairs of bands, in which linked classes meet again. Connected components of all verified links are the result.
+components give further pairs, between different components. An exact bound keeps these few: a pair can share no more shingles than either has in common with classes of other
+components, a count that takes one shuffle of shingle hashes, and a link has to share three sevenths of both sizes together. Copies that were edited too much for a link have too many shingles
+of their own and leave before anything is paired. Connected components of all verified links are the result.
 
 Defined results: texts that are null, empty or without words are linked with nothing; rows with the same ``doc_id`` are rows of
 their own, of which the first is kept; a null ``doc_id`` comes last; an empty table gives no rows; other columns are ignored.
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import fresh, row_key, stored, table
+from ledgerlens.llm.common import batches_of, fresh, row_key, spread_join, stored, table
 from ledgerlens.llm.components import connected_components
 from ledgerlens.llm.wordhash import chunks, mix, shingles, word_hashes
 
@@ -36,8 +37,8 @@ BANDS, ROWS = 36, 5
 BASE, OFFSET = 1.08, 28.0
 #: Estimates below this leave a pair out: over four standard errors under the threshold.
 LEAST_ESTIMATE = 0.58
-#: Pairs of different components for each class of a bucket, beyond which the bucket is dealt anew.
-WIDE = 6
+#: Bytes of a batch that goes to a Python worker: pairs of whole sets are long.
+BATCH_BYTES = 8 << 20
 #: Registers of unequal parity that leave a pair possible: at the threshold 22 are expected, with a deviation of 4.4.
 MOST_ODD = 46
 _PARITY = ["bits0", "bits1", "bits2"]
@@ -184,23 +185,53 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long")
 
 
-def _across(mixed: DataFrame, key: str, every: str | None = None) -> DataFrame:
-    """Pairs of different components that share a bucket and that sizes and register parities leave possible.
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(cls, c, h)``, one row for each shingle hash."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            hashes = np.frombuffer(batch.column(2)[at].as_buffer(), dtype=np.int64)
+            for first in range(0, len(hashes), 1 << 16):
+                part = hashes[first : first + (1 << 16)]
+                columns = [pa.array(np.full(len(part), batch.column(k)[at].as_py()), pa.int64()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(part, pa.int64())], ["cls", "c", "h"])
+
+
+def _met_elsewhere(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(cls, met)``: how many shingles of each class of ``mixed`` some class of another component there has, if any."""
+    members = mixed.select("cls", "c").distinct()
+    hashes = stored(members.join(sets, "cls").select("cls", "c", "hashes").mapInArrow(_exploded, "cls long, c long, h long"), "shingle-hashes")
+    shared = hashes.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("h")
+    return stored(hashes.join(shared, "h", "left_semi").groupBy("cls").agg(F.count("*").alias("met")), "met-elsewhere")
+
 
-    ``every`` names an array of all such keys of a class; a pair is then given by the smallest key it shares only.
+def _across(mixed: DataFrame) -> DataFrame:
+    """Pairs of different components that share a bucket and that sizes, shared shingles and register parities leave possible.
+
+    A pair is given by the smallest key it shares only.
     """
-    columns = ["cls", "c", "n", *_PARITY, *([every] if every else [])]
-    x = mixed.select(key, *[F.col(k).alias(f"{k}_x") for k in columns])
-    y = mixed.select(key, *[F.col(k).alias(f"{k}_y") for k in columns])
-    sizes = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * THRESHOLD
+    # at most met shingles are shared, and 100 * shared >= THRESHOLD * (n + m - shared): how large the other set may be
+    most = (100 + THRESHOLD) * F.col("met") - THRESHOLD * F.col("n")
+    able = mixed.filter(most * 100 >= THRESHOLD * THRESHOLD * F.col("n")).withColumn("most", most)
+    least = able.groupBy("key").agg(F.min(F.struct("n", "cls")).alias("one"), F.min("n").alias("least"), F.count("*").alias("size")).filter("size > 1")
+    able = stored(able.join(least.select("key", "least"), "key").filter(F.col("most") >= THRESHOLD * F.col("least")).drop("least"), "able")
+    able = able.join(able.groupBy("cls").agg(F.collect_list("key").alias("own")), "cls")
+    columns = ["cls", "c", "n", "most", *_PARITY, "own"]
+    x = able.select("key", *[F.col(k).alias(f"{k}_x") for k in columns])
+    y = able.select("key", *[F.col(k).alias(f"{k}_y") for k in columns])
+    sizes = (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * THRESHOLD) & (F.col("most_x") >= THRESHOLD * F.col("n_y")) & (F.col("most_y") >= THRESHOLD * F.col("n_x"))
     unequal = sum((F.bit_count(F.col(f"{k}_x").bitwiseXOR(F.col(f"{k}_y"))) for k in _PARITY), F.lit(0))
-    once = F.array_min(F.array_intersect(f"{every}_x", f"{every}_y")) == F.col(key) if every else F.lit(True)
-    pairs = x.join(y, key).filter((F.col("c_x") < F.col("c_y")) & sizes & (unequal <= MOST_ODD) & once)
+    once = F.array_min(F.array_intersect("own_x", "own_y")) == F.col("key")
+    pairs = x.join(y, "key").filter((F.col("c_x") < F.col("c_y")) & sizes & (unequal <= MOST_ODD) & once)
     return pairs.select(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of ``doc_id, text``: ``n_shingles``, ``component_id`` (smallest ``doc_id`` reachable) and ``kept``."""
+    """Per row of ``doc_id, text``: ``n_shingles``, ``component_id`` (smallest ``doc_id`` reachable), ``kept`` (the row with it, the first of several) and ``row``."""
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        return _near_duplicates(docs)
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
     rows = docs.select(row_key().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sets = stored(rows.mapInArrow(_summaries, _SETS), "sketches")
     classes = sets.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("row").alias("cls"))
@@ -223,33 +254,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = connected_components(links)
 
     labelled = crowded.join(found, crowded.cls == found.v, "left").select("key", "cls", F.coalesce("c", "cls").alias("c"))
-    parts = labelled.groupBy("key", "c").agg(F.count("*").alias("m"))
-    sums = parts.groupBy("key").agg(F.sum("m").alias("size"), ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("across"))
-    several = sums.filter("across > 0").select("key", (F.col("across") > WIDE * F.col("size")).alias("wide"))
+    parts = labelled.select("key", "c").distinct()
+    several = parts.groupBy("key").agg(F.count("*").alias("components")).filter("components > 1").select("key")
     traits = sketches.select("cls", "n", "sketch").mapInArrow(_parities, "cls long, n long, " + ", ".join(f"{k} long" for k in _PARITY))
     mixed = stored(labelled.join(several, "key").join(traits, "cls"), "mixed")
-    wide = mixed.filter("wide")
-    # a class of a wide bucket meets the others again where a second band agrees as well
-    others = keys.join(wide.select("cls").distinct(), "cls", "left_semi").select("cls", "keys")
-    dealt = wide.join(others, "cls").select("cls", "c", "n", *_PARITY, "key", F.explode("keys").alias("second")).filter("key < second")
-    # a pair that shares two bands meets under both orders of them; the smaller key comes first
-    again = dealt.select("cls", "c", "n", *_PARITY, F.xxhash64("key", "second").alias("key2"))
-    narrow = mixed.filter("not wide")
-    narrow = narrow.join(narrow.groupBy("cls").agg(F.collect_list("key").alias("own")), "cls")
-    further = _across(narrow, "key", "own").union(_across(again, "key2")).distinct()
+    further = _across(mixed.join(_met_elsewhere(mixed, sets_of), "cls"))
     more = _verify(_estimate(further, sketches), sets_of)
     whole = connected_components(stored(links.union(more), "verified"))
 
     named = classes.join(whole, classes.cls == whole.v, "left").select("s1", "s2", "n", F.coalesce("c", "cls").alias("c"))
     joined = sets.select("row", "doc_id", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left")
-    members = joined.select("row", "doc_id", "n", F.coalesce("c", "row").alias("c"))
+    members = stored(joined.select("row", "doc_id", "n", F.coalesce("c", "row").alias("c")), "members")
     least = members.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("m"))
     ends = least.select("c", F.col("m.doc_id").alias("component_id"), F.col("m.row").alias("first_row"))
-    return members.join(ends, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("row") == F.col("first_row")).alias("kept"), "row")
+    return spread_join(members, ends, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("row") == F.col("first_row")).alias("kept"), "row")
 
 
 def op7_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ No bucket is expanded into all its pairs. Equal sets are one class first. In eac
 one that meets most others; of these pairs each class verifies its best, and links give components. Only buckets that then still hold several
 components give further pairs, between different components. An exact bound keeps these few: a pair can share no more shingles than either has in common with classes of other
 components, a count that takes one shuffle of shingle hashes, and a link has to share three sevenths of both sizes together. Copies that were edited too much for a link have too many shingles
-of their own and leave before anything is paired. Connected components of all verified links are the result.
+of their own and leave before anything is paired; a bit signature of each set bounds what a single pair can share. Connected components of all verified links are the result.
 
 Defined results: texts that are null, empty or without words are linked with nothing; rows with the same ``doc_id`` are rows of
 their own, of which the first is kept; a null ``doc_id`` comes last; an empty table gives no rows; other columns are ignored.
@@ -42,6 +42,8 @@ BATCH_BYTES = 8 << 20
 #: Registers of unequal parity that leave a pair possible: at the threshold 22 are expected, with a deviation of 4.4.
 MOST_ODD = 46
 _PARITY = ["bits0", "bits1", "bits2"]
+#: A bit for each of 1024 values of a shingle's hash, 64 to a long.
+_SIGNATURE = [f"sig{k}" for k in range(16)]
 
 _SETS = "row long, doc_id long, n long, s1 long, s2 long, sketch binary"
 
@@ -196,6 +198,17 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(part, pa.int64())], ["cls", "c", "h"])
 
 
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which of 1024 hash values the shingles of a class take. A bit that only one of two classes has is a shingle that the other lacks."""
+    for batch in batches:
+        bits = np.zeros((batch.num_rows, 64 * len(_SIGNATURE)), dtype=np.uint8)
+        for at in range(batch.num_rows):
+            hashes = np.frombuffer(batch.column(1)[at].as_buffer(), dtype=np.uint64)
+            bits[at, (hashes >> np.uint64(54)).astype(np.int64)] = 1
+        packed = np.packbits(bits, axis=1).view(">i8").astype(np.int64).reshape(batch.num_rows, -1)
+        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(packed[:, k]) for k in range(len(_SIGNATURE))]], ["cls", *_SIGNATURE])
+
+
 def _met_elsewhere(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     """``(cls, met)``: how many shingles of each class of ``mixed`` some class of another component there has, if any."""
     members = mixed.select("cls", "c").distinct()
@@ -204,8 +217,8 @@ def _met_elsewhere(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     return stored(hashes.join(shared, "h", "left_semi").groupBy("cls").agg(F.count("*").alias("met")), "met-elsewhere")
 
 
-def _across(mixed: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket and that sizes, shared shingles and register parities leave possible.
+def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of different components that share a bucket and that sizes, shared shingles, register parities and signatures leave possible.
 
     A pair is given by the smallest key it shares only.
     """
@@ -214,14 +227,19 @@ def _across(mixed: DataFrame) -> DataFrame:
     able = mixed.filter(most * 100 >= THRESHOLD * THRESHOLD * F.col("n")).withColumn("most", most)
     least = able.groupBy("key").agg(F.min(F.struct("n", "cls")).alias("one"), F.min("n").alias("least"), F.count("*").alias("size")).filter("size > 1")
     able = stored(able.join(least.select("key", "least"), "key").filter(F.col("most") >= THRESHOLD * F.col("least")).drop("least"), "able")
-    able = able.join(able.groupBy("cls").agg(F.collect_list("key").alias("own")), "cls")
-    columns = ["cls", "c", "n", "most", *_PARITY, "own"]
+    keys = able.groupBy("cls").agg(F.collect_list("key").alias("own"))
+    signatures = sets.join(keys.select("cls"), "cls", "left_semi").select("cls", "hashes").mapInArrow(_signatures, "cls long, " + ", ".join(f"{k} long" for k in _SIGNATURE))
+    able = able.join(keys.join(signatures, "cls"), "cls")
+    columns = ["cls", "c", "n", "most", *_PARITY, *_SIGNATURE, "own"]
     x = able.select("key", *[F.col(k).alias(f"{k}_x") for k in columns])
     y = able.select("key", *[F.col(k).alias(f"{k}_y") for k in columns])
     sizes = (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * THRESHOLD) & (F.col("most_x") >= THRESHOLD * F.col("n_y")) & (F.col("most_y") >= THRESHOLD * F.col("n_x"))
     unequal = sum((F.bit_count(F.col(f"{k}_x").bitwiseXOR(F.col(f"{k}_y"))) for k in _PARITY), F.lit(0))
+    # at most n less its bits that the other lacks are shared
+    ends = [(a, b, sum((F.bit_count(F.col(f"{k}_{a}").bitwiseAND(F.bitwise_not(F.col(f"{k}_{b}")))) for k in _SIGNATURE), F.lit(0))) for a, b in ("xy", "yx")]
+    shared = [(100 + THRESHOLD) * (F.col(f"n_{a}") - own) >= THRESHOLD * (F.col(f"n_{a}") + F.col(f"n_{b}")) for a, b, own in ends]
     once = F.array_min(F.array_intersect("own_x", "own_y")) == F.col("key")
-    pairs = x.join(y, "key").filter((F.col("c_x") < F.col("c_y")) & sizes & (unequal <= MOST_ODD) & once)
+    pairs = x.join(y, "key").filter((F.col("c_x") < F.col("c_y")) & sizes & (unequal <= MOST_ODD) & shared[0] & shared[1] & once)
     return pairs.select(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b"))
 
 
@@ -258,13 +276,16 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     several = parts.groupBy("key").agg(F.count("*").alias("components")).filter("components > 1").select("key")
     traits = sketches.select("cls", "n", "sketch").mapInArrow(_parities, "cls long, n long, " + ", ".join(f"{k} long" for k in _PARITY))
     mixed = stored(labelled.join(several, "key").join(traits, "cls"), "mixed")
-    further = _across(mixed.join(_met_elsewhere(mixed, sets_of), "cls"))
+    further = _across(mixed.join(_met_elsewhere(mixed, sets_of), "cls"), sets_of)
     more = _verify(_estimate(further, sketches), sets_of)
     whole = connected_components(stored(links.union(more), "verified"))
 
     named = classes.join(whole, classes.cls == whole.v, "left").select("s1", "s2", "n", F.coalesce("c", "cls").alias("c"))
-    joined = sets.select("row", "doc_id", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left")
-    members = stored(joined.select("row", "doc_id", "n", F.coalesce("c", "row").alias("c")), "members")
+    # rows of one set may be very many
+    of_set = named.select(F.struct("s1", "s2", "n").alias("set"), "c")
+    joined = spread_join(sets.filter("n > 0").select("row", "doc_id", F.struct("s1", "s2", "n").alias("set")), of_set, "set")
+    members = joined.select("row", "doc_id", F.col("set.n").alias("n"), "c").union(sets.filter("n = 0").select("row", "doc_id", "n", F.col("row").alias("c")))
+    members = stored(members, "members")
     least = members.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("m"))
     ends = least.select("c", F.col("m.doc_id").alias("component_id"), F.col("m.row").alias("first_row"))
     return spread_join(members, ends, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("row") == F.col("first_row")).alias("kept"), "row")

@@ -88,14 +88,24 @@ def static_features(df: DataFrame) -> DataFrame:
 
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:
-    """The earliest ``n`` transactions; the order is pinned so a rerun agrees.
+    """The earliest ``n`` transactions by ``(ts, transaction_id)``, rows without a time last; ids are unique.
 
-    The instant of the last one is looked up first, so that only rows up to it are
-    sorted and not ``n`` rows of every task.
+    The instant of the last one is looked up, then its id among the rows of that instant. The result is a filter: no task holds ``n`` rows.
     """
+    if n <= 0:
+        return df.limit(0)
     last = kth_values(df, "ts", lambda total: {"last": F.lit(n - 1)}).first()
-    early = df if last is None else df.filter(F.col("ts") <= C.naive_instant(last["value"]))
-    return early.orderBy(F.col("ts").asc_nulls_last(), "transaction_id").limit(n)
+    if last is None:
+        before, tied = F.col("ts").isNotNull(), F.col("ts").isNull()
+    else:
+        instant = C.naive_instant(last["value"])
+        before, tied = F.col("ts") < instant, F.col("ts") == instant
+    counts = df.agg(F.count_if(before).alias("before"), F.count_if(tied).alias("tied")).first()
+    wanted = n - counts["before"]
+    if wanted >= counts["tied"]:
+        return df.filter(before | tied)
+    edge = kth_values(df.filter(tied), "transaction_id", lambda total: {"last": F.lit(wanted - 1)}).first()["value"]
+    return df.filter(before | (tied & (F.col("transaction_id") <= F.lit(edge))))
 
 
 def build_features(

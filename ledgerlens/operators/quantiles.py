@@ -17,6 +17,9 @@ from ..functions import columns as C
 from .skew import fit_slots
 
 MOST_LITERALS = 10_000
+#: Accuracy of the sketch: a position is known to one in so many of all rows. Groups that quantiles are taken of.
+ACCURACY = 100_000
+MOST_GROUPS = 1_000
 
 
 def kth_values(
@@ -98,24 +101,77 @@ def _near(value: str, spans: list[tuple[float, float]], timed: bool) -> Column:
     return near
 
 
-def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], by: tuple[str, ...] = ()) -> DataFrame:
-    """Linearly interpolated quantiles, one column each, one row per group."""
-
-    def neighbours(total: Column) -> dict[str, Column]:
-        places = {}
-        for name, q in quantiles.items():
-            at = (total - 1).cast("double") * F.lit(q)
-            places[f"{name}_low"], places[f"{name}_high"] = F.floor(at), F.ceil(at)
-        return places
-
-    found = kth_values(df, value, neighbours, by)
-
-    def at(name: str) -> Column:
-        return F.max(F.when(F.col("name") == name, F.col("value")))
-
-    def interpolated(name: str, q: float) -> Column:
-        place = (F.max("total") - 1).cast("double") * F.lit(q)
-        low, high = at(f"{name}_low"), at(f"{name}_high")
-        return low + (high - low) * (place - F.floor(place))
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    quantiles: dict[str, float],
+    by: tuple[str, ...] = (),
+    more: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Linearly interpolated quantiles, one column each, one row per group, and the aggregates ``more`` over all rows of the group.
 
-    return found.groupBy(*by).agg(*[interpolated(name, q).alias(name) for name, q in quantiles.items()])
+    Two passes. The first takes the counts and, from a mergeable sketch, two values that surely enclose each wanted position. The second counts the rows between
+    those values one by one, a few hundred-thousandths of all rows, and all other rows by where they lie. Groups are few: they become literals of the plan. Missing and NaN values are left out.
+    """
+    x = F.col(value).cast("double")
+    held = F.when(~F.isnan(x), x)
+    margin = 3.0 / ACCURACY
+    asked = sorted({min(1.0, max(0.0, q + side)) for q in quantiles.values() for side in (-margin, margin)})
+    first = df.groupBy(*by).agg(
+        F.count(held).alias("_total"), F.min(held).alias("_least"), F.max(held).alias("_most"), F.percentile_approx(held, asked, ACCURACY).alias("_near"),
+        *[c.alias(k) for k, c in (more or {}).items()],
+    )
+    kept = first.drop("_least", "_most", "_near")
+    groups = first.collect()
+    if len(groups) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups")
+    same = lambda row: F.lit(True) if not by else _all(F.col(k).eqNullSafe(F.lit(row[k])) for k in by)
+    place, fine = F.lit(None).cast("int"), F.lit(False)
+    for row in groups:
+        if not row["_total"]:
+            continue
+        at = dict(zip(asked, row["_near"], strict=True))
+        spans = []
+        for q in quantiles.values():
+            # fewer rows than the sketch can tell apart are all counted one by one
+            low, high = (q - margin, q + margin) if row["_total"] > ACCURACY else (0.0, 1.0)
+            spans.append((row["_least"] if low <= 0 else at[low], row["_most"] if high >= 1 else at[high]))
+        edges = sorted({e for span in spans for e in span})
+        here = sum((F.when(held > e, 2).when(held == e, 1).otherwise(0) for e in edges), F.lit(0))
+        place = F.when(same(row), here).otherwise(place)
+        inside = F.lit(False)
+        for low, high in spans:
+            inside = inside | ((held >= low) & (held <= high))
+        fine = F.when(same(row), inside).otherwise(fine)
+    counted = (
+        df.select(*by, held.alias("_x"), place.alias("_place"), fine.alias("_fine")).filter(F.col("_x").isNotNull())
+        .groupBy(*by, "_place", F.when(F.col("_fine"), F.col("_x")).alias("_value")).agg(F.count("*").alias("_n"))
+    )
+    upto = Window.partitionBy(*by).orderBy("_place", "_value").rowsBetween(Window.unboundedPreceding, 0)
+    ends = counted.withColumn("_end", F.sum("_n").over(upto)).withColumn("_begin", F.col("_end") - F.col("_n"))
+    keys = [F.col(k).alias(f"_by_{k}") for k in by]
+    totals = F.broadcast(kept.sparkSession.createDataFrame([tuple(r[c] for c in kept.columns) for r in groups], kept.schema).select(*keys, *[c for c in kept.columns if c not in by]))
+    joined = totals.join(ends, _all(F.col(k).eqNullSafe(F.col(f"_by_{k}")) for k in by), "left") if by else totals.join(ends, F.lit(True), "left")
+
+    def at_place(place: Column) -> Column:
+        return F.max(F.when((F.col("_begin") <= place) & (place < F.col("_end")), F.col("_value")))
+
+    found = {}
+    for name, q in quantiles.items():
+        spot = (F.col("_total") - 1).cast("double") * F.lit(q)
+        found[f"_{name}_low"], found[f"_{name}_high"] = at_place(F.floor(spot)), at_place(F.ceil(spot))
+    names = [c for c in kept.columns if c not in by]
+    wide = joined.groupBy(*[f"_by_{k}" for k in by], *names).agg(*[c.alias(k) for k, c in found.items()])
+    results = []
+    for name, q in quantiles.items():
+        spot = (F.col("_total") - 1).cast("double") * F.lit(q)
+        low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
+        results.append((low + (high - low) * (spot - F.floor(spot))).alias(name))
+    return wide.select(*[F.col(f"_by_{k}").alias(k) for k in by], *(more or {}), *results)
+
+
+def _all(conditions) -> Column:
+    found = F.lit(True)
+    for condition in conditions:
+        found = found & condition
+    return found

@@ -182,13 +182,11 @@ def summary(facts: DataFrame, users: DataFrame, cards: DataFrame) -> DataFrame:
 def amount_stats(df: DataFrame) -> DataFrame:
     """Count, mean and exact quantiles of the amount per class."""
     rows = labeled(df).select("is_fraud", "amount")
-    counts = rows.groupBy("is_fraud").agg(F.count("*").alias("n"), F.avg("amount").alias("mean"))
     # The reported quantiles.
-    quantiles = exact_quantiles(
-        rows, "amount", {"median": 0.5, "q25": 0.25, "q75": 0.75, "q95": 0.95}, ("is_fraud",)
-    )
-    joined = counts.join(quantiles, "is_fraud", "left").orderBy("is_fraud")
-    return joined.withColumn("class", C.class_label(F.col("is_fraud")))
+    quantiles = {"median": 0.5, "q25": 0.25, "q75": 0.75, "q95": 0.95}
+    counts = {"n": F.count("*"), "mean": F.avg("amount")}
+    found = exact_quantiles(rows, "amount", quantiles, ("is_fraud",), counts).orderBy("is_fraud")
+    return found.withColumn("class", C.class_label(F.col("is_fraud")))
 
 
 def class_histogram(

@@ -6,7 +6,10 @@ jobs: eda, features, train, unsupervised, export
 from __future__ import annotations
 
 import argparse
+import json
 
+from ledgerlens.operators import metrics
+from ledgerlens.operators.split import TRAIN_FRACTION, VALID_FRACTION
 from ledgerlens.plans import jobs
 from ledgerlens.session import build_session
 from ledgerlens.sources.readers import RawPaths
@@ -28,6 +31,13 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--out", required=True, help="shared folder for tables and reports")
     parser.add_argument("--sample", type=int, help="use the first N transactions only")
     parser.add_argument("--force", action="store_true", help="build again what is already there")
+    parser.add_argument("--false-negative", type=float, default=metrics.Costs.false_negative, help="cost of a missed fraud")
+    parser.add_argument("--false-positive", type=float, default=metrics.Costs.false_positive, help="cost of a false alarm")
+    parser.add_argument("--train-share", type=float, default=TRAIN_FRACTION, help="share of the timeline that is trained on")
+    parser.add_argument("--valid-share", type=float, default=VALID_FRACTION, help="share that the trees are stopped by")
+    parser.add_argument("--categories", nargs="*", default=[], metavar="COLUMN", help="category columns the trees get besides the numbers")
+    parser.add_argument("--legit-only", action="store_true", help="fit the detectors without frauds")
+    parser.add_argument("--trees", type=json.loads, default={}, help='JSON object of settings of the trees, such as {"rounds": 300}')
     return parser.parse_args(arguments)
 
 
@@ -39,6 +49,8 @@ def main(arguments: list[str] | None = None) -> None:
     paths = RawPaths(
         **{name: f"{folder}/{file}" for name, file in FILES.items()}, labels_cache=out.path("labels")
     )
+    settings = metrics.Evaluation(metrics.Costs(args.false_negative, args.false_positive))
+    shares = (args.train_share, args.valid_share)
     if args.job == "eda":
         for name, table in jobs.eda(spark, paths, out, args.force).items():
             print(name)
@@ -46,11 +58,11 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.job == "features":
         print("rows:", jobs.build_features(spark, paths, out, args.sample, args.force).count())
     elif args.job == "train":
-        jobs.train(spark, out, args.sample).metrics.show(truncate=False)
+        jobs.train(spark, out, args.sample, settings, shares, tuple(args.categories), **args.trees).metrics.show(truncate=False)
     elif args.job == "unsupervised":
-        jobs.unsupervised(spark, out, args.sample).show(truncate=False)
+        jobs.unsupervised(spark, out, args.sample, settings, args.legit_only, shares).show(truncate=False)
     else:
-        print(jobs.export_reports(spark, paths, out, args.sample, args.force))
+        print(jobs.export_reports(spark, paths, out, args.sample, args.force, settings, shares))
 
 
 if __name__ == "__main__":

@@ -114,7 +114,7 @@ def _margins_of(trees: list[Tree], every: bool):
                 v = points[everyone, np.maximum(feature[at], 0)]
                 goes_left = v <= cut[at]
                 if nominal.any():
-                    code = np.minimum(v.astype(np.int64), codes.shape[1] - 1)
+                    code = np.clip(v, 0, codes.shape[1] - 1).astype(np.int64)
                     goes_left = np.where(nominal[at], codes[at, code], goes_left)
                 at = np.where(inner, np.where(goes_left, left[at], right[at]), at)
                 inner = feature[at] >= 0

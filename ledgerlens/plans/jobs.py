@@ -6,6 +6,7 @@ a lost executor repeats one stage at most.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,6 +92,38 @@ def _named(row: DataFrame, model: str, part: str) -> DataFrame:
     return row.select(F.lit(model).alias("model"), F.lit(part).alias("part"), "*")
 
 
+def _about(settings: metrics.Evaluation, shares: tuple[float, float], **more: object) -> dict[str, str]:
+    """Parameters of a run as text, by name."""
+    costs = settings.costs
+    held = {
+        "false_negative": costs.false_negative, "false_positive": costs.false_positive, "fpr_targets": list(settings.fpr_targets),
+        "top_fractions": list(settings.top_fractions), "train_share": shares[0], "valid_share": shares[1], **more,
+    }
+    return {name: json.dumps(value) for name, value in sorted(held.items())}
+
+
+def write_manifest(spark: SparkSession, out: Outputs, run: str, sample_rows: int | None, about: dict[str, str]) -> None:
+    """What a run was given, written when all its outputs are: a run without one did not finish."""
+    rows = spark.createDataFrame(sorted(about.items()), "name string, value string")
+    write_table(rows.coalesce(1), out.path(f"{run}_manifest", sample_rows))
+
+
+def read_manifest(spark: SparkSession, out: Outputs, run: str, sample_rows: int | None) -> dict[str, str] | None:
+    """The parameters of a finished run, or None."""
+    table = stored_table(spark, out.path(f"{run}_manifest", sample_rows))
+    return None if table is None else {r["name"]: r["value"] for r in table.collect()}
+
+
+def check_manifest(spark: SparkSession, out: Outputs, run: str, sample_rows: int | None, about: dict[str, str]) -> None:
+    """Fail unless the run finished under the same parameters, of those that both name."""
+    held = read_manifest(spark, out, run, sample_rows)
+    if held is None or "unfinished" in held:
+        raise FileNotFoundError(f"no finished run of {run} below {out.path(run, sample_rows)}")
+    other = {k: (held[k], about[k]) for k in sorted(held.keys() & about.keys()) if held[k] != about[k]}
+    if other:
+        raise ValueError(f"{run} was run with other settings: {other}")
+
+
 @dataclass(frozen=True)
 class TrainingResult:
     split: TimeSplit
@@ -115,6 +148,8 @@ def train(
     def path(name: str) -> str:
         return out.path(name, sample_rows)
 
+    # an older manifest would vouch for outputs that are about to be replaced
+    write_manifest(spark, out, "train", sample_rows, {"unfinished": "true"})
     training, valid, test = (parts.part(name) for name in ("train", "valid", "test"))
 
     baseline = supervised.fit_baseline(training)
@@ -135,6 +170,7 @@ def train(
     boosted.save(spark, path("boosted_model"))
     baseline.save(spark, path("baseline_model"))
     write_table(supervised.feature_importance(spark, boosted), path("feature_importance"))
+    write_manifest(spark, out, "train", sample_rows, _about(settings, shares, categories=list(categories), trees=tree_settings))
     return TrainingResult(parts, baseline, boosted, stored, predictions)
 
 
@@ -171,7 +207,9 @@ def unsupervised(
     table = _named(metrics.evaluate(scores, settings, "anomaly_score"), "isolation_forest", "test").unionByName(
         _named(metrics.evaluate(lof_scores, settings, "anomaly_score"), "lof", "test")
     )
-    return write_table(table, out.path("unsupervised_metrics", sample_rows))
+    done = write_table(table, out.path("unsupervised_metrics", sample_rows))
+    write_manifest(spark, out, "unsupervised", sample_rows, _about(settings, shares, legit_only=legit_only))
+    return done
 
 
 def export_reports(
@@ -183,10 +221,9 @@ def export_reports(
     settings: metrics.Evaluation = metrics.Evaluation(),
     shares: tuple[float, float] = (TRAIN_FRACTION, VALID_FRACTION),
 ) -> str:
-    """Write every report of the dashboard below ``<folder>/reports``; needs a finished training.
-
-    ``settings`` and ``shares`` are those the training was run with.
-    """
+    """Write every report of the dashboard below ``<folder>/reports``; needs a finished training under the same ``settings`` and ``shares``."""
+    about = _about(settings, shares)
+    check_manifest(spark, out, "train", sample_rows, about)
     raw = read_raw(spark, paths, force)
     facts = store_facts(spark, raw, out, force)
     costs, target = settings.costs, out.path("reports", sample_rows)
@@ -230,9 +267,12 @@ def export_reports(
     top = write_table(metrics.top_risk(predictions), f"{target}/top_risk")
     report("top_risk_view", metrics.top_risk_view(top))
 
-    table = stored_table(spark, out.path("unsupervised_metrics", sample_rows))
-    if table is None or force:
+    # detectors are scored again if their run did not finish or had other settings
+    held = read_manifest(spark, out, "unsupervised", sample_rows)
+    if force or held is None or any(held[k] != v for k, v in about.items()):
         table = unsupervised(spark, out, sample_rows, settings, shares=shares)
+    else:
+        table = spark.read.parquet(out.path("unsupervised_metrics", sample_rows))
     report("unsupervised_metrics", table)
     approaches = {"boosted": supervised_rows["boosted"]}
     approaches |= {model: _test_row(table, model) for model in ("isolation_forest", "lof")}

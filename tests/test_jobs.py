@@ -41,6 +41,15 @@ def test_jobs_end_to_end(spark, setting, tmp_path):
     counts = {r["model"]: r["n"] for r in metrics.collect()}
     assert counts == {"isolation_forest": rows["boosted", "test"]["n"], "lof": rows["boosted", "test"]["n"]}
 
+    held = jobs.read_manifest(spark, out, "train", None)
+    assert json.loads(held["categories"]) == ["use_chip", "mcc"] and json.loads(held["trees"])["rounds"] == 4
+    dearer = jobs.metrics.Evaluation(jobs.metrics.Costs(false_negative=300.0))
+    with pytest.raises(ValueError, match="false_negative"):
+        jobs.export_reports(spark, paths, out, settings=dearer)
+    with pytest.raises(ValueError, match="train_share"):
+        jobs.export_reports(spark, paths, out, shares=(0.6, 0.2))
+    with pytest.raises(FileNotFoundError):
+        jobs.export_reports(spark, paths, out, sample_rows=50)
     target = jobs.export_reports(spark, paths, out)
 
     def records(name):
@@ -82,5 +91,7 @@ def test_command_line(spark, tmp_path, capsys):
     assert "rows: 3" in capsys.readouterr().out
     command.main(["features", *folders, "--sample", "2"])
     assert "rows: 2" in capsys.readouterr().out
+    args = command.parse(["train", *folders, "--false-negative", "7", "--train-share", "0.5", "--categories", "mcc", "--trees", '{"rounds": 3}'])
+    assert (args.false_negative, args.false_positive, args.train_share, args.categories, args.trees) == (7.0, 5.0, 0.5, ["mcc"], {"rounds": 3})
     command.main(["eda", *folders])
     assert "by_month" in capsys.readouterr().out

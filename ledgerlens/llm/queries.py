@@ -17,6 +17,7 @@ from ledgerlens.llm.periodic import op11_minimizer_periodic_runs
 from ledgerlens.llm.pii import op8_pii_surrogates
 from ledgerlens.llm.redirects import ORACLE as REDIRECTS_SQL
 from ledgerlens.llm.redirects import op12_redirect_equivalence
+from ledgerlens.llm.setsketch import ORACLE as NEAR_DEDUP_SQL
 from ledgerlens.llm.setsketch import op7_setsketch_near_dedup
 from ledgerlens.llm.shards import op5_prefix_sum_shards
 from ledgerlens.llm.tokenfile import op3_token_file
@@ -38,4 +39,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_galloping_filter_audit": op13_galloping_filter_audit,
 }
 
-ORACLES: dict[str, str] = {"op12_redirect_equivalence": REDIRECTS_SQL, "op13_galloping_filter_audit": AUDIT_SQL}
+ORACLES: dict[str, str] = {
+    "op7_setsketch_near_dedup": NEAR_DEDUP_SQL,
+    "op12_redirect_equivalence": REDIRECTS_SQL,
+    "op13_galloping_filter_audit": AUDIT_SQL,
+}

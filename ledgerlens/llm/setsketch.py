@@ -296,6 +296,25 @@ def op7_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+#: The query in DuckDB's SQL: all pairs that share a shingle, and labels spread along links.
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * k >= 75 * (p.n + q.n - k)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id AS v, doc_id AS c FROM documents UNION SELECT both_ways.b, reach.c FROM reach JOIN both_ways ON both_ways.a = reach.v WHERE reach.c < both_ways.b),
+least AS (SELECT v, min(c) AS c FROM reach GROUP BY v)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, least.c AS component_id, d.doc_id = least.c AS kept
+FROM d JOIN least ON least.v = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+"""
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each group of near duplicates, the one with the smallest ``doc_id``; columns as they came."""
     key = fresh(docs, "row")

@@ -13,4 +13,4 @@ def test_one_query_for_each_operator():
 
 def test_sql_is_claimed_for_these():
     corpus = {n for n in spark_entry.oracle_sql() if re.match(r"op\d+_", n) or n == "pipeline"}
-    assert corpus == {"op12_redirect_equivalence", "op13_galloping_filter_audit"}
+    assert corpus == {"op7_setsketch_near_dedup", "op12_redirect_equivalence", "op13_galloping_filter_audit"}

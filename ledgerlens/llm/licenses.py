@@ -1,9 +1,10 @@
 """License scan by diagonal voting.
 
 All rolling ``K``-word grams of the documents are hashed and joined with the grams of the license templates. A hit votes for
-the diagonal of its document (place in the document less place in the template). Votes are counted by diagonal, neighbouring
-diagonals (a word more or less in between) are merged, and a span is accepted where the grams of at least ``PERCENT`` percent of the template
-were found, word by word. Base phrases are templates too: a place of a phrase is a diagonal that holds all its grams.
+the diagonal of its document (place in the document less place in the template). Votes are counted by diagonal, each diagonal is merged with
+those at most ``NEIGHBOURS`` words to either side, and the span is verified: its score is the share of the template's grams in the longest chain
+that was found word by word in the template's order. At ``PERCENT`` percent it is accepted. So grams in another order, or strewn over more than
+``2 * NEIGHBOURS`` words beyond the template's length, get no label. Base phrases are templates too: a place of a phrase is a diagonal that holds all its grams.
 
 Templates are a parameter and small (some tens of kilobytes), so their grams are broadcast and documents are never shuffled;
 only hits are, a few rows each document. One more entry behind the last gram of each document makes it appear without hits.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import row_key, stored, table
 from ledgerlens.llm.words import places, words
 
-#: Words of a gram, diagonals that are merged, share of a template that must be found.
+#: Words of a gram, diagonals to either side that are merged, share of a template that must be found.
 K, NEIGHBOURS, PERCENT = 3, 4, 70
 
 # Phrases that must be found as they are, and the label of each.
@@ -89,18 +90,44 @@ def hits(docs: DataFrame, grams: DataFrame) -> DataFrame:
 
 
 def diagonals(found: DataFrame) -> DataFrame:
-    """Votes of each diagonal: ``row, tid, diagonal, votes, tposes, lo, hi``."""
+    """Votes of each diagonal: ``row, tid, diagonal, votes, tposes``; a diagonal holds each gram of the template at most once."""
     voted = found.filter("tid is not null").withColumn("diagonal", F.col("place") - F.col("tpos"))
-    return voted.groupBy("row", "tid", "diagonal").agg(F.count("*").alias("votes"), F.collect_set("tpos").alias("tposes"), F.min("place").alias("lo"), F.max("place").alias("hi"))
+    return voted.groupBy("row", "tid", "diagonal").agg(F.count("*").alias("votes"), F.collect_set("tpos").alias("tposes"))
 
 
-def spans(votes: DataFrame) -> DataFrame:
-    """Neighbouring diagonals merged: ``row, tid, covered`` (distinct grams found), ``first_word, last_word``."""
-    order = Window.partitionBy("row", "tid").orderBy("diagonal")
-    begins = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > NEIGHBOURS, F.lit(True)).cast("int")
-    runs = votes.withColumn("begins", begins).withColumn("run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = runs.groupBy("row", "tid", "run").agg(F.flatten(F.collect_list("tposes")).alias("all"), F.min("lo").alias("first_word"), F.max("hi").alias("hi"))
-    return merged.select("row", "tid", F.size(F.array_distinct("all")).alias("covered"), "first_word", (F.col("hi") + K - 1).alias("last_word"))
+def _chain(hits: Column, n_grams: Column) -> Column:
+    """Length of the longest chain of hits ascending in both place and template place.
+
+    ``hits`` ascend by place and descend by template place where the place is the same, so no two of one place are chained. The state holds,
+    for each template place, the longest chain that ends there.
+    """
+    def step(best: Column, hit: Column) -> Column:
+        at = -hit["back"]
+        longer = 1 + F.coalesce(F.array_max(F.slice(best, F.lit(1), at)), F.lit(0))
+        return F.transform(best, lambda held, i: F.when(i == at, F.greatest(held, longer)).otherwise(held))
+
+    return F.array_max(F.aggregate(hits, F.array_repeat(F.lit(0), n_grams), step))
+
+
+def spans(votes: DataFrame, templates: DataFrame) -> DataFrame:
+    """Verified spans: ``row, tid, diagonal, covered, first_word, last_word``, one for each diagonal with votes.
+
+    The diagonals at most ``NEIGHBOURS`` to either side are merged with it, so a span is at most ``2 * NEIGHBOURS`` words longer than its
+    template and its hits are bounded by the template, however often the text repeats it. ``covered`` is the longest chain of those
+    hits in which both the place and the template place ascend.
+    """
+    around = Window.partitionBy("row", "tid").orderBy("diagonal").rangeBetween(-NEIGHBOURS, NEIGHBOURS)
+    merged = votes.select("row", "tid", "diagonal", "votes", F.collect_list(F.struct("diagonal", "tposes")).over(around).alias("near"))
+
+    def placed(one: Column) -> Column:
+        return F.transform(one["tposes"], lambda t: F.struct((one["diagonal"] + t).alias("place"), (-t).alias("back")))
+
+    hits = F.array_sort(F.flatten(F.transform("near", placed)))
+    listed = merged.join(templates.select("tid", "n_grams"), "tid").select("row", "tid", "diagonal", "votes", "n_grams", F.size("near").alias("n_near"), hits.alias("hits"))
+    # hits of a lone diagonal are a chain as they are
+    covered = F.when(F.col("n_near") == 1, F.col("votes").cast("int")).otherwise(_chain(F.col("hits"), F.col("n_grams")))
+    first, last = F.get("hits", F.lit(0))["place"], F.element_at("hits", -1)["place"] + K - 1
+    return listed.select("row", "tid", "diagonal", covered.alias("covered"), first.alias("first_word"), last.alias("last_word"))
 
 
 def scan(docs: DataFrame, phrases: list[tuple[str, str]] | None = None, notices: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -112,7 +139,7 @@ def scan(docs: DataFrame, phrases: list[tuple[str, str]] | None = None, notices:
     votes = diagonals(found)
     base = votes.join(templates.filter("base"), "tid").filter("votes = n_grams").groupBy("row").agg(
         F.count("*").alias("n_base"), F.min("diagonal").alias("first_word"), F.max("diagonal").alias("last_word"), F.collect_set("label").alias("base_set"))
-    covered = spans(votes).join(templates, "tid").withColumn("share", F.least(F.lit(1.0), F.col("covered") / F.col("n_grams")))
+    covered = spans(votes, templates).join(templates, "tid").withColumn("share", F.col("covered") / F.col("n_grams"))
     accepted = F.when(~F.col("base") & (F.col("covered") * 100 >= F.col("n_grams") * PERCENT), F.col("label"))
     own = covered.groupBy("row").agg(F.collect_set(accepted).alias("own_set"), F.max("share").alias("score"))
     documents = found.filter("tid is null").select("row", "doc_id", F.col("place").cast("long").alias("n_words"))

@@ -1,6 +1,7 @@
 """Decontamination, shards, fingerprints and license scan against plain Python."""
 
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -59,6 +60,32 @@ def test_odd_rows_of_decontamination(spark, frame):
     assert decontam.decontaminate(frame([]), bench).count() == 0
 
 
+def needed(item):
+    """Tokens that must agree, and distinct ones among them, for an item shorter than a window."""
+    return -(-len(item) * decontam.PERCENT // 100), min(decontam.LEAST_DISTINCT, len(set(item)))
+
+
+def test_short_items_at_every_placement_of_substitutions(spark):
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in range(1, 13)}
+    items[20] = ["to", "be", "or", "not", "to", "be"]
+    items[21] = ["so", "so"]
+    docs, expected = [], {}
+    for key, item in items.items():
+        for wrong in range(len(item) + 1):
+            for places in itertools.combinations(range(len(item)), wrong):
+                if wrong > 4:
+                    continue
+                own = [f"x{key}z{i}" if i in places else w for i, w in enumerate(item)]
+                agreeing = [w for i, w in enumerate(item) if i not in places]
+                tokens, distinct = needed(item)
+                docs.append((len(docs), " ".join(["before", "it", *own, "behind"])))
+                if len(agreeing) >= tokens and len(set(agreeing)) >= distinct:
+                    expected[docs[-1][0]] = key
+    bench = spark.createDataFrame([(k, " ".join(v)) for k, v in items.items()], "item_id long, text string")
+    found = {r["doc_id"]: r["item_id"] for r in decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert found == expected and set(expected.values()) == set(items)
+
+
 def check_shards(df):
     rows = shards.assign_shards(df).collect()
     sizes, slots = Counter(), defaultdict(list)
@@ -155,3 +182,46 @@ def test_worn_notices(spark, frame):
     assert (by[13]["n_base"], by[13]["first_word"], by[13]["last_word"], by[13]["base_labels"]) == (3, 0, 6, "cc-by-nc,mit")
     assert by[5]["n_words"] == 0 and by[5]["first_word"] is None and by[5]["score"] == 0 and by[7]["n_words"] == 30000
     assert licenses.scan(frame([])).count() == 0
+
+
+def license_scores(words):
+    """Labels of accepted notices and the best share of any template: every diagonal, chains by trying all pairs of hits."""
+    labels, score = set(), 0.0
+    templates = [(x, t, True) for x, t in licenses.PHRASES] + [(x, t, False) for x, t in licenses.NOTICES]
+    for label, text, base in templates:
+        own = template_words(text)
+        grams = [tuple(own[i : i + 3]) for i in range(len(own) - 2)]
+        hits = [(p, t) for p in range(len(words) - 2) for t, g in enumerate(grams) if tuple(words[p : p + 3]) == g]
+        for centre in {p - t for p, t in hits}:
+            near = sorted(h for h in hits if abs(h[0] - h[1] - centre) <= licenses.NEIGHBOURS)
+            best = []
+            for p, t in near:
+                best.append(1 + max((n for (q, u), n in zip(near, best, strict=False) if q < p and u < t), default=0))
+            score = max(score, max(best) / len(grams))
+            if not base and max(best) * 100 >= len(grams) * licenses.PERCENT:
+                labels.add(label)
+    return labels, score
+
+
+def test_spans_are_verified(frame):
+    notice = template_words(licenses.NOTICES[0][1])
+    grams = [notice[i : i + 3] for i in range(len(notice) - 2)]
+    backwards = [w for g in reversed(grams) for w in g]
+    strewn = [w for g in grams for w in (*g, "and", "so")]
+    rng, rows = random.Random(3), [(1, " ".join(backwards)), (2, " ".join(strewn)), (3, " ".join(notice * 3)), (4, "cc by nc " * 50)]
+    for k in range(80):
+        worn = []
+        for w in template_words(rng.choice(licenses.NOTICES)[1]):
+            luck = rng.random()
+            worn += [] if luck < 0.06 else [w, rng.choice(notice)] if luck < 0.12 else [w]
+        rows.append((10 + k, " ".join(["x"] * rng.randint(0, 5) + worn * rng.randint(1, 2) + ["y"])))
+    out = {r["doc_id"]: r for r in licenses.scan(frame(rows)).collect()}
+    assert out[1]["labels"] == out[2]["labels"] == "" and max(out[1]["score"], out[2]["score"]) < 0.3
+    assert out[3]["labels"] == "mit" and out[3]["score"] == 1
+    seen = set()
+    for key, text in rows:
+        labels, score = license_scores(template_words(text))
+        base = {x for _, x in phrase_places(template_words(text))}
+        assert (out[key]["labels"], out[key]["score"]) == (",".join(sorted(labels | base)), score)
+        seen.add(bool(labels))
+    assert seen == {True, False}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -50,12 +49,6 @@ def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
         spark.conf.set(key, held) if held is not None else spark.conf.unset(key)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark remove shuffle files of finished steps now, not when the driver happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def buckets(spark: SparkSession, per_task: int = 16) -> int:
     """How many groups to cut a table into so that every shuffle task gets several of them."""
     return per_task * task_count(spark)

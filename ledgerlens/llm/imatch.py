@@ -6,8 +6,8 @@ subsets. Subsets thin out with the length of the document: at level j a subset k
 uses the three levels at which about one to four of its terms are left in each. Two fingerprints are alike in the share of subsets,
 at the finest level both have, whose hashes agree.
 
-Size of the lexicon: each document adds at most its distinct terms, so with d of them on average at most d / LOW terms reach the
-band, whatever the corpus. It is broadcast on that bound. Only terms that some subset of the document may keep are looked up.
+The lexicon is counted: up to ``LEXICON_AT_ONCE`` terms are broadcast, more are joined by shuffle. Only terms that some subset of the
+document may keep are looked up. Whole texts are shuffled once, dealt by ranges of ``doc_id``, where each finds the next document's beside it.
 
 Defined results: a null text is an empty one; a text without lexicon terms is fingerprinted by all its terms; the document after the
 last is the first; rows with the same ``doc_id`` follow each other in row order, nulls first; an empty table gives no rows; columns
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import release, row_key, stored, table, text_or_empty
+from ledgerlens.llm.common import row_key, spread_join, stored, table, text_or_empty
 from ledgerlens.llm.words import words
 from ledgerlens.session import task_count
 
@@ -28,6 +28,9 @@ LOW, HIGH = 0.002, 0.2
 #: Random subsets, levels of each that a document uses, hexadecimal digits of a hash.
 SUBSETS, LEVELS, DIGITS = 12, 3, 6
 
+#: Terms of a lexicon that are broadcast (8 bytes each, some 40 in the table that is built of them).
+LEXICON_AT_ONCE = 2_000_000
+
 _END = -1  # stands for "no more terms", in every document and in the lexicon
 
 
@@ -88,39 +91,44 @@ def likeness(a: str, b: str) -> Column:
     return F.when(same, 1.0).when(empty | ~common, 0.0).otherwise(agree / there)
 
 
-def successors(docs: DataFrame) -> DataFrame:
-    """``row, next_row, prior, prior_quarter``: neighbours in ascending ``doc_id``, the last followed by the first.
+def _first_keys(docs: DataFrame) -> list[tuple[int | None, int]]:
+    """``(doc_id, row)`` of the first row of each range, ascending: two ranges a task, so the list does not grow with the table."""
+    dealt = docs.select("doc_id", "row").repartitionByRange(2 * task_count(docs.sparkSession), "doc_id", "row").withColumn("part", F.spark_partition_id())
+    first = [r["first"] for r in dealt.groupBy("part").agg(F.min(F.struct("doc_id", "row")).alias("first")).collect()]
+    return sorted(((r["doc_id"], r["row"]) for r in first), key=lambda k: (k[0] is not None, k[0] or 0, k[1]))
 
-    Short rows are dealt by ranges; only the first and last of each range (two rows a task) are looked at together.
-    """
-    spark = docs.sparkSession
-    narrow = docs.select("row", "doc_id", F.length("text").alias("n"))
-    dealt = stored(narrow.repartitionByRange(2 * task_count(spark), "doc_id", "row").withColumn("part", F.spark_partition_id()), "ranges")
-    inside = Window.partitionBy("part").orderBy("doc_id", "row")
-    ends = dealt.groupBy("part").agg(F.min(F.struct("doc_id", "row", "n")).alias("first"), F.max(F.struct("doc_id", "row", "n")).alias("last"))
-    across = Window.orderBy("part")
-    whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    edges = ends.select(
-        "part", F.coalesce(F.lead("first.row").over(across), F.first("first.row").over(whole)).alias("edge_next"),
-        F.coalesce(F.lag("last").over(across), F.last("last").over(whole)).alias("edge_prior"),
-    )
-    near = dealt.select("row", "part", F.lead("row").over(inside).alias("next"), F.lag(F.struct("row", "n")).over(inside).alias("before"))
-    joined = near.join(F.broadcast(edges), "part")
-    prior_row = F.coalesce("before.row", "edge_prior.row")
-    prior_n = F.coalesce("before.n", "edge_prior.n")
-    return joined.select("row", F.coalesce("next", "edge_next").alias("next_row"), prior_row.alias("prior"), F.floor(prior_n / 4).cast("int").alias("prior_quarter"))
 
+def _range_of(keys: list[tuple[int | None, int]]) -> Column:
+    """Number of the range a row of ``doc_id, row`` is in: how many of the later ranges begin at or before it, by bisection."""
+    later = F.array(*[F.struct(F.lit(d).cast("long").alias("doc_id"), F.lit(r).cast("long").alias("row")) for d, r in keys[1:]])
+    own = F.struct(F.col("doc_id"), F.col("row"))
+    part = F.lit(0)
+    for bit in reversed(range(len(keys[1:]).bit_length())):
+        part = F.when(F.get(later, part + ((1 << bit) - 1)) <= own, part + (1 << bit)).otherwise(part)
+    return part
 
-def edited_terms(docs: DataFrame) -> DataFrame:
-    """Per document: lengths, its successor, the checksum of the edited text, and of both texts the terms any subset may keep.
 
-    Texts are shuffled once; a document sends its successor's part of the edit, a quarter at most, to its predecessor.
+def neighbours(docs: DataFrame) -> DataFrame:
+    """``row, doc_id, text, next_row, next_text``: each row and the next in ascending ``doc_id``, the last followed by the first.
+
+    The first row of each range goes, once more, behind the last of the range before.
     """
-    moved = docs.join(successors(docs), "row")
-    heads = moved.select(F.col("prior").alias("row"), F.substring("text", F.lit(1), F.col("prior_quarter")).alias("head"))
-    quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    own = moved.select("row", "doc_id", "text", "next_row", F.length("text").alias("n_chars"))
-    both = own.join(heads, "row").withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars") - quarter), F.col("head")))
+    keys = _first_keys(docs)
+    follows = [(k, keys[(k + 1) % len(keys)][1]) for k in range(len(keys))]
+    edges = F.broadcast(docs.sparkSession.createDataFrame(follows, "part int, row long"))
+    own = docs.select(_range_of(keys).alias("part"), F.lit(0).alias("edge"), "doc_id", "row", "text")
+    more = docs.join(edges, "row").select("part", F.lit(1).alias("edge"), "doc_id", "row", "text")
+    order = Window.partitionBy("part").orderBy("edge", "doc_id", "row")
+    beside = own.union(more).withColumns({"next_row": F.lead("row").over(order), "next_text": F.lead("text").over(order)})
+    return beside.filter("edge = 0").select("row", "doc_id", "text", "next_row", "next_text")
+
+
+def edited_terms(docs: DataFrame) -> DataFrame:
+    """Per document: lengths, its successor, the checksum of the edited text, and of both texts the terms any subset may keep."""
+    n_chars = F.length("text")
+    quarter = F.floor(n_chars / 4).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n_chars - quarter), F.substring("next_text", F.lit(1), quarter))
+    both = neighbours(docs).select("row", "doc_id", "next_row", "text", n_chars.alias("n_chars"), edited.alias("edited"))
     read = both.select("row", "doc_id", "next_row", F.col("n_chars").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), terms(F.col("text")).alias("t0"), terms(F.col("edited")).alias("t1"))
     levels = read.select("*", first_level(F.size("t0")).alias("level0"), first_level(F.size("t1")).alias("level1"))
     return levels.select("row", "doc_id", "next_row", "n_chars", "edited_sha256", "level0", "level1", F.xxhash64("t0").alias("whole0"), F.xxhash64("t1").alias("whole1"), _selected("t0", "level0").alias("some0"), _selected("t1", "level1").alias("some1"))
@@ -130,12 +138,12 @@ def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataF
     """Per row of ``doc_id, text`` its fingerprint, that of the edited text, and the likeness of both and of the next document's."""
     rows = docs.select(row_key().alias("row"), F.col("doc_id").cast("long"), text_or_empty(F.col("text")).alias("text"))
     kept = stored(lexicon(rows, low, high), "lexicon")
-    release(rows.sparkSession)  # the counts of all terms, before all texts are shuffled
     base = stored(edited_terms(rows), "terms")
-    release(rows.sparkSession)
     end = docs.sparkSession.range(1).select(F.lit(_END).cast("long").alias("term"))
     spread = [base.select("row", F.lit(v).alias("v"), F.explode_outer(f"some{v}").alias("term")) for v in (0, 1)]
-    found = spread[0].union(spread[1]).join(F.broadcast(kept.union(end).distinct()), "term")
+    terms_of, known = spread[0].union(spread[1]), kept.filter(F.col("term") != _END).union(end)
+    small = kept.count() <= LEXICON_AT_ONCE
+    found = terms_of.join(F.broadcast(known), "term") if small else spread_join(stored(terms_of, "wanted"), known, "term")
     listed = found.groupBy("row", "v").agg(F.array_sort(F.array_remove(F.collect_list("term"), F.lit(_END).cast("long"))).alias("terms"))
     sides = listed.join(base.select("row", "level0", "level1", "whole0", "whole1"), "row").select(
         "row", "v", F.when(F.col("v") == 0, F.col("level0")).otherwise(F.col("level1")).alias("level"),

@@ -6,6 +6,10 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
 from ledgerlens.llm import decontam, imatch, licenses, shards
 from ledgerlens.llm.licenses import template_words
 from tests.llm.conftest import ODD, SF
@@ -136,8 +140,6 @@ def test_lexicon_band(spark, docs, texts):
     n = Counter(w for t in texts.values() for w in set(template_words(t)))
     kept = {r["term"] for r in imatch.lexicon(docs, 0.01, 0.1).collect()}
     terms = [w for w, k in n.items() if 0.01 * len(texts) <= k <= 0.1 * len(texts)]
-    from pyspark.sql import functions as F
-
     hashed = spark.createDataFrame([(w,) for w in terms], "w string").select(F.xxhash64("w").alias("h")).collect()
     assert kept == {r["h"] for r in hashed}
 
@@ -151,6 +153,71 @@ def test_odd_rows_of_fingerprints(frame):
     assert one["edited_sha256"] == hashlib.sha256(b"a b c a").hexdigest() and one["near_next"] == 1
 
 
+def signed(data, seed=42):
+    value = xxhash.xxh64(data, seed=seed).intdigest()
+    return value - (1 << 64) if value >> 63 else value
+
+
+def chained(values):
+    """Hash of an array of longs: each entry's hash is the next one's seed."""
+    seed = 42
+    for v in values:
+        seed = signed(v.to_bytes(8, "little", signed=True), seed % (1 << 64))
+    return seed % (1 << 64)
+
+
+def fingerprint(text, lexicon):
+    """Level and subset hashes of a text, or the hash of all terms; by the definitions of the module's docstring."""
+    terms = sorted({signed(w.encode()) for w in template_words(text)})
+    level = 0
+    while imatch.SUBSETS << (level + 1) < len(terms):
+        level += 1
+    known = [t for t in terms if t in lexicon]
+    sets = []
+    for j in range(level, level + imatch.LEVELS):
+        thin = [t for t in known if (t % (1 << 64) >> 24) % (1 << j) == 0]
+        sets += [[t for t in thin if t % imatch.SUBSETS == k] for k in range(imatch.SUBSETS)]
+    least = [t for t in known if (t % (1 << 64) >> 24) % (1 << level) == 0]
+    hashes = [f"{chained(x):016x}"[-imatch.DIGITS :] if x else "" for x in sets]
+    return (level, hashes) if least else (None, [f"{chained(terms):016x}"])
+
+
+def alike(a, b):
+    if a == b:
+        return 1.0
+    if a[0] is None or b[0] is None or abs(a[0] - b[0]) >= imatch.LEVELS:
+        return 0.0
+    level = max(a[0], b[0])
+    x, y = (p[1][(level - p[0]) * imatch.SUBSETS :][: imatch.SUBSETS] for p in (a, b))
+    there = sum(p != "" or q != "" for p, q in zip(x, y, strict=True))
+    return sum(p == q != "" for p, q in zip(x, y, strict=True)) / there if there else 0.0
+
+
+@pytest.mark.parametrize("at_once", [imatch.LEXICON_AT_ONCE, 0])
+def test_fingerprints_by_brute_force(docs, texts, monkeypatch, at_once):
+    monkeypatch.setattr(imatch, "LEXICON_AT_ONCE", at_once)
+    n = Counter(w for t in texts.values() for w in set(template_words(t)))
+    lexicon = {signed(w.encode()) for w, k in n.items() if imatch.LOW * len(texts) <= k <= imatch.HIGH * len(texts)}
+    order = sorted(texts)
+    own = {k: fingerprint(texts[k], lexicon) for k in order}
+    rows = {r["doc_id"]: r for r in imatch.fingerprints(docs).collect()}
+    assert set(rows) == set(order)
+    for k, after in zip(order, [*order[1:], order[0]], strict=True):
+        quarter = len(texts[k]) // 4
+        edited = fingerprint(texts[k][: len(texts[k]) - quarter] + texts[after][:quarter], lexicon)
+        for p, name in ((own[k], "fingerprint"), (edited, "edited_fingerprint")):
+            assert rows[k][name] == (f"all:{p[1][0]}" if p[0] is None else f"{p[0]}:{','.join(p[1])}")
+        assert (rows[k]["near_edited"], rows[k]["near_next"]) == (alike(own[k], edited), alike(own[k], own[after]))
+
+
+def test_next_document_of_repeated_and_missing_ids(frame):
+    rows = [(None, f"n{k} a b c") for k in range(40)] + [(7, f"s{k} a b c") for k in range(60)] + [(k, f"d{k} a b c") for k in range(20)]
+    out = imatch.neighbours(frame(rows).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")).collect()
+    keys = sorted(out, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["row"]))
+    assert len(out) == len(rows)
+    assert all((r["next_row"], r["next_text"]) == (s["row"], s["text"]) for r, s in zip(keys, [*keys[1:], keys[0]], strict=True))
+
+
 def phrase_places(words):
     found = []
     for label, phrase in licenses.PHRASES:

@@ -100,12 +100,10 @@ def _first_keys(docs: DataFrame) -> list[tuple[int | None, int]]:
 
 def _range_of(keys: list[tuple[int | None, int]]) -> Column:
     """Number of the range a row of ``doc_id, row`` is in: how many of the later ranges begin at or before it, by bisection."""
-    later = F.array(*[F.struct(F.lit(d).cast("long").alias("doc_id"), F.lit(r).cast("long").alias("row")) for d, r in keys[1:]])
+    later = F.array(*[F.struct(F.lit(d).cast("long").alias("doc_id"), F.lit(r).cast("long").alias("row")) for d, r in keys[1:]]).cast("array<struct<doc_id:bigint,row:bigint>>")
     own = F.struct(F.col("doc_id"), F.col("row"))
-    part = F.lit(0)
-    for bit in reversed(range(len(keys[1:]).bit_length())):
-        part = F.when(F.get(later, part + ((1 << bit) - 1)) <= own, part + (1 << bit)).otherwise(part)
-    return part
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(keys[1:]).bit_length()))]).cast("array<int>")
+    return F.aggregate(steps, F.lit(0), lambda part, step: F.when(F.get(later, part + step - 1) <= own, part + step).otherwise(part))
 
 
 def neighbours(docs: DataFrame) -> DataFrame:

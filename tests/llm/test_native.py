@@ -210,7 +210,8 @@ def test_fingerprints_by_brute_force(docs, texts, monkeypatch, at_once):
         assert (rows[k]["near_edited"], rows[k]["near_next"]) == (alike(own[k], edited), alike(own[k], own[after]))
 
 
-def test_next_document_of_repeated_and_missing_ids(frame):
+def test_next_document_of_repeated_and_missing_ids(frame, monkeypatch):
+    monkeypatch.setattr(imatch, "task_count", lambda spark: 200)
     rows = [(None, f"n{k} a b c") for k in range(40)] + [(7, f"s{k} a b c") for k in range(60)] + [(k, f"d{k} a b c") for k in range(20)]
     out = imatch.neighbours(frame(rows).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")).collect()
     keys = sorted(out, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["row"]))

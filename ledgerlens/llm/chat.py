@@ -219,18 +219,20 @@ def _written(frame: pa.Table) -> pa.Table:
 def repair(messages: DataFrame) -> DataFrame:
     """Per message of ``conv_id, turn, role, text``: its place ``seq``, role, action, inserted turns, cost and rendered fragment."""
     dealt = _ranges(messages)
+    # a number of its own: few bytes make much work here, so ranges must not be joined into few tasks
+    parts = 2 * task_count(messages.sparkSession)
     brief = dealt.select("part", "conv_id", "turn", "role", "hash", "row")
-    matrices = stored(brief.groupBy("part").applyInArrow(_matrices, _MATRIX), "stretches")
+    matrices = stored(brief.repartition(parts, "part").groupBy("part").applyInArrow(_matrices, _MATRIX), "stretches")
     entries = stored(matrices.groupBy("conv_id").applyInArrow(_entries, _ENTRY), "entries")
 
     def joined(left: DataFrame, right: DataFrame) -> DataFrame:
         own = right.withColumnsRenamed({"part": "_part", "conv_id": "_conv"})
         return left.join(own, (left.part == own._part) & left.conv_id.eqNullSafe(own._conv)).drop("_part", "_conv")
 
-    states = joined(brief, entries.drop("before")).groupBy("part").applyInArrow(_states, _STATES)
+    states = joined(brief, entries.drop("before")).repartition(parts, "part").groupBy("part").applyInArrow(_states, _STATES)
     exits = stored(states.groupBy("conv_id").applyInArrow(_exits, _EXIT), "exits")
     whole = joined(joined(dealt, entries), exits)
-    return whole.groupBy("part").applyInArrow(_written, _OUT)
+    return whole.repartition(parts, "part").groupBy("part").applyInArrow(_written, _OUT)
 
 
 def op1_chat_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,9 @@ Entities are found by one pattern: e-mail and IPv4 addresses, card and telephone
 tokens, and names behind a form of address. Each gets a surrogate from a keyed hash of its kind and normal form, so the same entity
 has the same surrogate everywhere (coreference), also where it is written in another case or with other separators. Surrogates have the
 kind, length, character classes and separators of what they replace; card numbers keep their issuer digit and stay valid if they were;
-addresses keep their top-level domain; given names keep the gender that the form of address tells, and Latin, Cyrillic and Greek names
-their script. Names, e-mail addresses and secrets may be too short for enough surrogates: from draw ``GROWS`` on, and once more after
+addresses keep their top-level domain; given names keep the gender that the form of address, else the list of given names, tells, and Latin,
+Cyrillic and Greek names their script. A person named once is replaced wherever a capitalised word of the same document is that given or family
+name, also where it is meant otherwise. An unbroken run of digits is a card number only with a valid check sum. Names, e-mail addresses and secrets may be too short for enough surrogates: from draw ``GROWS`` on, and once more after
 as many draws, theirs grow by two letters, and given names by parts.
 
 Distinctness is checked over the whole corpus: where two entities would get one surrogate, or a surrogate is itself an entity of the corpus,
@@ -48,13 +49,16 @@ GIVEN = {
 _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=lambda t: (-len(t), t)))
 _NAME = r"\p{Lu}[\p{Ll}'’]+(?:-\p{Lu}[\p{Ll}'’]+)?"
 _EMAIL = r"(?<![\p{L}\p{N}._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"
-_IP = r"(?<![\p{L}\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
+# a number of a release is no address
+_IP = r"(?<![\p{L}\d.])(?<!(?i:version|release|build|firmware) )(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
 _CARD = r"(?<![\p{L}\d])\d(?:[ -]?\d){12,18}(?![\p{L}\d])"
-_PHONE = r"(?<![\p{L}\d])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
+_PHONE = r"(?<![\p{L}\d])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{1,3}(?:[ .-]\(?\d{2,4}\)?){2,5})(?!\d)"
 _ACCESS = r"(?<![\p{L}\d])(?:AKIA|ASIA)[A-Z0-9]{16}(?![\p{L}\d])"
 _SECRET = r"(?<![\p{L}\d])(?i:password|passwd|pwd|secret|token|api_key|apikey)[\"']? ?[=:] ?[\"']?[A-Za-z0-9_+/-]{6,256}"
 _PERSON = rf"(?<![\p{{L}}\d])(?:{_TITLE})\.? {_NAME}(?: {_NAME})?"
 PATTERN = "|".join([_EMAIL, _IP, _CARD, _PHONE, _ACCESS, _SECRET, _PERSON])
+#: Words that may be a later mention of a named person.
+_WORD = rf"(?<![\p{{L}}\d'’]){_NAME}(?![\p{{L}}\d])"
 #: Every text with an entity matches this shorter pattern too.
 _ANY = rf"[0-9@]|AKIA|ASIA|(?i:password|passwd|pwd|secret|token|api_?key)|(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}"
 
@@ -158,12 +162,15 @@ def parts_of(raw: Column, kind: Column) -> Column:
     head = F.regexp_extract(raw, r"^(\S+ )", 1)
     names = F.split(F.substring(raw, F.length(head) + 1, F.length(raw)), " ")
     title = F.regexp_replace(head, r"[. ]", "")
-    gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("x")
+    known = [F.when(F.initcap(names[0]).isin([n for script in ("latin", "cyrillic") for n in GIVEN[g, script]]), g) for g in ("m", "f")]
+    gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise(F.coalesce(*known, F.lit("x")))
     given = F.concat(F.lit("given_"), gender)
     keep, family = F.lit("keep"), F.lit("family")
     person = F.when(F.size(names) > 1, F.array(piece(keep, head), piece(given, names[0]), piece(keep, F.lit(" ")), piece(family, names[1]))).otherwise(F.array(piece(keep, head), piece(family, names[0])))
     secret = F.array(piece(keep, before), piece(kind, F.substring(raw, F.length(before) + 1, F.length(raw))))
-    return F.when(kind == "person", person).when(kind == "secret", secret).otherwise(F.array(piece(kind, raw)))
+    # an unbroken run of digits is a card number only if its check sum says so
+    number = (kind == "card") & ~raw.rlike("[ -]") & (luhn(_digits(raw)) % 10 != 0)
+    return F.when(number, F.array(piece(keep, raw))).when(kind == "person", person).when(kind == "secret", secret).otherwise(F.array(piece(kind, raw)))
 
 
 def normal_form(kind: Column, raw: Column) -> Column:
@@ -246,6 +253,17 @@ def mentions(docs: DataFrame) -> DataFrame:
     return pieces.select("row", "place", "part", "piece.kind", "piece.raw")
 
 
+def _renamed(text: Column, names: Column, news: Column) -> Column:
+    """``text`` with words that are one of ``names``, also in the possessive, replaced by the name at that place of ``news``."""
+    def one(before: Column, word: Column) -> Column:
+        bare = F.regexp_replace(word, "['’]s$", "")
+        new = F.get(news, F.array_position(names, bare).cast("int") - 1)
+        return F.concat(before, F.coalesce(F.concat(new, F.substring(word, F.length(bare) + 1, F.length(word))), word, F.lit("")))
+
+    words = F.zip_with(F.split(text, _WORD, -1), F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), one)
+    return F.when(F.size(names) > 0, F.array_join(words, "")).otherwise(text)
+
+
 def replace_pii(docs: DataFrame, key: str = KEY, count: str | None = None) -> DataFrame:
     """The documents with surrogates in ``text``; ``count`` names a further column for the number of entities replaced."""
     pieces = stored(mentions(docs).withColumn("norm", normal_form(F.col("kind"), F.col("raw"))), "mentions")
@@ -253,19 +271,20 @@ def replace_pii(docs: DataFrame, key: str = KEY, count: str | None = None) -> Da
     drawn = pieces.join(again, ["kind", "norm"], "left").withColumn("draw", F.coalesce("draw", F.lit(0)))
     parts = 2 * task_count(docs.sparkSession)
     made = with_surrogates(drawn.repartition(parts, "row", "place", "part"), key)
-    written = made.select("row", "place", "part", render(F.col("kind"), F.col("raw"), F.col("new")).alias("new"))
-    listed = written.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "part", "new"))).alias("all"))
-    row, subs = fresh(docs, "row"), fresh(docs, "subs")
-    ready = listed.select(F.col("row").alias(row), F.col("all").alias(subs))
+    written = made.select("row", "place", "part", "kind", "raw", render(F.col("kind"), F.col("raw"), F.col("new")).alias("new"))
+    listed = written.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "part", "kind", "raw", "new"))).alias("all"))
+    listed = listed.withColumn("people", F.filter("all", lambda s: (s["kind"] == "family") | s["kind"].startswith("given_")))
+    row, subs, names, news = (fresh(docs, c) for c in ("row", "subs", "names", "news"))
+    ready = listed.select(F.col("row").alias(row), F.col("all").alias(subs), F.col("people.raw").alias(names), F.col("people.new").alias(news))
     joined = docs.withColumn(row, row_key()).join(ready, row, "left")
     between = F.split("text", PATTERN, -1)
     # behind each stretch between two matches come the pieces of the match that follows it
     rebuilt = F.array_join(
-        F.transform(between, lambda x, i: F.concat(x, F.array_join(F.transform(F.filter(F.col(subs), lambda s: s["place"] == i), lambda s: s["new"]), ""))), "")
+        F.transform(between, lambda x, i: F.concat(_renamed(x, F.col(names), F.col(news)), F.array_join(F.transform(F.filter(F.col(subs), lambda s: s["place"] == i), lambda s: s["new"]), ""))), "")
     text = F.when(F.col(subs).isNull(), F.col("text")).otherwise(rebuilt)
     found = joined.withColumn("text", text)
     if count:
-        places = F.size(F.array_distinct(F.transform(F.col(subs), lambda s: s["place"])))
+        places = F.size(F.array_distinct(F.transform(F.filter(F.col(subs), lambda s: s["kind"] != "keep"), lambda s: s["place"])))
         found = found.withColumn(count, F.when(F.col(subs).isNull(), 0).otherwise(places))
     return found.select(*docs.columns, *([count] if count else []))
 

@@ -1,9 +1,11 @@
 """Token files and packing against the tokenizer itself."""
 
+import itertools
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from ledgerlens.llm import bpe, packing, tokenfile
@@ -127,15 +129,77 @@ def test_knapsack_against_all_configurations():
     assert np.allclose(best, [brute(c) for c in range(13)])
 
 
-def test_plan_uses_up_any_histogram():
+def used_up(plan, histogram, capacity):
+    left = histogram.copy()
+    for lengths, n in plan:
+        assert n > 0 and sum(lengths) <= capacity
+        np.subtract.at(left, list(lengths), n)
+    return not left.any()
+
+
+@pytest.mark.parametrize("units", [8, 32])
+def test_plan_uses_up_any_histogram(monkeypatch, units):
+    monkeypatch.setattr(packing, "UNITS", units)
     rng = np.random.default_rng(4)
     for _ in range(20):
         histogram = np.zeros(33, dtype=np.int64)
         histogram[rng.integers(1, 33, 12)] = rng.integers(1, 5000, 12)
-        plan = packing.rounded(histogram, 32, packing.solve(histogram, 32, rounds=20))
-        left = histogram.copy()
-        for config, n in plan:
-            assert sum(config) <= 32
-            np.subtract.at(left, list(config), n)
-        assert not left.any()
-        assert sum(n for _, n in plan) <= 1.25 * (histogram * np.arange(33)).sum() / 32 + histogram[17:].sum()
+        plan, solution = packing.plan_sequences(histogram, 32)
+        assert used_up(plan, histogram, 32)
+        least = (histogram * np.arange(33)).sum() / 32
+        if units == 32:
+            assert solution.bound >= least - 1e-6
+        assert sum(n for _, n in plan) <= solution.value + 13
+    assert packing.plan_sequences(np.zeros(33, dtype=np.int64), 32) == ([], packing.Solution([], 0.0, 0.0))
+
+
+def least_sum(need, lengths, capacity):
+    """Optimum of the covering program by all its vertices: as many columns (configurations or surplus) as lengths."""
+    configs = [c for c in itertools.product(*[range(capacity // n + 1) for n in lengths]) if 0 < np.dot(c, lengths) <= capacity]
+    columns = [(np.array(c, dtype=float), 1.0) for c in configs] + [(-row, 0.0) for row in np.eye(len(lengths))]
+    best = np.inf
+    for chosen in itertools.combinations(columns, len(lengths)):
+        matrix = np.array([c for c, _ in chosen]).T
+        if abs(np.linalg.det(matrix)) > 1e-9:
+            x = np.linalg.solve(matrix, need)
+            if (x > -1e-9).all():
+                best = min(best, float(np.dot(x, [cost for _, cost in chosen])))
+    return best
+
+
+@pytest.mark.parametrize("lengths", [(3, 5, 7), (2, 5, 9), (4, 6, 11), (5, 7, 8)])
+def test_program_against_all_configurations(lengths):
+    rng = np.random.default_rng(5)
+    for _ in range(4):
+        histogram = np.zeros(13, dtype=np.int64)
+        histogram[list(lengths)] = rng.integers(20, 300, 3)
+        solution = packing.solve(histogram, 12, phases=40)
+        optimum = least_sum(histogram[list(lengths)], lengths, 12)
+        assert solution.bound - 1e-6 <= optimum <= solution.value + 1e-6
+        assert solution.value <= 1.1 * optimum
+        for lengths_used, share in solution.used:
+            assert share > 0 and sum(lengths_used) <= 12
+
+
+@pytest.mark.parametrize(("sf", "share"), [("sf0.01", 0.8), ("sf0.1", 0.9)])  # the fewer pieces of a length, the more is left to rounding
+def test_sequences_come_from_the_program(plain, sf, share):
+    rows = pq.read_table(f"/root/testdata/{sf}/documents.parquet", columns=["text"]).column("text").to_pylist()
+    histogram = np.zeros(packing.CAPACITY + 1, dtype=np.int64)
+    for first in range(0, len(rows), 500):
+        for found in plain.encode_batch([t or "" for t in rows[first : first + 500]], add_special_tokens=False):
+            for _, n in packing.piece_bounds(len(found.ids) + 1, packing.CAPACITY):
+                histogram[n] += 1
+    plan, solution = packing.plan_sequences(histogram, packing.CAPACITY)
+    assert used_up(plan, histogram, packing.CAPACITY)
+    assert solution.value - solution.bound <= packing.GAP * solution.bound
+    sequences = sum(n for _, n in plan)
+    assert sequences <= np.ceil(solution.bound) + 2
+    own, whole = dict(packing.whole_numbers(solution.used)), 0
+    for lengths, n in plan:
+        whole += min(n, own.get(tuple(sorted(lengths, reverse=True)), 0))
+    assert whole >= share * sequences
+
+
+def test_largest_remainders():
+    used = [((5,), 2.6), ((4,), 0.7), ((3,), 0.4), ((2,), 0.3)]
+    assert packing.whole_numbers(used) == [((5,), 3), ((4,), 1)]

@@ -9,8 +9,8 @@ Thresholds are calibrated by language on all labelled rows of a fold that the fi
 scored like any other, and counts by language, label and one of ``BINS`` equal stretches of the probability give the threshold. The language
 is guessed from the text alone, by its function words. A score maps the probability so that the threshold of the language lies at ``CUT``.
 
-Only the fit takes a bounded sample: at most ``FIT_ROWS`` labelled texts of each class with at most ``FIT_WORDS`` words, drawn by a hash, one for
-each ``doc_id``. Scoring reads every whole text.
+Only the fit takes a bounded sample: at most ``FIT_ROWS`` labelled texts of each class, of at most ``FIT_BYTES`` bytes and ``FIT_WORDS`` words
+(cut as the classifier cuts them), drawn by a hash, one for each ``doc_id``, so the driver holds at most 72 MB of texts. Scoring reads every whole text.
 
 Defined results: a null or empty text gets the score of no words; rows with the same ``doc_id`` are scored one by one; a null ``doc_id`` is not held
 out; labels that are null, or of a ``doc_id`` that has several different ones, are not used; without labels of both classes every score is 0.
@@ -28,11 +28,12 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import fresh, table
 from ledgerlens.llm.wordhash import chunks, word_hashes
+from ledgerlens.llm.words import words
 
 #: Rows of the embedding table, length of a vector, filter widths, filters of each width, bytes of a word's head.
 ROWS, SIZE, WIDTHS, FILTERS, HEADS = 1 << 16, 16, (1, 2, 3), 4, (4, 5)
 #: Bounds of the sample, batches and their size, learning rate.
-FIT_ROWS, FIT_WORDS, BATCHES, BATCH, RATE = 1500, 1500, 500, 32, 0.15
+FIT_ROWS, FIT_WORDS, FIT_BYTES, BATCHES, BATCH, RATE = 1500, 1500, 24_000, 500, 32, 0.15
 #: Training texts that must use a row of the table, share of the words in a batch.
 LEAST_TEXTS, KEPT_WORDS = 2, 0.5
 #: Score from which a text counts as toxic.
@@ -210,7 +211,7 @@ def _sample(docs: DataFrame, labelled: DataFrame) -> list:
     if not drawn:
         return []
     wanted = docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"]) for r in drawn], "doc_id long, toxic int")
-    few = F.size(F.split("text", r"\s+")) <= FIT_WORDS
+    few = (F.octet_length("text") <= FIT_BYTES) & (F.size(words(F.col("text"))) <= FIT_WORDS)
     found = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").filter(few)
     return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
 

@@ -171,6 +171,14 @@ def test_repeated_rows_do_not_crowd_out_the_fit(spark, monkeypatch):
         assert toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels) is not None
 
 
+def test_the_fit_is_bounded_by_its_own_words_and_bytes(spark):
+    fits = [k for k in range(60) if zlib.crc32(str(k).encode()) % 4 < 2][:6]
+    long = ["a." * 200_000, "w" * 300_000, "a-" * 1501, "a-" * 1500, "plain text", None]
+    docs = spark.createDataFrame(list(zip(fits, long, strict=True)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, i % 2) for i, k in enumerate(fits)], "doc_id long, toxic int")
+    assert {r["text"] for r in toxicity._sample(docs, labels)} == {"a-" * 1500, "plain text"}
+
+
 def replaced(df):
     return {r["doc_id"]: (r["text"], r["n"]) for r in pii.replace_pii(df.select("doc_id", "text"), count="n").collect()}
 

@@ -267,15 +267,19 @@ def _place(plan: dict[str, np.ndarray], capacity: int) -> Callable[[Iterator[pa.
 
 
 def numbered(pieces: DataFrame) -> DataFrame:
-    """Number the pieces of each length from 0. A common length is counted by hash buckets, so no task holds it whole."""
+    """Number the pieces of each length from 0. A common length is counted by cells, hash buckets of it, so no task holds it whole.
+
+    Pieces are dealt by the cell alone: dealt by two columns, they could share a shuffle by length with the totals.
+    """
     n = buckets(pieces.sparkSession, 4)
-    dealt = pieces.withColumn("_bucket", F.pmod(F.xxhash64("row", "piece"), F.lit(n)))
-    before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = dealt.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
-    bases = totals.select("length", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy("length", "_bucket").orderBy("row", "piece")
-    placed = dealt.withColumn("_k", F.row_number().over(within)).join(bases, ["length", "_bucket"])
-    return placed.withColumn("number", F.col("_base") + F.col("_k") - 1).drop("_base", "_k", "_bucket")
+    cell = F.col("length") * n + F.pmod(F.xxhash64("row", "piece"), F.lit(n))
+    dealt = pieces.withColumn("_cell", cell)
+    before = Window.partitionBy("length").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy("_cell").agg(F.first("length").alias("length"), F.count("*").alias("_n"))
+    bases = totals.select("_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    within = Window.partitionBy("_cell").orderBy("row", "piece")
+    placed = dealt.withColumn("_k", F.row_number().over(within)).join(bases, "_cell")
+    return placed.withColumn("number", F.col("_base") + F.col("_k") - 1).drop("_base", "_k", "_cell")
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:

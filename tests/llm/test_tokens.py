@@ -117,6 +117,18 @@ def test_odd_rows_of_packing(frame):
     assert max(r["length"] for r in rows) <= 64
 
 
+def test_numbers_of_a_common_length_are_not_dealt_by_length(spark):
+    rows = [(k, 0, 7 if k % 3 else k % 11 + 1) for k in range(3000)]
+    df = packing.numbered(spark.createDataFrame(rows, "row long, piece int, length long"))
+    found = defaultdict(list)
+    for r in df.collect():
+        found[r["length"]].append(r["number"])
+    assert all(sorted(v) == list(range(len(v))) for v in found.values()) and sum(map(len, found.values())) == 3000
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    first = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert first.count("Exchange hashpartitioning(length") == 1  # that of the totals
+
+
 def test_knapsack_against_all_configurations():
     rng = np.random.default_rng(3)
     prices = np.zeros(13)

@@ -1,7 +1,8 @@
 """Gradient boosting of regression trees on Spark ML, grown until the validation metric stops rising.
 
 Each round fits one ``DecisionTreeRegressor`` to the gradient of the log loss on a share of rows and columns; the leaves get the Newton step with an
-L2 penalty. Margins are carried along and stored every few rounds, so the plan stays short, a lost executor costs one stretch, and a fit can be continued. All
+L2 penalty. Margins are carried along: each round's rows are kept until the next round has its own, so no pass repeats earlier rounds, and stored every few rounds, so the plan
+stays short, a lost executor costs one stretch, and a fit can be continued. All
 prefixes of a stretch are ranked on the validation rows in one table keyed by round. The trees, bounded by the parameters, are kept as a plain table of nodes; all of them are scored in one Arrow call.
 """
 
@@ -221,22 +222,33 @@ def _vectors(df: DataFrame, columns: list[str], categories: Categories | None, b
     return assembled.select("transaction_id", F.col(TARGET).cast("double").alias("y"), "features")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Stored rows in at least as many partitions as there are cores: every round passes over them about ten times."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def _drawn(rows: DataFrame, settings: Boosting, round_: int) -> DataFrame:
+    """``rows`` as round ``round_`` needs them: their gradient, weight and whether they are drawn. Kept until the next round has its own."""
+    draw = F.pmod(F.xxhash64(F.lit(settings.seed), F.lit(round_), "transaction_id"), F.lit(1 << 30)) < int(settings.row_share * (1 << 30))
+    p = probability(F.col("margin"))
+    return rows.select("transaction_id", "y", "features", "margin", (F.col("y") - p).alias("_gradient"), (p * (1 - p)).alias("_weight"), draw.alias("_drawn")).persist()
+
+
 def _grow(rows: DataFrame, settings: Boosting, round_: int, inputs: int) -> tuple[Tree, DataFrame]:
-    """One tree fitted to ``rows`` with their ``margin``, and the rows with the margin it leads to."""
+    """One tree fitted to the rows ``_drawn`` for its round, and all of them with the margin it leads to."""
     chance = np.random.default_rng([settings.seed, round_])
     chosen = sorted(chance.choice(inputs, max(1, round(inputs * settings.column_share)), replace=False).tolist())
-    drawn = F.pmod(F.xxhash64(F.lit(settings.seed), F.lit(round_), "transaction_id"), F.lit(1 << 30)) < int(settings.row_share * (1 << 30))
-    p = probability(F.col("margin"))
-    sliced = VectorSlicer(inputCol="features", outputCol="_chosen", indices=chosen).transform(rows.withColumns({"_gradient": F.col("y") - p, "_weight": p * (1 - p)}))
+    sliced = VectorSlicer(inputCol="features", outputCol="_chosen", indices=chosen).transform(rows)
     regressor = DecisionTreeRegressor(
         featuresCol="_chosen", labelCol="_gradient", leafCol="_leaf", predictionCol="_mean", maxDepth=settings.max_depth, maxBins=settings.bins,
         minInstancesPerNode=settings.min_rows_per_leaf, maxMemoryInMB=1024, seed=settings.seed + round_,
     )
-    model = regressor.fit(sliced.filter(drawn))
+    model = regressor.fit(sliced.filter("_drawn"))
     tree = read_tree(model.toDebugString, chosen)
     found = model.transform(sliced)
     # at most 2**max_depth leaves
-    sums = {int(r["_leaf"]): (r["g"], r["h"]) for r in found.filter(drawn).groupBy("_leaf").agg(F.sum("_gradient").alias("g"), F.sum("_weight").alias("h")).collect()}
+    sums = {int(r["_leaf"]): (r["g"], r["h"]) for r in found.filter("_drawn").groupBy("_leaf").agg(F.sum("_gradient").alias("g"), F.sum("_weight").alias("h")).collect()}
     gradient, weight = np.zeros(len(tree.feature)), np.zeros(len(tree.feature))
     for place, node in enumerate(tree.leaves):
         gradient[node], weight[node] = sums.get(place, (0.0, 0.0))
@@ -269,13 +281,19 @@ def fit_boosted(
     trees, history = list(start.trees) if start else [], list(start.history) if start else []
     x = vector_to_array("features")
     before = F.lit(base) + (_margins_of(trees, False)(x) if trees else F.lit(0.0))
-    rows, ranked = (checkpointed(t.withColumn("margin", before)) for t in tables)
+    rows, ranked = (checkpointed(_spread(t).withColumn("margin", before)) for t in tables)
     while len(trees) < held.rounds:
         first = len(trees)
+        kept = []
         for round_ in range(first, min(first + held.stretch, held.rounds)):
-            tree, rows = _grow(rows, held, round_, inputs)
+            kept.append(_drawn(rows, held, round_))
+            tree, rows = _grow(kept[-1], held, round_, inputs)
             trees.append(tree)
+            for old in kept[:-1]:
+                old.unpersist()
+            del kept[:-1]
         rows = checkpointed(rows)
+        kept.pop().unpersist()
         ranked = checkpointed(ranked.withColumn("after", _margins_of(trees[first:], True)(x)))
         each = ranked.select(F.col("y").cast("int").alias(TARGET), "margin", F.posexplode("after").alias("round", "more"))
         rated = average_precision_by(each.withColumn("score", F.col("margin") + F.col("more")), "round")

@@ -175,6 +175,22 @@ def test_a_fit_can_be_continued(labeled):
     assert [v for t in more.trees for v in t.value] == pytest.approx([v for t in whole.trees for v in t.value])
 
 
+def test_a_round_reads_kept_rows_on_all_cores(spark, labeled, monkeypatch):
+    """Before, each pass of a round applied all earlier trees of the stretch again, in the few partitions of the input."""
+    seen, grow = [], boosting._grow
+    held = {int(k) for k in spark.sparkContext._jsc.getPersistentRDDs()}
+
+    def spy(rows, *more):
+        seen.append((rows.storageLevel.useMemory, rows.rdd.getNumPartitions()))
+        return grow(rows, *more)
+
+    monkeypatch.setattr(boosting, "_grow", spy)
+    fitted = boosting.fit_boosted(labeled.coalesce(1), labeled, columns=["a", "b"], rounds=6, **SMALL)
+    assert len(fitted.trees) == len(seen) == 6
+    assert all(kept and parts >= spark.sparkContext.defaultParallelism for kept, parts in seen)
+    assert {int(k) for k in spark.sparkContext._jsc.getPersistentRDDs()} <= held
+
+
 def test_categories_reach_the_trees(spark):
     chance = np.random.default_rng(2)
     rows = [(i, int(i % 7 in (1, 4)), float(chance.normal()), f"c{i % 7}", f"v{i % 500}") for i in range(1400)]

@@ -46,6 +46,20 @@ def test_literals_of_added_tokens_as_by_default(spark):
     assert {r["doc_id"]: r["ids_crc32"] for r in packed} == {k: zlib.crc32(np.array([*ids, 0], dtype="<u4").tobytes()) for k, ids in enumerate(expected)}
 
 
+def test_a_full_memory_keeps_the_chunks_of_the_last_texts(plain, monkeypatch):
+    """Before, it was emptied, and the library was asked for the commonest words again and again."""
+    monkeypatch.setattr(bpe, "MOST_CHUNKS", 3)
+    enc, asked, words = bpe.ChunkEncoder(bpe.tokenizer_file()), [], bpe.ChunkEncoder._words
+    monkeypatch.setattr(bpe.ChunkEncoder, "_words", lambda self, new: asked.extend(new) or words(self, new))
+    first = ["One of the\nwords, and  the others.", "z" * 70 + " y" * 3 + " " + "x" * 70 + ".", None]
+    second = ["and of the ѣ é's\tx", "Now then, one\nwords.", ""]
+    for texts, new in ((first, None), (first, {"x" * 70}), (second, None), (second, set())):
+        asked.clear()
+        assert [x.tolist() for x in enc.encode(texts)] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert new is None or set(asked) == new  # long chunks are never kept
+        assert len(enc.known) == len(enc.start) - 1 and enc.start[-1] == len(enc.ids)
+
+
 def test_code_round_trip():
     rng = np.random.default_rng(2)
     for n in (0, 1, 3, 4, 5, 1000):

@@ -229,7 +229,8 @@ def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     able = stored(able.join(least.select("key", "least"), "key").filter(F.col("most") >= THRESHOLD * F.col("least")).drop("least"), "able")
     keys = able.groupBy("cls").agg(F.collect_list("key").alias("own"))
     signatures = sets.join(keys.select("cls"), "cls", "left_semi").select("cls", "hashes").mapInArrow(_signatures, "cls long, " + ", ".join(f"{k} long" for k in _SIGNATURE))
-    able = able.join(keys.join(signatures, "cls"), "cls")
+    # stored, one row for each class: both sides of the join below read it, and its steps do not start together with those of the join
+    able = able.join(stored(keys.join(signatures, "cls"), "signatures"), "cls")
     columns = ["cls", "c", "n", "most", *_PARITY, *_SIGNATURE, "own"]
     x = able.select("key", *[F.col(k).alias(f"{k}_x") for k in columns])
     y = able.select("key", *[F.col(k).alias(f"{k}_y") for k in columns])
@@ -268,7 +269,8 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     first = crowded.join(heads, "key").filter("head <> cls").select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct()
     likely = _estimate(first, sketches)
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b")
-    links = stored(_verify(best, sets_of), "verified")
+    # a query of few joins at a time: the driver holds a table for each broadcast and blocks for each stage and scan that it starts at once
+    links = stored(_verify(stored(best, "best"), sets_of), "verified")
     found = connected_components(links)
 
     labelled = crowded.join(found, crowded.cls == found.v, "left").select("key", "cls", F.coalesce("c", "cls").alias("c"))
@@ -276,8 +278,8 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     several = parts.groupBy("key").agg(F.count("*").alias("components")).filter("components > 1").select("key")
     traits = sketches.select("cls", "n", "sketch").mapInArrow(_parities, "cls long, n long, " + ", ".join(f"{k} long" for k in _PARITY))
     mixed = stored(labelled.join(several, "key").join(traits, "cls"), "mixed")
-    further = _across(mixed.join(_met_elsewhere(mixed, sets_of), "cls"), sets_of)
-    more = _verify(_estimate(further, sketches), sets_of)
+    further = stored(_across(mixed.join(_met_elsewhere(mixed, sets_of), "cls"), sets_of), "further")
+    more = _verify(stored(_estimate(further, sketches).select("a", "b"), "estimated"), sets_of)
     whole = connected_components(stored(links.union(more), "verified"))
 
     named = classes.join(whole, classes.cls == whole.v, "left").select("s1", "s2", "n", F.coalesce("c", "cls").alias("c"))

@@ -50,6 +50,23 @@ def test_near_duplicates_of_the_documents(docs, texts):
     assert components(docs) == brute_components(texts.items())
 
 
+def test_near_duplicates_start_few_joins_at_once(frame, capsys, monkeypatch):
+    """The driver's memory follows the joins of a query: one with a dozen of them made it outgrow its limit."""
+    joins, held = {}, setsketch.stored
+
+    def counted(df, name):
+        df.explain()
+        joins[name] = max(joins.get(name, 0), len(re.findall(r"\w+Join\b", capsys.readouterr().out)))
+        return held(df, name)
+
+    monkeypatch.setattr(setsketch, "stored", counted)
+    base = [f"w{k}" for k in range(200)]
+    rows = [(k, " ".join([*base[: 195 - k], *(f"x{k}y{j}" for j in range(k + 5))])) for k in range(6)]
+    assert components(frame(rows)) == brute_components(rows)
+    assert {"verified", "mixed", "able"} <= set(joins)
+    assert max(joins.values()) <= 4, joins
+
+
 def test_near_duplicates_around_the_threshold(spark):
     rng = random.Random(8)
     words = [f"w{k}" for k in range(4000)]

@@ -1,26 +1,25 @@
-"""Gradient boosting of regression trees on Spark ML, grown until the validation metric stops rising.
+"""Gradient boosting of regression trees, grown until the validation metric stops rising.
 
-Each round fits one ``DecisionTreeRegressor`` to the gradient of the log loss on a share of rows and columns; the leaves get the Newton step with an
-L2 penalty. Margins are carried along: each round's rows are kept until the next round has its own, so no pass repeats earlier rounds, and stored every few rounds, so the plan
-stays short, a lost executor costs one stretch, and a fit can be continued. All
-prefixes of a stretch are ranked on the validation rows in one table keyed by round. The trees, bounded by the parameters, are kept as a plain table of nodes; all of them are scored in one Arrow call.
+Rows are coded once by the cuts of their inputs and kept in blocks (``growth``). Each round grows one tree on the gradient of the log loss over a share of rows and
+columns, one pass for each of its levels; the leaves get the Newton step with an L2 penalty. Margins are kept apart from the codes: each round's are kept until the next
+round has its own, so no pass repeats earlier rounds, and stored every few rounds, so the lineage stays short, a lost executor costs one stretch, and a fit can be continued. All
+prefixes of a stretch are ranked on the validation rows together. The trees, bounded by the parameters, are kept as a plain table of nodes; all of them are scored in one Arrow call.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import asdict, dataclass, field, replace
+from functools import partial
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import shared_folder, ship
+from . import growth
 from .categories import Categories, fit_categories
 from .features import NUMERIC_FEATURES, TARGET
 from .matrix import KEYS, with_missing_flags
@@ -71,67 +70,49 @@ class Tree:
         return [i for i, f in enumerate(self.feature) if f < 0]
 
     def arrays(self) -> tuple:
-        widest = max([1, *[max(c) + 1 for c in self.left_codes if c]])
-        codes = np.zeros((len(self.feature), widest + 1), dtype=bool)  # the last column stands for larger codes
-        for node, held in enumerate(self.left_codes):
-            codes[node, held or []] = True
-        nominal = np.array([c is not None for c in self.left_codes])
-        return (np.array(self.feature), np.array(self.cut), nominal, codes, np.array(self.left), np.array(self.right), np.array(self.value))
-
-
-_SPLIT = re.compile(r"If \(feature (\d+) (?:<= (\S+)|in \{([^}]*)\})\)")
-
-
-def read_tree(text: str, columns: list[int]) -> Tree:
-    """A fitted tree from its printed form; ``columns`` names the feature at each place of its input."""
-    lines = iter([line.strip() for line in text.splitlines()[1:] if line.strip() and not line.strip().startswith("Else")])
-    tree = Tree()
-
-    def grow() -> int:
-        line = next(lines)
-        if line.startswith("Predict"):
-            return tree.add()
-        place, cut, codes = _SPLIT.match(line).groups()
-        held = None if codes is None else [int(float(c)) for c in codes.split(",") if c]
-        node = tree.add(columns[int(place)], float(cut or 0.0), held)
-        tree.left[node] = grow()
-        tree.right[node] = grow()
-        return node
-
-    grow()
-    return tree
-
-
-def _margins_of(trees: list[Tree], every: bool):
-    """UDF from the feature array to the sum of the trees' outputs, or to the sums after each tree."""
-
-    def outputs(x: pd.Series):
-        points = np.stack(x.to_numpy()) if len(x) else np.empty((0, 1))
-        everyone = np.arange(len(points))
-        for feature, cut, nominal, codes, left, right, value in held.value:
-            at = np.zeros(len(points), dtype=np.int64)
-            inner = feature[at] >= 0
-            while inner.any():
-                v = points[everyone, np.maximum(feature[at], 0)]
-                goes_left = v <= cut[at]
-                if nominal.any():
-                    code = np.clip(v, 0, codes.shape[1] - 1).astype(np.int64)
-                    goes_left = np.where(nominal[at], codes[at, code], goes_left)
-                at = np.where(inner, np.where(goes_left, left[at], right[at]), at)
-                inner = feature[at] >= 0
-            yield value[at]
-
-    held = SparkSession.active().sparkContext.broadcast([t.arrays() for t in trees])
-    if every:
-
-        @F.pandas_udf("array<double>")
-        def margins(x: pd.Series) -> pd.Series:
-            return pd.Series(list(np.cumsum(list(outputs(x)), axis=0).T) if len(x) else [])
-    else:
-
-        @F.pandas_udf("double")
-        def margins(x: pd.Series) -> pd.Series:
-            return pd.Series(sum(outputs(x), np.zeros(len(x))))
+        """Input, cut, categories and children by node, and the steps down to the lowest leaf. A leaf is its own child."""
+        here = np.arange(len(self.feature))
+        inner = np.array(self.feature) >= 0
+        child = np.where(inner, [self.left, self.right], here).T.ravel()
+        feature, cut = np.where(inner, self.feature, 0), np.where(inner, self.cut, np.inf)
+        nominal = codes = None
+        if any(c is not None for c in self.left_codes):
+            nominal = np.array([c is not None for c in self.left_codes])
+            # the last column stands for larger codes
+            codes = np.zeros((len(self.feature), max([1, *[max(c) + 1 for c in self.left_codes if c]]) + 1), dtype=bool)
+            for node, held in enumerate(self.left_codes):
+                codes[node, held or []] = True
+        steps = np.zeros(len(here), dtype=int)
+        for node in reversed(here[inner]):
+            steps[node] = 1 + max(steps[self.left[node]], steps[self.right[node]])
+        return feature, cut, nominal, codes, child, np.array(self.value), int(steps[0])
+
+
+def _outputs(trees: list[tuple], x: np.ndarray):
+    """What each tree gives the rows; ``x`` has one array for each input."""
+    flat, n = x.ravel(), x.shape[1]
+    everyone = np.arange(n)
+    for feature, cut, nominal, codes, child, value, steps in trees:
+        at = np.zeros(n, dtype=np.int64)
+        for _ in range(steps):
+            v = flat.take(feature.take(at) * n + everyone)
+            right = ~(v <= cut.take(at))
+            if nominal is not None:
+                code = np.clip(v, 0, codes.shape[1] - 1).astype(np.int64)
+                right = np.where(nominal.take(at), ~codes[at, code], right)
+            at = child.take(2 * at + right)
+        yield value.take(at)
+
+
+def _margins_of(trees: list[Tree]):
+    """UDF from the inputs to the sum of the trees' outputs."""
+    spark = SparkSession.active()
+    ship(spark)
+    held = spark.sparkContext.broadcast([t.arrays() for t in trees])
+
+    @F.pandas_udf("double")
+    def margins(*x: pd.Series) -> pd.Series:
+        return pd.Series(sum(_outputs(held.value, np.stack([c.to_numpy(dtype=np.float64) for c in x])), np.zeros(len(x[0]))))
 
     return margins
 
@@ -157,9 +138,9 @@ class Boosted:
 
     def score(self, df: DataFrame, rounds: int | None = None) -> DataFrame:
         """Prediction columns and the probability as ``score``."""
-        x = F.array(*[F.col(c).cast("double") for c in self.inputs])
+        x = [F.col(c).cast("double") for c in self.inputs]
         used = self.trees[: self.best_rounds if rounds is None else rounds]
-        margin = F.lit(self.base) + (_margins_of(used, False)(x) if used else F.lit(0.0))
+        margin = F.lit(self.base) + (_margins_of(used)(*x) if used else F.lit(0.0))
         return _table(df, self.columns, self.categories).select(*PREDICTION, probability(margin).alias("score"))
 
     def importance(self) -> dict[str, float]:
@@ -210,57 +191,98 @@ def _table(df: DataFrame, columns: list[str], categories: Categories | None) ->
     return categories.transform(rows) if categories else rows
 
 
-def _vectors(df: DataFrame, columns: list[str], categories: Categories | None, bins: int) -> DataFrame:
-    """``transaction_id, y, features``, stored; a category of few values is marked as one."""
-    rows, inputs = _table(df, columns, categories), _inputs(columns, categories)
-    sizes = dict(zip([f"{c}_code" for c in categories.columns], categories.sizes, strict=True)) if categories else {}
-    for name, size in sizes.items():
-        if size < bins:
-            marked = F.col(name).cast("double").alias(name, metadata={"ml_attr": {"type": "nominal", "num_vals": int(size) + 1}})
-            rows = rows.withColumn(name, marked)
-    assembled = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows)
-    return assembled.select("transaction_id", F.col(TARGET).cast("double").alias("y"), "features")
+def _nominal(categories: Categories | None, bins: int) -> dict[str, int]:
+    """Sizes of the categories of few values."""
+    sizes = zip(categories.columns, categories.sizes, strict=True) if categories else ()
+    return {f"{c}_code": size for c, size in sizes if size < bins}
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """Stored rows in at least as many partitions as there are cores: every round passes over them about ten times."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+@dataclass(frozen=True)
+class _Rows:
+    """Blocks of coded rows and, in the same order, their margins and whether they are drawn; ``step`` is the tree whose outputs the margins still lack."""
+
+    blocks: RDD
+    rdd: RDD
+    coder: growth.Coder
+    step: tuple | None = None
+
+    @property
+    def storageLevel(self) -> StorageLevel:  # noqa: N802  as a DataFrame names it
+        return self.rdd.getStorageLevel()
+
+    @property
+    def pairs(self) -> RDD:
+        return self.blocks.zip(self.rdd)
+
 
+def _advanced(pair: tuple, step: tuple | None, draw: tuple | None = None) -> tuple:
+    """Margin of a block with the outputs of ``step``, and whether its rows are drawn."""
+    (codes, _, ids, unknown), (margin, _) = pair
+    if step:
+        nodes, values = step
+        margin = margin + values.take(nodes.reached(codes, np.arange(len(margin))))
+    return margin, growth.drawn_rows(ids, unknown, *draw) if draw else None
 
-def _drawn(rows: DataFrame, settings: Boosting, round_: int) -> DataFrame:
-    """``rows`` as round ``round_`` needs them: their gradient, weight and whether they are drawn. Kept until the next round has its own."""
-    draw = F.pmod(F.xxhash64(F.lit(settings.seed), F.lit(round_), "transaction_id"), F.lit(1 << 30)) < int(settings.row_share * (1 << 30))
-    p = probability(F.col("margin"))
-    return rows.select("transaction_id", "y", "features", "margin", (F.col("y") - p).alias("_gradient"), (p * (1 - p)).alias("_weight"), draw.alias("_drawn")).persist()
 
+def _drawn(rows: _Rows, settings: Boosting, round_: int) -> _Rows:
+    """``rows`` as round ``round_`` needs them: their margin and whether they are drawn. Kept until the next round has its own."""
+    draw = (settings.seed, round_, settings.row_share)
+    return _Rows(rows.blocks, growth.kept(rows.pairs.map(partial(_advanced, step=rows.step, draw=draw))), rows.coder)
 
-def _grow(rows: DataFrame, settings: Boosting, round_: int, inputs: int) -> tuple[Tree, DataFrame]:
+
+def _stored(rows: _Rows) -> _Rows:
+    return _Rows(rows.blocks, growth.stored(rows.pairs.map(partial(_advanced, step=rows.step))), rows.coder)
+
+
+def _grow(rows: _Rows, settings: Boosting, round_: int, inputs: int) -> tuple[Tree, _Rows]:
     """One tree fitted to the rows ``_drawn`` for its round, and all of them with the margin it leads to."""
     chance = np.random.default_rng([settings.seed, round_])
     chosen = sorted(chance.choice(inputs, max(1, round(inputs * settings.column_share)), replace=False).tolist())
-    sliced = VectorSlicer(inputCol="features", outputCol="_chosen", indices=chosen).transform(rows)
-    regressor = DecisionTreeRegressor(
-        featuresCol="_chosen", labelCol="_gradient", leafCol="_leaf", predictionCol="_mean", maxDepth=settings.max_depth, maxBins=settings.bins,
-        minInstancesPerNode=settings.min_rows_per_leaf, maxMemoryInMB=1024, seed=settings.seed + round_,
-    )
-    model = regressor.fit(sliced.filter("_drawn"))
-    tree = read_tree(model.toDebugString, chosen)
-    found = model.transform(sliced)
-    # at most 2**max_depth leaves
-    sums = {int(r["_leaf"]): (r["g"], r["h"]) for r in found.filter("_drawn").groupBy("_leaf").agg(F.sum("_gradient").alias("g"), F.sum("_weight").alias("h")).collect()}
-    gradient, weight = np.zeros(len(tree.feature)), np.zeros(len(tree.feature))
-    for place, node in enumerate(tree.leaves):
-        gradient[node], weight[node] = sums.get(place, (0.0, 0.0))
-        tree.value[node] = settings.learning_rate * float(gradient[node] / (weight[node] + settings.l2)) if weight[node] + settings.l2 else 0.0
-    part = lambda i: gradient[i] ** 2 / (weight[i] + settings.l2) if weight[i] + settings.l2 else 0.0
-    for node in reversed(range(len(tree.feature))):
-        if tree.feature[node] >= 0:
-            sides = [tree.left[node], tree.right[node]]
-            gradient[node], weight[node] = gradient[sides].sum(), weight[sides].sum()
-            tree.gain[node] = float(part(sides[0]) + part(sides[1]) - part(node))
-    step = F.get(F.array(*[F.lit(tree.value[n]) for n in tree.leaves]), F.col("_leaf").cast("int"))
-    return tree, found.select("transaction_id", "y", "features", (F.col("margin") + step).alias("margin"))
+    held = rows.coder.round(chosen, settings.seed, round_, settings.row_share)
+    grown = growth.grow(rows.pairs, held, settings.max_depth, settings.min_rows_per_leaf)
+    nodes = grown.nodes()
+    gradients, weights = growth.leaf_sums(rows.pairs, nodes)
+    tree, values = Tree(), np.zeros(len(nodes.feature))
+    part = lambda gradient, weight: gradient**2 / (weight + settings.l2) if weight + settings.l2 else 0.0
+
+    def place(found: int) -> tuple[int, float, float]:
+        """Put a node and those below it into the tree; its place, gradient and weight."""
+        split = grown.split.get(found)
+        if split is None:
+            at, gradient, weight = tree.add(), gradients[found], weights[found]
+            values[found] = tree.value[at] = settings.learning_rate * float(gradient / (weight + settings.l2)) if weight + settings.l2 else 0.0
+            return at, gradient, weight
+        at = tree.add(*split)
+        (tree.left[at], *left), (tree.right[at], *right) = [place(int(c)) for c in nodes.child[2 * found : 2 * found + 2]]
+        gradient, weight = left[0] + right[0], left[1] + right[1]
+        tree.gain[at] = float(part(*left) + part(*right) - part(gradient, weight))
+        return at, gradient, weight
+
+    place(0)
+    return tree, replace(rows, step=(nodes, values))
+
+
+def _without_margin(block: tuple) -> tuple:
+    return block[:-1]
+
+
+def _margin_alone(block: tuple) -> tuple:
+    return block[-1], None
+
+
+def _later(pair: tuple, trees: list[tuple]) -> tuple:
+    """Labels of a block and its margins after each of ``trees``."""
+    (x, y, _), margin = pair
+    return y, margin + np.cumsum(list(_outputs(trees, x)), axis=0)
+
+
+def _rankings(block: tuple):
+    y, margins = block
+    return [(i, margin, y) for i, margin in enumerate(margins)]
+
+
+def _last(block: tuple) -> np.ndarray:
+    return block[1][-1]
 
 
 def fit_boosted(
@@ -269,45 +291,66 @@ def fit_boosted(
 ) -> Boosted:
     """Boosted trees without class weights, stopped where average precision on ``valid`` has not risen for ``patience`` rounds, at whichever round that is.
 
-    ``start`` continues an earlier fit over the same columns. Category codes are fitted on ``train``.
+    ``start`` continues an earlier fit over the same columns. Category codes are fitted on ``train``, which is read for the cuts and again for the codes.
     """
     held = replace(Boosting(), **settings)
+    shared_folder(train.sparkSession)
+    ship(train.sparkSession)
     codes = start.categories if start else fit_categories(train, list(categories)) if categories else None
     columns = start.columns if start else list(columns)
-    inputs = len(_inputs(columns, codes))
-    tables = [checkpointed(_vectors(df, columns, codes, held.bins)) for df in (train, valid)]
-    mean = tables[0].agg(F.avg("y")).first()[0] or 0.0
-    base = start.base if start else math.log(min(max(mean, 1e-9), 1 - 1e-9) / (1 - min(max(mean, 1e-9), 1 - 1e-9)))
+    inputs = _inputs(columns, codes)
+    numbers = [F.col(c).cast("double").alias(c) for c in inputs]
+    tables = [growth.with_id(_table(df, columns, codes), "transaction_id").select("_id", F.col(TARGET).cast("double").alias("y"), *numbers) for df in (train, valid)]
+    about = train.agg(F.count("*").alias("n"), F.avg(F.col(TARGET).cast("double")).alias("mean")).first()
+    if not about["n"]:
+        raise ValueError("no rows to fit trees to")
+    mean = min(max(about["mean"] or 0.0, 1e-9), 1 - 1e-9)
+    base = start.base if start else math.log(mean / (1 - mean))
     trees, history = list(start.trees) if start else [], list(start.history) if start else []
-    x = vector_to_array("features")
-    before = F.lit(base) + (_margins_of(trees, False)(x) if trees else F.lit(0.0))
-    rows, ranked = (checkpointed(_spread(t).withColumn("margin", before)) for t in tables)
+    coder = growth.fit_coder(tables[0], about["n"], inputs, _nominal(codes, held.bins), held.bins, held.seed)
+    before = partial(_margin_before, base=base, trees=[t.arrays() for t in trees])
+    coded = growth.blocks(tables[0], about["n"], partial(growth.coded_block, inputs=inputs, coder=coder, margin=before))
+    ranked = growth.blocks(tables[1], valid.count(), partial(growth.plain_block, inputs=inputs, margin=before))
+    rows = _stored(_Rows(growth.kept(coded.map(_without_margin)), growth.one_by_one(coded.map(_margin_alone)), coder))
+    margins = growth.stored(ranked.map(_block_margin))
     while len(trees) < held.rounds:
-        first = len(trees)
+        first, opened = len(trees), rows
         kept = []
         for round_ in range(first, min(first + held.stretch, held.rounds)):
             kept.append(_drawn(rows, held, round_))
-            tree, rows = _grow(kept[-1], held, round_, inputs)
+            tree, rows = _grow(kept[-1], held, round_, len(inputs))
             trees.append(tree)
             for old in kept[:-1]:
-                old.unpersist()
+                old.rdd.unpersist()
             del kept[:-1]
-        rows = checkpointed(rows)
-        kept.pop().unpersist()
-        ranked = checkpointed(ranked.withColumn("after", _margins_of(trees[first:], True)(x)))
-        each = ranked.select(F.col("y").cast("int").alias(TARGET), "margin", F.posexplode("after").alias("round", "more"))
-        rated = average_precision_by(each.withColumn("score", F.col("margin") + F.col("more")), "round")
-        found = {r["round"]: r["average_precision"] for r in rated.collect()}
+        rows = _stored(rows)
+        for old in (opened, *kept):
+            old.rdd.unpersist()
+        after = growth.kept(ranked.zip(margins).map(partial(_later, trees=[t.arrays() for t in trees[first:]])))
+        found = average_precision_by(after.flatMap(_rankings))
         history += [found.get(i) or 0.0 for i in range(len(trees) - first)]
-        ranked = ranked.select("transaction_id", "y", "features", (F.col("margin") + F.element_at("after", -1)).alias("margin"))
+        earlier, margins = margins, growth.stored(after.map(_last))
+        for old in (earlier, after):
+            old.unpersist()
         stop = _stop(history, held.patience)
         if stop is not None:
             trees, history = trees[:stop], history[:stop]
             break
+    for old in (rows.rdd, rows.blocks, margins):
+        old.unpersist()
     best = 1 + max(range(len(history)), key=lambda i: (history[i], -i)) if history else 0
     return Boosted(trees, base, columns, codes, best, tuple(history))
 
 
+def _margin_before(x: list[np.ndarray], base: float, trees: list[tuple]) -> np.ndarray:
+    """Margins by an earlier fit."""
+    return base + sum(_outputs(trees, np.stack(x)), np.zeros(len(x[0])))
+
+
+def _block_margin(block: tuple) -> np.ndarray:
+    return block[-1]
+
+
 def _stop(history: list[float], patience: int) -> int | None:
     """After how many rounds a fit ends: the first that is ``patience`` rounds behind the best so far."""
     best, at = -1.0, 0

@@ -217,7 +217,7 @@ class _Rows:
 
 def _advanced(pair: tuple, step: tuple | None, draw: tuple | None = None) -> tuple:
     """Margin of a block with the outputs of ``step``, and whether its rows are drawn."""
-    (codes, _, ids, unknown), (margin, _) = pair
+    (codes, _, ids, unknown, _), (margin, _) = pair
     if step:
         nodes, values = step
         margin = margin + values.take(nodes.reached(codes, np.arange(len(margin))))
@@ -262,12 +262,12 @@ def _grow(rows: _Rows, settings: Boosting, round_: int, inputs: int) -> tuple[Tr
     return tree, replace(rows, step=(nodes, values))
 
 
-def _without_margin(block: tuple) -> tuple:
-    return block[:-1]
+def _first_margin(block: tuple) -> np.ndarray:
+    return block[-1] + np.zeros(len(block[1]))
 
 
-def _margin_alone(block: tuple) -> tuple:
-    return block[-1], None
+def _first_state(block: tuple) -> tuple:
+    return _first_margin(block), None
 
 
 def _later(pair: tuple, trees: list[tuple]) -> tuple:
@@ -276,6 +276,12 @@ def _later(pair: tuple, trees: list[tuple]) -> tuple:
     return y, margin + np.cumsum(list(_outputs(trees, x)), axis=0)
 
 
+def _placed(tree: Tree, used: list[int]) -> tuple:
+    """Arrays of a tree over the inputs ``used`` alone."""
+    feature, *rest = tree.arrays()
+    return np.searchsorted(used, feature), *rest
+
+
 def _rankings(block: tuple):
     y, margins = block
     return [(i, margin, y) for i, margin in enumerate(margins)]
@@ -299,8 +305,8 @@ def fit_boosted(
     codes = start.categories if start else fit_categories(train, list(categories)) if categories else None
     columns = start.columns if start else list(columns)
     inputs = _inputs(columns, codes)
-    numbers = [F.col(c).cast("double").alias(c) for c in inputs]
-    tables = [growth.with_id(_table(df, columns, codes), "transaction_id").select("_id", F.col(TARGET).cast("double").alias("y"), *numbers) for df in (train, valid)]
+    x = F.array(*[F.col(c).cast("double") for c in inputs]).alias("x")
+    tables = [growth.with_id(_table(df, columns, codes), "transaction_id").select("_id", F.col(TARGET).cast("double").alias("y"), x) for df in (train, valid)]
     about = train.agg(F.count("*").alias("n"), F.avg(F.col(TARGET).cast("double")).alias("mean")).first()
     if not about["n"]:
         raise ValueError("no rows to fit trees to")
@@ -309,10 +315,9 @@ def fit_boosted(
     trees, history = list(start.trees) if start else [], list(start.history) if start else []
     coder = growth.fit_coder(tables[0], about["n"], inputs, _nominal(codes, held.bins), held.bins, held.seed)
     before = partial(_margin_before, base=base, trees=[t.arrays() for t in trees])
-    coded = growth.blocks(tables[0], about["n"], partial(growth.coded_block, inputs=inputs, coder=coder, margin=before))
-    ranked = growth.blocks(tables[1], valid.count(), partial(growth.plain_block, inputs=inputs, margin=before))
-    rows = _stored(_Rows(growth.kept(coded.map(_without_margin)), growth.one_by_one(coded.map(_margin_alone)), coder))
-    margins = growth.stored(ranked.map(_block_margin))
+    blocks = growth.blocks(tables[0], about["n"], partial(growth.coded_block, coder=coder, margin=before))
+    ranked = growth.blocks(tables[1], valid.count(), partial(growth.plain_block, used=coder.inputs, margin=before))
+    rows, margins = _Rows(blocks, growth.kept(blocks.map(_first_state)), coder), growth.kept(ranked.map(_first_margin))
     while len(trees) < held.rounds:
         first, opened = len(trees), rows
         kept = []
@@ -326,7 +331,7 @@ def fit_boosted(
         rows = _stored(rows)
         for old in (opened, *kept):
             old.rdd.unpersist()
-        after = growth.kept(ranked.zip(margins).map(partial(_later, trees=[t.arrays() for t in trees[first:]])))
+        after = growth.kept(ranked.zip(margins).map(partial(_later, trees=[_placed(t, coder.inputs) for t in trees[first:]])))
         found = average_precision_by(after.flatMap(_rankings))
         history += [found.get(i) or 0.0 for i in range(len(trees) - first)]
         earlier, margins = margins, growth.stored(after.map(_last))
@@ -336,19 +341,15 @@ def fit_boosted(
         if stop is not None:
             trees, history = trees[:stop], history[:stop]
             break
-    for old in (rows.rdd, rows.blocks, margins):
+    for old in (rows.rdd, blocks, ranked, margins):
         old.unpersist()
     best = 1 + max(range(len(history)), key=lambda i: (history[i], -i)) if history else 0
     return Boosted(trees, base, columns, codes, best, tuple(history))
 
 
-def _margin_before(x: list[np.ndarray], base: float, trees: list[tuple]) -> np.ndarray:
-    """Margins by an earlier fit."""
-    return base + sum(_outputs(trees, np.stack(x)), np.zeros(len(x[0])))
-
-
-def _block_margin(block: tuple) -> np.ndarray:
-    return block[-1]
+def _margin_before(x: np.ndarray, base: float, trees: list[tuple]) -> np.ndarray | float:
+    """Margins by an earlier fit; one number where there is none."""
+    return base + sum(_outputs(trees, x), np.zeros(x.shape[1])) if trees else base
 
 
 def _stop(history: list[float], patience: int) -> int | None:

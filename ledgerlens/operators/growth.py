@@ -14,13 +14,12 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import RDD, StorageLevel
 from pyspark.serializers import BatchedSerializer, CPickleSerializer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
-
 BLOCK_ROWS = 1 << 16
 #: Up to so many training rows the cuts of a round are made from all rows drawn for it; beyond, from a sample of CUT_ROWS rows taken once.
 EXACT_ROWS = 1 << 14
@@ -106,9 +105,9 @@ class Coder:
     bins: int
     known: tuple | None
 
-    def codes(self, x: list[np.ndarray]) -> np.ndarray:
+    def codes(self, x: np.ndarray) -> np.ndarray:
         wide = max(self.sizes, default=1) > 256
-        found = np.empty((len(self.inputs), len(x[0])), dtype=np.uint16 if wide else np.uint8)
+        found = np.empty((len(self.inputs), x.shape[1]), dtype=np.uint16 if wide else np.uint8)
         for at, (i, values, size) in enumerate(zip(self.inputs, self.values, self.sizes, strict=True)):
             code = x[i].astype(np.int64) if values is None else np.searchsorted(values, x[i], "left")
             found[at] = np.minimum(code, size - 1)
@@ -138,13 +137,14 @@ def fit_coder(table: DataFrame, rows: int, inputs: list[str], nominal: dict[str,
     """Values and cuts of each input, from all of ``rows`` where these are few, else from a sample."""
     exact = rows <= EXACT_ROWS
     part = table if exact else table.sample(min(1.0, CUT_ROWS / rows), seed)
-    found = part.select("_id", *inputs).toArrow()
+    found = part.select("_id", "x").toArrow().combine_chunks()
+    x = _inputs_of(found)
     kept, values, sizes = [], [], []
     for i, name in enumerate(inputs):
         if name in nominal:
             held, size = None, nominal[name] + 1
         else:
-            held, counts = np.unique(_numbers(found.column(name)) + 0.0, return_counts=True)  # -0.0 is 0.0
+            held, counts = np.unique(x[i] + 0.0, return_counts=True)  # -0.0 is 0.0
             if not exact:
                 held = cuts_between(held, counts, bins)
             size = len(held) + (not exact)
@@ -155,16 +155,21 @@ def fit_coder(table: DataFrame, rows: int, inputs: list[str], nominal: dict[str,
     if not exact:
         return coder
     ids, unknown = _ids(found.column("_id"))
-    return Coder(kept, values, sizes, bins, (ids, unknown, coder.codes([_numbers(found.column(c)) for c in inputs])))
+    return Coder(kept, values, sizes, bins, (ids, unknown, coder.codes(x)))
 
 
-def _numbers(column) -> np.ndarray:
-    found = column.to_numpy().astype(np.float64, copy=False)
+def _checked(found: np.ndarray) -> np.ndarray:
     if np.isnan(found).any():
         raise ValueError("inputs and labels of the trees must be numbers, none missing and none NaN")
     return found
 
 
+def _inputs_of(chunk: pa.Table) -> np.ndarray:
+    """One array for each input, from the column of arrays ``x``."""
+    flat = pc.list_flatten(chunk.column("x")).to_numpy()
+    return np.ascontiguousarray(_checked(flat).reshape(chunk.num_rows, -1).T)
+
+
 def _ids(column) -> tuple[np.ndarray, np.ndarray | None]:
     unknown = column.is_null().to_numpy() if column.null_count else None
     return column.fill_null(0).to_numpy().astype(np.int64), unknown
@@ -192,13 +197,13 @@ def blocks(table: DataFrame, rows: int, shape) -> RDD:
         for chunk in _chunks(batches, size):
             yield pa.record_batch({"block": pa.array([pickle.dumps(shape(chunk), protocol=5)], pa.binary())})
 
-    stored = checkpointed(table.mapInArrow(packed, "block binary"))
-    wanted, found = max(cores, -(-rows // size)), stored.rdd.getNumPartitions()
-    if found < cores:
-        stored = stored.repartition(cores)
-    elif found > 2 * wanted:
-        stored = stored.coalesce(wanted)
-    return one_by_one(stored.rdd.map(_unpacked))
+    found = table.mapInArrow(packed, "block binary")
+    parts, wanted = found.rdd.getNumPartitions(), max(cores, -(-rows // size))
+    if parts < cores:
+        found = found.repartition(cores)
+    elif parts > 2 * wanted:
+        found = found.coalesce(wanted)
+    return stored(found.rdd.map(_unpacked))
 
 
 def _unpacked(row):
@@ -211,7 +216,7 @@ def one_by_one(rdd: RDD) -> RDD:
 
 
 def kept(rdd: RDD) -> RDD:
-    return one_by_one(rdd).persist(StorageLevel.MEMORY_AND_DISK)
+    return one_by_one(rdd).persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
 def stored(rdd: RDD) -> RDD:
@@ -394,17 +399,17 @@ def leaf_sums(pairs: RDD, nodes: Nodes) -> tuple[np.ndarray, np.ndarray]:
     return _total(pairs, _leaves, nodes=nodes)
 
 
-def coded_block(chunk: pa.Table, inputs: list[str], coder: Coder, margin) -> tuple:
+def coded_block(chunk: pa.Table, coder: Coder, margin) -> tuple:
     """Codes, labels, ids and margins of a chunk of rows."""
-    x, y = [_numbers(chunk.column(c)) for c in inputs], _numbers(chunk.column("y"))
+    x, y = _inputs_of(chunk), _checked(chunk.column("y").to_numpy())
     small = y.astype(np.int8)
     return coder.codes(x), small if np.array_equal(small, y) else y, *_ids(chunk.column("_id")), margin(x)
 
 
-def plain_block(chunk: pa.Table, inputs: list[str], margin) -> tuple:
-    """Inputs, labels and margins of a chunk of rows; a missing label counts as none."""
-    x = [_numbers(chunk.column(c)) for c in inputs]
-    return np.stack(x), chunk.column("y").to_numpy(), margin(x)
+def plain_block(chunk: pa.Table, used: list[int], margin) -> tuple:
+    """The inputs ``used``, labels and margins of a chunk of rows; a missing label counts as none."""
+    x = _inputs_of(chunk)
+    return x[used], chunk.column("y").to_numpy(), margin(x)
 
 
 def with_id(df: DataFrame, name: str) -> DataFrame:
